@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from docmart.operators import report
 from docmart.operators.align import align
@@ -99,10 +99,20 @@ class Conversion:
         counts = report.config_counts(self.parsed, self.configs)
         return unrouted(counts, routes_frame(self.spark, self.configs, self.routing))
 
-    def write(self, base: str, fmt: str = "parquet") -> list[WriteResult]:
-        """Write every table that has rows; skip empty ones; isolate failures."""
-        filled = {r["table"] for r in self.table_counts().collect()}  # one row per declared table at most
-        frames = {name: self.table(name) for name in self.table_names() if name in filled}
+    def write(self, base: str, fmt: str = "parquet", rows_per_file: int = 5_000_000) -> list[WriteResult]:
+        """Write every table that has rows; skip empty ones; isolate failures.
+
+        The stage already knows the rows of each table, so a small table of a
+        large corpus is written by few tasks, with no shuffle, and not as one
+        tiny file per stage split.
+        """
+        rows = {r["table"]: r["n"] for r in self.table_counts().collect()}  # one row per declared table at most
+        least = self.spark.sparkContext.defaultParallelism
+        frames = {
+            name: self.table(name).coalesce(max(least, math.ceil(rows[name] / rows_per_file)))
+            for name in self.table_names()
+            if name in rows
+        }
         return write_each(frames, base, suffix=f".{fmt}", fmt=fmt)
 
     def drop_stage(self) -> None:

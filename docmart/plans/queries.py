@@ -30,7 +30,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def _query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    # A trailing underscore keeps a query apart from the operator of its name.
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -576,6 +577,3 @@ def convert_job(spark: SparkSession, sf: str) -> DataFrame:
     ]
     return union_all(counts)
 
-
-# Two queries share their name with the operator they run.
-QUERIES = {name.rstrip("_"): fn for name, fn in QUERIES.items()}

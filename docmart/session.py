@@ -22,8 +22,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
-    # Parsing XML costs far more CPU than I/O, so splits are small.
-    "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
     # A corpus has many small files; do not count each as 4 MB.
     "spark.sql.files.openCostInBytes": str(256 * 1024),
     "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",

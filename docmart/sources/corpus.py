@@ -37,11 +37,16 @@ def scan_rowtag(spark: SparkSession, path: str, row_tag: str, schema: T.StructTy
 def spread(df: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
     """Use at least ``tasks`` tasks (default: the cluster's parallelism).
 
-    A scan that already gives enough partitions is left alone. Else the rows are
-    hashed on ``key``, which must be unique or nearly so.
+    A scan that gives enough tasks is left alone, without a shuffle. Few splits
+    are not trusted where there are fewer files: a Parquet file of one row group
+    may be split, but one task reads all of it. Otherwise the rows are hashed on
+    ``key``, which must be unique or nearly so.
     """
     wanted = tasks or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= wanted:
+    splits = df.rdd.getNumPartitions()
+    if splits >= 4 * wanted:
+        return df
+    if splits >= wanted and len(df.inputFiles() or range(splits)) >= wanted:
         return df
     return df.repartition(wanted, key)
 
