@@ -26,9 +26,16 @@ def lookup_keys(out: str) -> tuple[str, str, str]:
 
 
 def _filtered(elements: Column, node: Element, step: Step) -> Column:
-    for path, wanted in step.where.items():
-        elements = F.filter(elements, lambda e, p=path, w=wanted: F.coalesce(node.value(e, p) == F.lit(w), F.lit(False)))
-    return elements
+    if not step.where:
+        return elements
+
+    def wanted(element: Column) -> Column:
+        keep = F.lit(True)
+        for path, text in step.where.items():
+            keep = keep & F.coalesce(node.value(element, path) == F.lit(text), F.lit(False))
+        return keep
+
+    return F.filter(elements, wanted)
 
 
 def _elements(root: Element, doc: Column, steps: Sequence[Step], make) -> Column:

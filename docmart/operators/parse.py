@@ -13,13 +13,16 @@ from docmart.functions.names import doc_id
 from docmart.plans.config import DomainConfig, Step
 
 CORRUPT = "_corrupt_record"
-TEXT = "_VALUE"
+# Not the default "_VALUE": field names ignore case and attributes named "value" abound.
+TEXT = "#text"
 EMPTY_DOCUMENT = "empty document"
+UNREADABLE_DOCUMENT = "unreadable document"
 MALFORMED_DOCUMENT = "malformed XML"
 
 PARSE_OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": CORRUPT,
+    "valueTag": TEXT,
     "ignoreSurroundingSpaces": "false",
 }
 
@@ -109,8 +112,11 @@ def parse_documents(corpus: DataFrame, configs: Iterable[DomainConfig]) -> DataF
     text = F.col("xml")
     doc = F.from_xml(text, parse_schema(configs), PARSE_OPTIONS)
     parsed = corpus.select(doc_id(F.col("file_name")).alias("doc_id"), "file_name", "xml", doc.alias("doc"))
-    blank = text.isNull() | (F.trim(F.regexp_replace(text, r"\s+", " ")) == "")
-    error = F.when(blank, F.lit(EMPTY_DOCUMENT)).when(F.col(f"doc.{CORRUPT}").isNotNull(), F.lit(MALFORMED_DOCUMENT))
+    error = (
+        F.when(text.isNull(), F.lit(UNREADABLE_DOCUMENT))
+        .when(~text.rlike(r"\S"), F.lit(EMPTY_DOCUMENT))
+        .when(F.col(f"doc.{CORRUPT}").isNotNull(), F.lit(MALFORMED_DOCUMENT))
+    )
     return parsed.select("doc_id", "file_name", "doc", error.alias("error"))
 
 

@@ -107,9 +107,9 @@ def running_total(df: DataFrame, group: str, key: str, value: str) -> DataFrame:
     The order within a group is by ``(md5(key), key)``. A plain window over a
     group would put all of its rows into one task; here each group is cut into
     4096 blocks by the hash prefix, summed block by block, and every block is
-    shifted by the total of the blocks before it. The block totals, at most 4096
-    per group, are all that is broadcast. Both sides need the same columns of the
-    same shuffle, so that it is computed once.
+    shifted by the total of the blocks before it. Only block totals, at most 4096
+    per group, move to find the shifts; the rows stay in the one shuffle that both
+    sides share because they need the same columns of it.
     """
     hashed = df.select(group, key, value, F.md5(F.col(key).cast("binary")).alias("__hash"))
     hashed = hashed.withColumn("__block", F.substring("__hash", 1, _HASH_PREFIX))
@@ -125,7 +125,7 @@ def running_total(df: DataFrame, group: str, key: str, value: str) -> DataFrame:
     )
     # A left join: an inner one would add a null filter to one side only and
     # keep the two from sharing the shuffle.
-    return local.join(F.broadcast(shifts), [group, "__block"], "left").select(
+    return local.join(shifts, [group, "__block"], "left").select(
         group,
         key,
         value,

@@ -15,15 +15,40 @@ def scan_directory(spark: SparkSession, path: str, require: bool = False) -> Dat
     """One document per ``*.xml`` file of a folder: not recursive, suffix case-sensitive.
 
     Small files are packed into splits by the file source, so there is no task
-    per document. ``require`` raises where the folder holds no document.
+    per document. Files that source passes over in silence come back without
+    content, so that they end up in the quarantine: empty ones as ``''``, names
+    with a leading dot or underscore as null. ``require`` raises where the folder
+    holds no document.
+
+    Finding those reads the folder's listing once on the driver; a corpus of very
+    many documents belongs into :func:`scan_packed` or :func:`scan_rowtag`.
     """
     files = spark.read.text(path, wholetext=True, pathGlobFilter="*.xml", recursiveFileLookup=False)
-    corpus = files.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("xml"))
+    # The metadata column holds the name as in a URI, where '+' stands for itself.
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    corpus = files.select(name.alias("file_name"), F.col("value").alias("xml"))
+    passed_over = _passed_over(spark, path)
+    if passed_over:
+        corpus = corpus.union(spark.createDataFrame(passed_over, CORPUS_SCHEMA))
     if require and corpus.isEmpty():
         raise ValueError(f"no *.xml documents in {path}")
     return corpus
 
 
+def _passed_over(spark: SparkSession, path: str) -> list[tuple[str, str | None]]:
+    """Names of the empty and the hidden documents; metadata only."""
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*.xml")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for status in fs.globStatus(pattern) or ():
+        name = status.getPath().getName()
+        if name.startswith((".", "_")):
+            found.append((name, None))
+        elif status.getLen() == 0 and status.isFile():
+            found.append((name, ""))
+    return found
+
+
 def scan_packed(spark: SparkSession, path: str) -> DataFrame:
     """A corpus stored as Parquet: the layout for corpora of very many documents."""
     return spark.read.schema(CORPUS_SCHEMA).parquet(path)

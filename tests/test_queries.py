@@ -1,0 +1,64 @@
+"""Every registered query against its SQL twin, on plain and on skewed tables."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+import check_oracle
+
+QUERIES, SQL = entry.queries(), entry.oracle_sql()
+
+
+def test_registry():
+    assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) - set(SQL) == {"output_files"}
+
+
+def test_entry(spark):
+    frame = entry.entry(spark)
+    assert frame.count() > 0
+
+
+@pytest.mark.parametrize("name", QUERIES)
+def test_query(spark, sf, name):
+    verdict, n = check_oracle.compare(spark, check_oracle.connect(sf), QUERIES[name], SQL.get(name), sf)
+    assert verdict in ("ok", "rows only")
+    assert n > 0
+
+
+@pytest.fixture(scope="module")
+def skewed(tmp_path_factory, sf):
+    """A third of all orders for one customer, a third of all lines for one part, with exact copies."""
+    target = tmp_path_factory.mktemp("skewed")
+    con = duckdb.connect()
+    source = f"'{sf}/{{}}.parquet'"
+    con.execute(
+        f"COPY (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 77 ELSE o_custkey END AS o_custkey, o_orderstatus,"
+        f" o_totalprice, o_orderdate, o_orderpriority FROM {source.format('orders')}) TO '{target}/orders.parquet'"
+    )
+    con.execute(
+        f"COPY (SELECT * REPLACE (CASE WHEN l_linenumber < 3 THEN 7 ELSE l_partkey END AS l_partkey)"
+        f" FROM {source.format('lineitem')} UNION ALL"
+        f" SELECT l.* FROM (SELECT * FROM {source.format('lineitem')} ORDER BY l_orderkey, l_linenumber, l_partkey LIMIT 1) AS l,"
+        f" range(3000)) TO '{target}/lineitem.parquet'"
+    )
+    con.execute(f"COPY (SELECT * FROM {source.format('part')}) TO '{target}/part.parquet'")
+    return str(target)
+
+
+@pytest.mark.parametrize("name", [q for q in QUERIES if q in SQL])
+def test_query_on_skewed_tables(spark, skewed, name):
+    verdict, n = check_oracle.compare(spark, check_oracle.connect(skewed), QUERIES[name], SQL[name], skewed)
+    assert verdict == "ok"
+    assert n > 0
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "RDDScan")
+
+
+@pytest.mark.parametrize("name", [q for q in QUERIES if q not in ("plus_one_udf",)])
+def test_plan(spark, sf, name):
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert not [node for node in FORBIDDEN if node in plan]
