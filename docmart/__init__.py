@@ -14,7 +14,14 @@ from docmart.plans.config import (
     position,
     select_configs,
 )
-from docmart.plans.pipeline import Conversion, build_table, convert, convert_directory, convert_table
+from docmart.plans.pipeline import (
+    Conversion,
+    build_table,
+    convert,
+    convert_directory,
+    convert_parsed,
+    convert_table,
+)
 from docmart.session import build_session
 
 __all__ = [
@@ -29,6 +36,7 @@ __all__ = [
     "constant",
     "convert",
     "convert_directory",
+    "convert_parsed",
     "convert_table",
     "document_id",
     "from_document",

@@ -23,12 +23,24 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--codemap", required=True, help="CSV: code_system, code, concept_id")
     parser.add_argument("--declarations", required=True, help="module with CONFIGS and ROUTING")
     parser.add_argument("--only", nargs="*", default=None, help="names of configs to run")
+    parser.add_argument("--row-tag", help="element that is a document, in files of many documents")
+    parser.add_argument("--id-path", help="with --row-tag: path of the document id, such as id._extension")
     args = parser.parse_args(argv)
+    if bool(args.row_tag) != bool(args.id_path):
+        parser.error("--row-tag and --id-path go together")
 
     declared = importlib.import_module(args.declarations)
     spark = build_session()
     written, status = convert_directory(
-        spark, args.input, args.codemap, args.output, declared.CONFIGS, declared.ROUTING, args.only
+        spark,
+        args.input,
+        args.codemap,
+        args.output,
+        declared.CONFIGS,
+        declared.ROUTING,
+        args.only,
+        args.row_tag,
+        args.id_path,
     )
     for result in written:
         print(f"{result.name}: {result.error or f'{result.rows} rows'} -> {result.path}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,15 +92,18 @@ def element_tree(configs: Iterable[DomainConfig]) -> Element:
     return root
 
 
+def _struct(tree: Element) -> T.StructType:
+    fields = [T.StructField(n, c.data_type(), True) for n, c in tree.children.items()]
+    return T.StructType([*fields, T.StructField(CORRUPT, T.StringType(), True)])
+
+
 def parse_schema(configs: Iterable[DomainConfig]) -> T.StructType:
     """Smallest schema the configs need. All leaves are text.
 
     A typed leaf would turn a whole document into a corrupt record over a single
     bad value; values are cast leniently after extraction instead.
     """
-    tree = element_tree(configs)
-    fields = [T.StructField(n, c.data_type(), True) for n, c in tree.children.items()]
-    return T.StructType([*fields, T.StructField(CORRUPT, T.StringType(), True)])
+    return _struct(element_tree(configs))
 
 
 def parse_documents(corpus: DataFrame, configs: Iterable[DomainConfig]) -> DataFrame:
@@ -120,6 +123,30 @@ def parse_documents(corpus: DataFrame, configs: Iterable[DomainConfig]) -> DataF
     return parsed.select("doc_id", "file_name", "doc", error.alias("error"))
 
 
+def read_documents(
+    spark: SparkSession, path: str, row_tag: str, id_path: str, configs: Iterable[DomainConfig]
+) -> DataFrame:
+    """Parsed documents from files that hold many each; same columns as :func:`parse_documents`.
+
+    The source splits inside the files, so one huge file spreads over the cluster.
+    ``doc_id`` is the text at ``id_path`` of the document.
+    """
+    tree = element_tree(configs)
+    node: Element | None = tree
+    for name in id_path.split(".")[:-1]:
+        node = node.children.get(name)
+        if node is None:
+            break
+        if not node.children:
+            raise ValueError(f"the configs read {name} as text, so {id_path} cannot lead through it")
+    tree.descend(id_path).text = True
+    schema = _struct(tree)
+    files = spark.read.format("xml").options(**PARSE_OPTIONS, rowTag=row_tag).schema(schema).load(path)
+    docs = files.select(F.struct(*[F.col(f"`{n}`") for n in schema.names]).alias("doc"), F.col("_metadata.file_name"))
+    error = F.when(F.col(f"doc.{CORRUPT}").isNotNull(), F.lit(MALFORMED_DOCUMENT))
+    return docs.select(tree.value(F.col("doc"), id_path).alias("doc_id"), "file_name", "doc", error.alias("error"))
+
+
 def quarantine(parsed: DataFrame) -> DataFrame:
     """Documents that could not be read, whole, with the reason."""
     bad = F.when(

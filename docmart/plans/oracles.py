@@ -132,6 +132,9 @@ ORACLES: dict[str, str] = {
     "rowtag_scan": """
         SELECT o_orderkey AS visit_id, CAST(o_orderkey % 4 AS INTEGER) AS n_results, CAST(o_custkey % 3 AS INTEGER) AS n_vitals
         FROM orders WHERE o_orderkey % 97 > 1""",
+    "rowtag_table": RECORDS + """
+        SELECT doc_id, person_id, visit_id, seq, source_code, concept_id, value AS quantity, unit, measured_at, measured_on
+        FROM records WHERE config = 'medications'""",
     "packed_scan": """
         SELECT CAST(o_orderkey AS VARCHAR) AS doc_id,
                CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML' WHEN 1 THEN 'empty document' END AS error FROM orders""",

@@ -12,7 +12,7 @@ from docmart.operators import report
 from docmart.operators.align import align
 from docmart.operators.extract import extract, with_counts
 from docmart.operators.lookup import apply_lookups, unique_codemap
-from docmart.operators.parse import parse_documents, quarantine
+from docmart.operators.parse import parse_documents, quarantine, read_documents
 from docmart.operators.route import routes_frame, unrouted
 from docmart.plans.config import DomainConfig, Routing, select_configs
 from docmart.session import delete_path, scratch_path
@@ -119,26 +119,38 @@ class Conversion:
         delete_path(self.spark, self.stage)
 
 
-def convert(
-    corpus: DataFrame,
+def convert_parsed(
+    parsed: DataFrame,
     configs: Sequence[DomainConfig],
     routing: Routing,
     codemap: DataFrame,
-    only: Iterable[str] | str | None = None,
     exclude_domains: Iterable[str] = (),
 ) -> Conversion:
-    """Parse the corpus once into a columnar stage and derive every table from it.
+    """Store documents parsed for exactly ``configs`` and derive every table from them.
 
     The stage is a Parquet table in the shared work folder rather than a cached
     frame: reading a table from it touches only that table's elements, nothing is
     parsed twice, and a lost executor costs no re-parse. Call ``drop_stage`` when
     done.
     """
-    spark = corpus.sparkSession
-    chosen = select_configs(configs, only)
+    spark = parsed.sparkSession
     stage = scratch_path(spark, "parsed")
-    with_counts(parse_documents(corpus, chosen), chosen).write.parquet(stage)
-    return Conversion(spark, stage, chosen, routing.select_domains(exclude=exclude_domains), unique_codemap(codemap))
+    with_counts(parsed, configs).write.parquet(stage)
+    kept = routing.select_domains(exclude=exclude_domains)
+    return Conversion(spark, stage, list(configs), kept, unique_codemap(codemap))
+
+
+def convert(
+    corpus: DataFrame,
+    configs: Sequence[DomainConfig],
+    routing: Routing,
+    codemap: DataFrame,
+    only: Iterable[str] | str | None = None,
+    exclude_domains: Iterable[str] = (),
+) -> Conversion:
+    """Convert a corpus of document texts; ``only`` names the configs to run."""
+    chosen = select_configs(configs, only)
+    return convert_parsed(parse_documents(corpus, chosen), chosen, routing, codemap, exclude_domains)
 
 
 def convert_directory(
@@ -149,12 +161,21 @@ def convert_directory(
     configs: Sequence[DomainConfig],
     routing: Routing,
     only: Iterable[str] | str | None = None,
+    row_tag: str | None = None,
+    id_path: str | None = None,
 ) -> tuple[list[WriteResult], DataFrame]:
     """A folder of XML files to a folder of tables; returns what was written and the status.
 
-    The status frame is stored below ``target`` and outlives the stage.
+    Each file is a document, or with ``row_tag`` each such element of the files,
+    named by the text at ``id_path``. The status frame is stored below ``target``
+    and outlives the stage.
     """
-    job = convert(scan_directory(spark, source, require=True), configs, routing, read_codemap(spark, codemap_path), only)
+    codemap = read_codemap(spark, codemap_path)
+    chosen = select_configs(configs, only)
+    if row_tag:
+        job = convert_parsed(read_documents(spark, source, row_tag, id_path, chosen), chosen, routing, codemap)
+    else:
+        job = convert(scan_directory(spark, source, require=True), chosen, routing, codemap)
     written = job.write(target)
     base = target.rstrip("/")
     write_each({"run_status": job.status(), "quarantine": job.quarantine(), "unmapped": job.unmapped()}, f"{base}/_run")

@@ -16,7 +16,7 @@ from docmart.operators import report
 from docmart.operators.align import align_to_types, combine_domains, union_all
 from docmart.operators.extract import extract, lookup_keys, with_counts
 from docmart.operators.lookup import apply_lookups, code_misses, lookup, unique_codemap
-from docmart.operators.parse import parse_documents, parse_schema, quarantine
+from docmart.operators.parse import parse_documents, quarantine, read_documents
 from docmart.operators.route import filter_domains, route, routes_frame, unrouted
 from docmart.plans import clinical as C
 from docmart.plans.config import select_configs
@@ -119,14 +119,24 @@ def rowtag_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Files of many documents, split inside the files."""
     path = scratch_path(spark, "batches")
     C.write_batches(spark, sf, path, per_file=20_000)
-    docs = sources.scan_rowtag(spark, path, C.ROOT, parse_schema([C.RESULTS, C.VITALS]))
+    docs = read_documents(spark, path, C.ROOT, "id._extension", [C.RESULTS, C.VITALS])
     return docs.select(
-        casts.to_int(F.col("id._extension")).alias("visit_id"),
-        F.coalesce(F.size("results"), F.lit(0)).alias("n_results"),
-        F.coalesce(F.size("vitals"), F.lit(0)).alias("n_vitals"),
+        casts.to_int(F.col("doc_id")).alias("visit_id"),
+        F.coalesce(F.size("doc.results"), F.lit(0)).alias("n_results"),
+        F.coalesce(F.size("doc.vitals"), F.lit(0)).alias("n_vitals"),
     )
 
 
+@_query
+def rowtag_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table from such files; it never holds a document as text."""
+    path = scratch_path(spark, "batches")
+    C.write_batches(spark, sf, path, per_file=20_000)
+    docs = read_documents(spark, path, C.ROOT, "id._extension", [C.MEDICATIONS])
+    codes = unique_codemap(C.codemap(spark, sf))
+    return _wall_clock(build_table(docs, "drug", [C.MEDICATIONS], C.ROUTING, codes))
+
+
 @_query
 def packed_scan(spark: SparkSession, sf: str) -> DataFrame:
     """A corpus stored as rows, read back and parsed."""

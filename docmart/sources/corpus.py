@@ -4,9 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from docmart.operators.parse import PARSE_OPTIONS
 
 CORPUS_SCHEMA = "file_name string, xml string"
 
@@ -21,7 +18,8 @@ def scan_directory(spark: SparkSession, path: str, require: bool = False) -> Dat
     holds no document.
 
     Finding those reads the folder's listing once on the driver; a corpus of very
-    many documents belongs into :func:`scan_packed` or :func:`scan_rowtag`.
+    many documents belongs into :func:`scan_packed`, or into files of many documents
+    (:func:`docmart.operators.parse.read_documents`).
     """
     files = spark.read.text(path, wholetext=True, pathGlobFilter="*.xml", recursiveFileLookup=False)
     # The metadata column holds the name as in a URI, where '+' stands for itself.
@@ -54,11 +52,6 @@ def scan_packed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CORPUS_SCHEMA).parquet(path)
 
 
-def scan_rowtag(spark: SparkSession, path: str, row_tag: str, schema: T.StructType) -> DataFrame:
-    """Nested records of files that hold many documents each, split within files."""
-    return spark.read.format("xml").options(**PARSE_OPTIONS, rowTag=row_tag).schema(schema).load(path)
-
-
 def spread(df: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
     """Use at least ``tasks`` tasks (default: the cluster's parallelism).
 

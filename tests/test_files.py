@@ -11,7 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from docmart.functions.schema import table_schema
-from docmart.operators.parse import parse_documents, parse_schema
+from docmart.operators.extract import extract
+from docmart.operators.parse import parse_documents, quarantine, read_documents
 from docmart.plans.config import DomainConfig, Step, document_id, from_path
 from docmart.session import scratch_path, work_dir
 from docmart.sources import corpus, tables, writers
@@ -48,11 +49,20 @@ def test_no_documents(spark, tmp_path):
         corpus.scan_directory(spark, str(tmp_path), require=True)
 
 
-def test_rowtag_and_packed_scan(spark, tmp_path):
-    (tmp_path / "x").mkdir()
-    (tmp_path / "x" / "many.xml").write_text("<all>" + "".join(f'<D><i a="{k}"/></D>' for k in range(50)) + "</all>")
-    docs = corpus.scan_rowtag(spark, str(tmp_path / "x"), "D", parse_schema([ITEMS]))
-    assert sorted(int(r["_a"]) for r in docs.select(F.inline("i")).collect()) == list(range(50))
+def test_files_of_many_documents(spark, tmp_path):
+    text = "<all>" + "".join(f'<D><id root="x" extension="{k}"/><i a="{k}"/></D>' for k in range(50)) + "<D><i></D></all>"
+    (tmp_path / "many.xml").write_text(text)
+    docs = read_documents(spark, str(tmp_path), "D", "id._extension", [ITEMS])
+    assert docs.columns == ["doc_id", "file_name", "doc", "error"]
+    rows = extract(docs, [ITEMS]).select("doc_id", "a").collect()
+    assert sorted((int(d), int(a)) for d, a in rows) == [(k, k) for k in range(50)]
+    assert [r["message"] for r in quarantine(docs).collect()] == ["malformed XML"]
+    text_config = DomainConfig("t", (from_path("id", "id"),))
+    with pytest.raises(ValueError, match="as text"):
+        read_documents(spark, str(tmp_path), "D", "id._extension", [text_config])
+
+
+def test_packed_corpus(spark, tmp_path):
     frame = spark.createDataFrame([("a.xml", "<D/>")], corpus.CORPUS_SCHEMA)
     writers.write_table(frame, str(tmp_path / "packed"))
     assert corpus.scan_packed(spark, str(tmp_path / "packed")).collect() == frame.collect()

@@ -88,6 +88,21 @@ def test_command_line(spark, sf, tmp_path, capsys):
     assert "person: " in out and "visit: " in out and "measurement" not in out
 
 
+def test_command_line_on_files_of_many_documents(spark, sf, tmp_path, capsys):
+    from docmart.__main__ import main
+
+    C.write_batches(spark, sf, str(tmp_path / "in"))
+    writers.write_csv(C.codemap(spark, sf), str(tmp_path / "map.csv"))
+    args = ["--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"), "--codemap", str(tmp_path / "map.csv")]
+    args += ["--declarations", "docmart.plans.clinical"]
+    assert main([*args, "--row-tag", C.ROOT, "--id-path", "id._extension"]) == 0
+    assert "measurement: " in capsys.readouterr().out
+    expected = convert_table(C.documents(spark, sf), "measurement", C.CONFIGS, C.ROUTING, C.codemap(spark, sf))
+    assert rows(spark.read.parquet(str(tmp_path / "out" / "measurement.parquet"))) == rows(expected)
+    with pytest.raises(SystemExit):
+        main([*args, "--row-tag", C.ROOT])
+
+
 def test_dropped_stage(spark, sf):
     job = convert(C.documents(spark, sf), C.CONFIGS, C.ROUTING, C.codemap(spark, sf), only="patient")
     assert job.table_names() == ["person"]
