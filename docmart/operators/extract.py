@@ -143,6 +143,6 @@ def with_counts(parsed: DataFrame, configs: Sequence[DomainConfig]) -> DataFrame
     root = element_tree(configs)
     sizes = []
     for config in configs:
-        n = F.size(records_array(config, root, F.col("doc")))
+        n = F.array_size(records_array(config, root, F.col("doc")))
         sizes.append(F.when(F.col("error").isNull() & (n > 0), n).cast("bigint").alias(config.name))
     return parsed.withColumn("counts", F.struct(*sizes))

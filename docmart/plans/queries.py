@@ -122,8 +122,8 @@ def rowtag_scan(spark: SparkSession, sf: str) -> DataFrame:
     docs = read_documents(spark, path, C.ROOT, "id._extension", [C.RESULTS, C.VITALS])
     return docs.select(
         casts.to_int(F.col("doc_id")).alias("visit_id"),
-        F.coalesce(F.size("doc.results"), F.lit(0)).alias("n_results"),
-        F.coalesce(F.size("doc.vitals"), F.lit(0)).alias("n_vitals"),
+        F.coalesce(F.array_size("doc.results"), F.lit(0)).alias("n_results"),
+        F.coalesce(F.array_size("doc.vitals"), F.lit(0)).alias("n_vitals"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,15 +40,17 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_each(frames: Mapping[str, DataFrame], base: str, suffix: str = ".parquet", fmt: str = "parquet") -> list[WriteResult]:
     """Write ``{base}/{name}{suffix}`` per frame; a failing one is reported, the rest go on.
 
-    Rows are counted from the files written, for Parquet from their footers.
+    Parquet rows are counted from the footers of the files written, CSV rows while
+    they are written.
     """
     results = []
     for name, frame in frames.items():
         path = f"{base.rstrip('/')}/{name}{suffix}"
         try:
             if fmt == "csv":
-                write_csv(frame, path)
-                rows = frame.sparkSession.read.schema(frame.schema).options(**CSV_OPTIONS).csv(path).count()
+                seen = Observation()
+                write_csv(frame.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+                rows = seen.get["rows"]
             else:
                 write_table(frame, path)
                 rows = frame.sparkSession.read.schema(frame.schema).parquet(path).count()
@@ -95,7 +97,7 @@ def document_csv(parsed: DataFrame, config: DomainConfig, parsed_for: Sequence[D
     text = F.concat(F.lit(header), F.array_join(lines, ""))
     name = F.concat("file_name", F.lit(f"__{config.name}.csv"))
     file = F.when(
-        F.col("error").isNull() & (F.size(lines) > 0), F.array(F.struct(name.alias("file_name"), text.alias("csv")))
+        F.col("error").isNull() & (F.array_size(lines) > 0), F.array(F.struct(name.alias("file_name"), text.alias("csv")))
     )
     return parsed.select(F.inline(file))
 

@@ -185,6 +185,33 @@ def test_lookup_result_is_the_same_by_shuffle(spark):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
 
 
+def test_hot_codes_are_split_when_the_codemap_is_too_large_to_broadcast(spark):
+    """Nine rows of ten carry one code; AQE splits its partition instead of leaving it to one task."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    }
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        code = F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).otherwise("8480-6")
+        system = F.when(F.col("id") % 1000 == 1, "XX").otherwise("LN")
+        frame = spark.range(0, 300_000, 1, 6).select(system.alias("s"), code.alias("c"), F.md5(F.col("id").cast("string")).alias("pad"))
+        of_map = F.when(F.col("id") % 1000 == 1, "YY").otherwise("LN")
+        big = spark.range(50_000).select(of_map.alias("code_system"), F.col("id").cast("string").alias("code"), F.col("id").alias("concept_id"))
+        joined = lookup(frame, unique_codemap(big.union(codemap(spark))), "s", "c", "concept")
+        rows = joined.collect()
+        assert len(rows) == 300_000
+        assert sum(1 for r in rows if r["concept"] == 1 and r["c"] == "8480-6") == 269_700
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in conf:
+            spark.conf.unset(key)
+
+
 def test_code_misses(spark):
     codes = spark.createDataFrame([("LN", "8480-6"), ("LN", "x"), ("LN", "x"), ("LN", None)], "code_system string, code string")
     assert [tuple(r) for r in code_misses(codes, codemap(spark)).collect()] == [("LN", "x", 2)]

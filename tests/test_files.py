@@ -138,6 +138,11 @@ def test_csv_sink_matches_pandas(spark, tmp_path):
     assert list(csv.reader(io.StringIO(text))) == list(csv.reader(io.StringIO(want)))
 
 
+def test_csv_tables_report_their_rows(spark, tmp_path):
+    results = writers.write_each({"t": spark.range(7), "none": spark.range(0)}, str(tmp_path), suffix=".csv", fmt="csv")
+    assert [(r.name, r.rows, r.error) for r in results] == [("t", 7, None), ("none", 0, None)]
+
+
 def test_csv_per_document(spark, tmp_path):
     docs = spark.createDataFrame(
         [("a.xml", '<D><i a="1" b="x,y"/><i a="2"/></D>'), ("b.xml", "<D/>"), ("c.xml", '<D><i a="say &quot;3&quot;" b="l1&#10;l2"/></D>')],
