@@ -79,8 +79,9 @@ def field_columns(f: Field, nodes: list[Element], columns: list[Column], index:
         return {f.out: F.col("doc_id")}
     if f.kind == "lookup":
         system, code, default = lookup_keys(f.out)
+        systems = [nodes[-1].value(columns[-1], f.system_path)] if f.system_path else []
         return {
-            system: nodes[-1].value(columns[-1], f.system_path),
+            system: F.coalesce(*systems, F.lit(f.system).cast("string")),
             code: nodes[-1].value(columns[-1], f.path),
             default: F.lit(f.value).cast("string"),
         }

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docmart.functions.casts import to_int
 from docmart.operators.extract import lookup_columns, lookup_keys
 from docmart.plans.config import DomainConfig
 
@@ -47,10 +48,11 @@ def apply_lookups(records: DataFrame, configs: Sequence[DomainConfig], codemap:
     """Resolve every lookup column of extracted records, with the configs' defaults."""
     for out in lookup_columns(configs):
         system, code, default = lookup_keys(out)
+        # Other configs of the table may read the same column from a path.
+        read = [F.col(out)] if out in records.columns else []
         found = lookup(records, codemap, system, code, "__found")
-        records = found.withColumn(out, F.coalesce("__found", F.col(default).try_cast("bigint"))).drop(
-            "__found", system, code, default
-        )
+        value = F.coalesce("__found", *[to_int(c) for c in (F.col(default), *read)])
+        records = found.withColumn(out, value).drop("__found", system, code, default)
     return records
 
 

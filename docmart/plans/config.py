@@ -40,6 +40,7 @@ class Field:
     system_path: str = ""
     value: str | None = None
     level: int = -1
+    system: str | None = None
 
 
 def from_path(out: str, path: str) -> Field:
@@ -70,9 +71,15 @@ def document_id(out: str = "doc_id") -> Field:
     return Field(out, "doc_id")
 
 
-def code_lookup(out: str, system_path: str, code_path: str, default: int | None = 0) -> Field:
-    """Standard concept of the source code found at two record paths."""
-    return Field(out, "lookup", code_path, system_path, None if default is None else str(default))
+def code_lookup(
+    out: str, system_path: str, code_path: str, default: int | None = 0, system: str | None = None
+) -> Field:
+    """Standard concept of the source code found at two record paths.
+
+    ``system`` is the code system of records that carry none at ``system_path``,
+    which may then be empty.
+    """
+    return Field(out, "lookup", code_path, system_path, None if default is None else str(default), system=system)
 
 
 @dataclass(frozen=True)

@@ -224,6 +224,24 @@ def test_no_default_leaves_null(spark):
     assert sorted(str(r["concept_id"]) for r in got.collect()) == ["1", "None", "None"]
 
 
+def test_lookup_with_a_fixed_system(spark):
+    config = DomainConfig("c", (document_id(), code_lookup("concept_id", "", "_c", system="LN")), (Step("r"),))
+    both = DomainConfig("b", (document_id(), code_lookup("concept_id", "_s", "_c", system="LN")), (Step("r"),))
+    docs = corpus(spark, [("a.xml", '<D><r s="XX" c="8480-6"/><r c="8462-4"/></D>')])
+    for chosen, want in ((config, [1, 2]), (both, [0, 2])):
+        got = apply_lookups(extract(parse_documents(docs, [chosen]), [chosen]), [chosen], codemap(spark))
+        assert sorted(r["concept_id"] for r in got.collect()) == want
+
+
+def test_one_column_looked_up_and_read(spark):
+    looked_up = DomainConfig("a", (document_id(), code_lookup("concept_id", "", "_c", system="LN")), (Step("r"),))
+    read = DomainConfig("b", (document_id(), from_path("concept_id", "_id")), (Step("q"),))
+    docs = corpus(spark, [("a.xml", '<D><r c="8480-6"/><r c="no"/><q id="7"/><q id="bad"/></D>')])
+    pair = [looked_up, read]
+    got = apply_lookups(extract(parse_documents(docs, pair), pair), pair, codemap(spark))
+    assert sorted((r["config"], str(r["concept_id"])) for r in got.collect()) == [("a", "0"), ("a", "1"), ("b", "7"), ("b", "None")]
+
+
 def test_align(spark):
     frame = spark.createDataFrame([("1.9", "x", "drop")], "n string, s string, extra string")
     out = align_to_types(frame, {"s": str, "missing": dt.datetime, "n": np.int64, "odd": list})
