@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -37,27 +38,31 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
-def write_each(frames: Mapping[str, DataFrame], base: str, suffix: str = ".parquet", fmt: str = "parquet") -> list[WriteResult]:
+def write_each(
+    frames: Mapping[str, DataFrame], base: str, suffix: str = ".parquet", fmt: str = "parquet", at_once: int = 4
+) -> list[WriteResult]:
     """Write ``{base}/{name}{suffix}`` per frame; a failing one is reported, the rest go on.
 
-    Parquet rows are counted from the footers of the files written, CSV rows while
-    they are written.
+    Up to ``at_once`` write jobs are submitted together, so that the last tasks of
+    one table do not leave the cluster idle. Parquet rows are counted from the
+    footers of the files written, CSV rows while they are written.
     """
-    results = []
-    for name, frame in frames.items():
+
+    def write(item: tuple[str, DataFrame]) -> WriteResult:
+        name, frame = item
         path = f"{base.rstrip('/')}/{name}{suffix}"
         try:
             if fmt == "csv":
                 seen = Observation()
                 write_csv(frame.observe(seen, F.count(F.lit(1)).alias("rows")), path)
-                rows = seen.get["rows"]
-            else:
-                write_table(frame, path)
-                rows = frame.sparkSession.read.schema(frame.schema).parquet(path).count()
-            results.append(WriteResult(name, path, rows))
+                return WriteResult(name, path, seen.get["rows"])
+            write_table(frame, path)
+            return WriteResult(name, path, frame.sparkSession.read.schema(frame.schema).parquet(path).count())
         except Exception as e:  # noqa: BLE001 - any failure of one table must not stop the others
-            results.append(WriteResult(name, path, None, str(e).splitlines()[0]))
-    return results
+            return WriteResult(name, path, None, str(e).splitlines()[0])
+
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(write, frames.items()))
 
 
 def write_domains(frames: Mapping[str, DataFrame], base: str) -> list[WriteResult]:
