@@ -32,7 +32,7 @@ def _filtered(elements: Column, node: Element, step: Step) -> Column:
     def wanted(element: Column) -> Column:
         keep = F.lit(True)
         for path, text in step.where.items():
-            keep = keep & F.coalesce(node.value(element, path) == F.lit(text), F.lit(False))
+            keep = keep & node.has(element, path, text)
         return keep
 
     return F.filter(elements, wanted)
@@ -45,7 +45,7 @@ def _elements(root: Element, doc: Column, steps: Sequence[Step], make) -> Column
     """
 
     def walk(nodes: list[Element], columns: list[Column], rest: Sequence[Step]) -> Column:
-        node, elements = nodes[-1].element(columns[-1], rest[0])
+        node, elements = nodes[-1].elements(columns[-1], rest[0].path)
         elements = _filtered(elements, node, rest[0])
         if len(rest) == 1 and make is None:
             return elements

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docmart.functions.names import doc_id
-from docmart.plans.config import DomainConfig, Step
+from docmart.plans.config import DomainConfig
 
 CORRUPT = "_corrupt_record"
 # Not the default "_VALUE": field names ignore case and attributes named "value" abound.
 TEXT = "#text"
+REPEATED = "[]"
 EMPTY_DOCUMENT = "empty document"
 UNREADABLE_DOCUMENT = "unreadable document"
 MALFORMED_DOCUMENT = "malformed XML"
@@ -38,7 +39,8 @@ class Element:
     def descend(self, path: str) -> Element:
         node = self
         for name in path.split("."):
-            node = node.children.setdefault(name, Element())
+            node = node.children.setdefault(name.removesuffix(REPEATED), Element())
+            node.many = node.many or name.endswith(REPEATED)
         return node
 
     def data_type(self) -> T.DataType:
@@ -51,31 +53,49 @@ class Element:
             one = T.StringType()
         return T.ArrayType(one, True) if self.many else one
 
+    def child(self, c: Column, name: str) -> tuple[Element, Column]:
+        name = name.removesuffix(REPEATED)
+        return self.children[name], c.getField(name)
+
+    def text_of(self, c: Column) -> Column:
+        return c.getField(TEXT) if self.children else c
+
     def value(self, c: Column, path: str) -> Column:
         """Text at a path below ``c``; of a repeated element the first counts."""
         node = self
         for name in path.split("."):
-            node, c = node.children[name], c.getField(name)
+            node, c = node.child(c, name)
             if node.many:
                 c = F.get(c, F.lit(0))
-        return c.getField(TEXT) if node.children else c
+        return node.text_of(c)
+
+    def has(self, c: Column, path: str, text: str) -> Column:
+        """Whether the text at a path equals ``text``, in any of its repeated elements."""
+        name, _, rest = path.partition(".")
+        node, c = self.child(c, name)
+
+        def holds(element: Column) -> Column:
+            if rest:
+                return node.has(element, rest, text)
+            return F.coalesce(node.text_of(element) == F.lit(text), F.lit(False))
+
+        return F.coalesce(F.exists(c, holds), F.lit(False)) if node.many else holds(c)
 
-    def element(self, c: Column, step: Step) -> tuple[Element, Column]:
-        """The array of elements a hop leads to."""
+    def elements(self, c: Column, path: str) -> tuple[Element, Column]:
+        """The array of elements at a path; of a repeated one on the way the first counts."""
         node = self
-        names = step.path.split(".")
+        names = path.split(".")
         for i, name in enumerate(names):
-            node, c = node.children[name], c.getField(name)
+            node, c = node.child(c, name)
             if node.many and i < len(names) - 1:
                 c = F.get(c, F.lit(0))
-        if not node.many:
-            c = F.when(c.isNotNull(), F.array(c))
-        return node, c
+        return node, c if node.many else F.when(c.isNotNull(), F.array(c))
 
 
 def element_tree(configs: Iterable[DomainConfig]) -> Element:
     """Only the elements and attributes the configs mention."""
     root = Element()
+    hops = []
     for config in configs:
         nodes = [root]
         for step in config.records:
@@ -89,6 +109,12 @@ def element_tree(configs: Iterable[DomainConfig]) -> Element:
             for path in (f.path, f.system_path):
                 if path:
                     base.descend(path).text = True
+        hops += nodes[1:]
+    for node in hops:
+        if not node.children and not node.text:
+            # Nothing of the element is wanted but its presence. Without a child it
+            # would be read as text; no attribute has an empty name.
+            node.children["_"] = Element()
     return root
 
 

@@ -3,7 +3,9 @@
 A :class:`DomainConfig` is one extraction recipe. Declarations hold names and
 paths only; :mod:`docmart.operators.extract` compiles them to Column expressions.
 Paths are dotted element names, attributes carry a leading underscore:
-``effectiveTime.low._value``. A path that ends at an element means its text.
+``effectiveTime.low._value``. A path that ends at an element means its text. A
+name followed by ``[]`` is a repeated element, of which a value path takes the
+first: ``id[]._extension``.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ class Step:
     """One hop towards the records: an element below the previous hop.
 
     ``many`` marks a repeated element; ``where`` keeps only elements whose paths
-    equal the given texts.
+    equal the given texts, each in any of its repeated elements.
     """
 
     path: str
@@ -110,6 +112,11 @@ def select_configs(configs: Sequence[DomainConfig], names: Iterable[str] | str |
     return [c for c in configs if c.name in wanted]
 
 
+def without_fields(configs: Iterable[DomainConfig]) -> list[DomainConfig]:
+    """The configs' records only: enough to count them, with far less to parse."""
+    return [DomainConfig(c.name, (), c.records) for c in configs]
+
+
 @dataclass(frozen=True)
 class Routing:
     """config -> domain -> table, and the declared column types of each table."""

@@ -19,7 +19,7 @@ from docmart.operators.lookup import apply_lookups, code_misses, lookup, unique_
 from docmart.operators.parse import parse_documents, quarantine, read_documents
 from docmart.operators.route import filter_domains, route, routes_frame, unrouted
 from docmart.plans import clinical as C
-from docmart.plans.config import select_configs
+from docmart.plans.config import select_configs, without_fields
 from docmart.plans.pipeline import build_table, convert, convert_table
 from docmart.session import scratch_path
 from docmart.sources import corpus as sources
@@ -50,7 +50,8 @@ def _converted(spark: SparkSession, sf: str, table: str, configs=C.CONFIGS) -> D
 
 
 def _counted(spark: SparkSession, sf: str) -> DataFrame:
-    return with_counts(parse_documents(C.documents(spark, sf), C.CONFIGS), C.CONFIGS)
+    records = without_fields(C.CONFIGS)
+    return with_counts(parse_documents(C.documents(spark, sf), records), records)
 
 
 def _status(spark: SparkSession, sf: str) -> DataFrame:

@@ -112,6 +112,20 @@ def test_parse_schema_is_minimal_and_all_text():
     assert element_tree([VITALS]).children.keys() == {"component", "patient"}
 
 
+def test_repeated_elements_on_a_path(spark):
+    section = Step("section", where={"template[]._root": "T2", "code._code": "X"})
+    config = DomainConfig("c", (document_id(), from_step("id", 0, "id[]._ext"), from_path("v", "_v")), (section, Step("row")))
+    text = """<D>
+      <section><template root="T1"/><template root="T2"/><code code="X"/><id ext="a"/><id ext="b"/><row v="1"/><row v="2"/></section>
+      <section><template root="T1"/><code code="X"/><row v="3"/></section>
+      <section><template root="T2"/><code code="Y"/><row v="4"/></section>
+      <section><template root="T2"/><row v="5"/></section>
+      <section><template root="T2"/><code code="X"/><row v="6"/></section>
+    </D>"""
+    got = extract(parse_documents(corpus(spark, [("d.xml", text)]), [config]), [config])
+    assert sorted(tuple(r) for r in got.select("v", F.coalesce("id", F.lit("-"))).collect()) == [("1", "a"), ("2", "a"), ("6", "-")]
+
+
 FAULTY = [
     ("good.xml", CHART),
     ("cut.xml", CHART[:200]),

@@ -7,6 +7,8 @@ import os
 import pytest
 
 from docmart import convert, convert_directory, convert_table
+from docmart.operators.extract import with_counts
+from docmart.operators.parse import parse_documents
 from docmart.plans import clinical as C
 from docmart.session import path_exists
 from docmart.sources import writers
@@ -125,6 +127,11 @@ def test_single_pass_parses_once_and_does_not_shuffle_records(spark, sf):
     assert "Exchange hashpartitioning" not in above_parse
 
 
+def test_the_stage_parses_once(spark, sf):
+    staged = with_counts(parse_documents(C.documents(spark, sf), C.CONFIGS), C.CONFIGS)
+    assert plan(staged).count("from_xml(") == 1
+
+
 def test_staged_tables_read_only_their_elements(spark, job):
     scan = plan(job.table("person"))
     schema = scan[scan.index("ReadSchema") :].splitlines()[0]
