@@ -18,7 +18,7 @@ from docmart.plans.config import DomainConfig, Routing, select_configs
 from docmart.session import delete_path, scratch_path
 from docmart.sources.corpus import scan_directory
 from docmart.sources.tables import read_codemap
-from docmart.sources.writers import WriteResult, write_each
+from docmart.sources.writers import WriteResult, write_csv_per_document, write_each
 
 
 def build_table(
@@ -115,6 +115,11 @@ class Conversion:
         }
         return write_each(frames, base, suffix=f".{fmt}", fmt=fmt)
 
+    def write_csv_per_document(self, base: str) -> None:
+        """Records of every config, per document, below ``{base}/{config}``; for small corpora."""
+        for config in self.configs:
+            write_csv_per_document(self.records(config.name), f"{base.rstrip('/')}/{config.name}")
+
     def drop_stage(self) -> None:
         delete_path(self.spark, self.stage)
 

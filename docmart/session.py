@@ -24,7 +24,6 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # A corpus has many small files; do not count each as 4 MB.
     "spark.sql.files.openCostInBytes": str(256 * 1024),
-    "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
     # The casts of a wide table can outgrow 8000 bytes of bytecode, beyond which the
     # JVM only interprets a method. Spark then splits the projection instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",

@@ -165,6 +165,33 @@ def test_numbers_agree_with_pandas(spark, numbers):
     assert run(spark, texts, casts.to_int(F.col("x"))) == expected
 
 
+# Spellings that pandas reads as well, and to the same value.
+SHARED_FORMATS = [
+    "%Y%m%d", "%Y%m%d%H%M", "%Y%m%d%H%M%S", "%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M:%S%z", "%Y%m%d%H%M%S%z",
+    "%Y%m%d%H%M%z", "%m/%d/%Y", "%m/%d/%Y %H:%M", "%Y/%m/%d", "%Y-%m", "%Y",
+]
+
+
+@settings(max_examples=25, deadline=None)
+@given(
+    st.lists(
+        st.tuples(
+            st.datetimes(dt.datetime(1700, 1, 1), dt.datetime(2250, 1, 1)),
+            st.sampled_from(SHARED_FORMATS),
+            st.integers(-12, 14),
+        ),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_times_agree_with_pandas(spark, drawn):
+    texts = [t.replace(tzinfo=dt.timezone(dt.timedelta(hours=h))).strftime(f) for t, f, h in drawn]
+    stamps = [pd.to_datetime(t) for t in texts]
+    assert run(spark, texts, casts.to_date(F.col("x"))) == [s.date() for s in stamps]
+    instants = [(s.tz_convert("UTC").tz_localize(None) if s.tzinfo else s).to_pydatetime() for s in stamps]
+    assert run(spark, texts, casts.to_timestamp(F.col("x")).cast("timestamp_ntz")) == instants
+
+
 @pytest.mark.parametrize(
     ("declared", "expected"),
     [

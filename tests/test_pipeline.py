@@ -105,6 +105,20 @@ def test_command_line_on_files_of_many_documents(spark, sf, tmp_path, capsys):
         main([*args, "--row-tag", C.ROOT])
 
 
+def test_csv_per_document(spark, sf, tmp_path):
+    corpus = C.documents(spark, sf).where("file_name IN ('13.xml', '14.xml', '15.xml')")
+    job = convert(corpus, [C.RESULTS, C.NOTES], C.ROUTING, C.codemap(spark, sf))
+    job.write_csv_per_document(str(tmp_path))
+    for config in ("results", "notes"):
+        records = job.records(config)
+        for row in records.groupBy("doc_id").count().collect():
+            files = list((tmp_path / config / f"doc_id={row['doc_id']}").glob("*.csv"))
+            text = b"".join(f.read_bytes() for f in files).decode()
+            lines = text.split("\r\n")
+            assert lines[0] == ",".join(c for c in records.columns if c != "doc_id")
+            assert len(lines) == row["count"] + 2
+
+
 def test_dropped_stage(spark, sf):
     job = convert(C.documents(spark, sf), C.CONFIGS, C.ROUTING, C.codemap(spark, sf), only="patient")
     assert job.table_names() == ["person"]
