@@ -238,7 +238,7 @@ ORACLES: dict[str, str] = {
         SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(o_orderkey AS VARCHAR) || '.xml' AS file_name,
                CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML' ELSE 'empty document' END AS message,
                CASE o_orderkey % 97 WHEN 0 THEN
-                 substr('<ClinicalDocument>' || chr(10) || '    <id extension="' || CAST(o_orderkey AS VARCHAR) || '"/>', 1, 40)
+                 substr('<ClinicalDocument><id extension="' || CAST(o_orderkey AS VARCHAR) || '"/><patient extension="', 1, 40)
                  ELSE '' END AS xml
         FROM orders WHERE o_orderkey % 97 <= 1""",
     "document_status": COUNTS + """

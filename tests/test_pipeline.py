@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from docmart import convert, convert_directory, convert_table
 from docmart.operators.extract import with_counts
@@ -30,6 +31,17 @@ def test_stage_and_single_pass_agree(spark, sf, job):
         assert rows(direct) == rows(job.table(table))
 
 
+def test_the_two_forms_of_the_corpus_agree(spark, sf):
+    """Documents as concatenated text, and as columns through ``to_xml``, parse to the same."""
+    columns = [c.alias(n) for n, c in C._document_columns().items()]
+    written = F.to_xml(F.struct(*columns), {"rowTag": C.ROOT})
+    intact = C._orders(spark, sf).where("o_orderkey % 97 > 1").select(F.concat("o_orderkey", F.lit(".xml")).alias("file_name"), written.alias("xml"))
+    direct = C.documents(spark, sf).join(intact.select("file_name"), "file_name", "left_semi")
+    a, b = (rows(parse_documents(frame, C.CONFIGS)) for frame in (intact, direct))
+    assert len(a) > 1000
+    assert a == b
+
+
 def test_every_row_is_accounted_for(spark, job):
     counts = {r["table"]: r["n"] for r in job.table_counts().collect()}
     assert counts == {t: n for t in job.table_names() if (n := job.table(t).count())}
