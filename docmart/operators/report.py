@@ -21,7 +21,7 @@ def _count(config: DomainConfig) -> Column:
 
 def table_counts_per_document(counted: DataFrame, configs: Sequence[DomainConfig], routing: Routing) -> DataFrame:
     """``doc_id, table, n`` for every pair with rows; a projection, no shuffle."""
-    pairs = []
+    pairs = [F.struct(F.lit("").alias("table"), F.lit(0).cast("bigint").alias("n"))]
     for table, members in routing.tables(configs).items():
         total = sum((F.coalesce(_count(c), F.lit(0)) for c in members), F.lit(0).cast("bigint"))
         pairs.append(F.struct(F.lit(table).alias("table"), total.alias("n")))
@@ -39,14 +39,14 @@ def config_counts(counted: DataFrame, configs: Sequence[DomainConfig]) -> DataFr
 def table_counts(counted: DataFrame, configs: Sequence[DomainConfig], routing: Routing) -> DataFrame:
     """``table, n`` for the tables with rows; empty ones are absent."""
     tables = routing.tables(configs)
-    totals = counted.agg(
-        *[
-            sum((F.coalesce(F.sum(_count(c)), F.lit(0)) for c in members), F.lit(0).cast("bigint")).alias(table)
-            for table, members in tables.items()
-        ]
-    )
+    sums = [
+        sum((F.coalesce(F.sum(_count(c)), F.lit(0)) for c in members), F.lit(0).cast("bigint")).alias(table)
+        for table, members in tables.items()
+    ]
     pairs = [F.struct(F.lit(t).alias("table"), F.col(f"`{t}`").alias("n")) for t in tables]
-    return totals.select(F.inline(F.array(*pairs))).where("n > 0")
+    if not tables:
+        return counted.select(F.lit("").alias("table"), F.lit(0).cast("bigint").alias("n")).where(F.lit(False))
+    return counted.agg(*sums).select(F.inline(F.array(*pairs))).where("n > 0")
 
 
 def run_status(counted: DataFrame, configs: Sequence[DomainConfig], routing: Routing) -> DataFrame:

@@ -103,6 +103,8 @@ class DomainConfig:
 
 def select_configs(configs: Sequence[DomainConfig], names: Iterable[str] | str | None = None) -> list[DomainConfig]:
     """All configs for ``None`` or ``''``, else the named ones, in declaration order."""
+    if not configs:
+        raise ValueError("no configs")
     if not names:
         return list(configs)
     wanted = {names} if isinstance(names, str) else set(names)

@@ -276,7 +276,7 @@ ORACLES: dict[str, str] = {
                'timestamp' AS type
         FROM orders WHERE o_orderkey % 97 > 1 AND o_orderkey % 11 <> 0""",
     "literal_rows": """
-        SELECT r.a, r.b, r.c, COUNT(*) AS n_lines FROM lineitem
+        SELECT CAST(r.a AS BIGINT) AS a, CAST(r.b AS BIGINT) AS b, r.c, COUNT(*) AS n_lines FROM lineitem
         JOIN (VALUES (1, 2, 'string 1'), (2, 3, 'string 2'), (4, 5, 'string 3')) AS r(a, b, c) ON l_linenumber = r.a
         GROUP BY r.a, r.b, r.c""",
     "typed_rows": """

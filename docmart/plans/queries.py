@@ -15,7 +15,7 @@ from docmart.functions.udf import plus_one
 from docmart.operators import report
 from docmart.operators.align import align_to_types, combine_domains, union_all
 from docmart.operators.extract import extract, lookup_keys, with_counts
-from docmart.operators.lookup import apply_lookups, code_misses, lookup, unique_codemap
+from docmart.operators.lookup import code_misses, lookup, unique_codemap
 from docmart.operators.parse import parse_documents, quarantine, read_documents
 from docmart.operators.route import filter_domains, route, routes_frame, unrouted
 from docmart.plans import clinical as C
@@ -285,9 +285,10 @@ def align_schema(spark: SparkSession, sf: str) -> DataFrame:
 def union_configs(spark: SparkSession, sf: str) -> DataFrame:
     """Frames of different columns united by name; absent frames are ignored."""
     wanted = ("config", "doc_id", "source_code", "value", "quantity", "text")
-    job = convert(C.documents(spark, sf), C.CONFIGS, C.ROUTING, C.codemap(spark, sf))
+    chosen = (C.RESULTS, C.VITALS, C.MEDICATIONS, C.NOTES)
+    job = convert(C.documents(spark, sf), chosen, C.ROUTING, C.codemap(spark, sf))
     frames: list[DataFrame | None] = [None]
-    for config in (C.RESULTS, C.VITALS, C.MEDICATIONS, C.NOTES):
+    for config in chosen:
         records = job.records(config.name)
         frames.append(records.select(*[c for c in wanted if c in records.columns]))
     return union_all(frames).select(*wanted)
@@ -296,8 +297,9 @@ def union_configs(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def combine_domains_(spark: SparkSession, sf: str) -> DataFrame:
     """Config frames united per domain, each aligned before it meets the others."""
-    job = convert(C.documents(spark, sf), C.CONFIGS, C.ROUTING, C.codemap(spark, sf))
-    frames = {c.name: job.records(c.name) for c in (C.RESULTS, C.VITALS, C.MEDICATIONS)}
+    chosen = (C.RESULTS, C.VITALS, C.MEDICATIONS)
+    job = convert(C.documents(spark, sf), chosen, C.ROUTING, C.codemap(spark, sf))
+    frames = {c.name: job.records(c.name) for c in chosen}
     wanted = ("doc_id", "seq", "source_code", "value_int", "quantity")
     domains = [
         df.select(F.lit(domain).alias("domain"), *[c for c in wanted if c in df.columns])

@@ -40,9 +40,9 @@ def _passed_over(spark: SparkSession, path: str) -> list[tuple[str, str | None]]
     found = []
     for status in fs.globStatus(pattern) or ():
         name = status.getPath().getName()
-        if name.startswith((".", "_")):
+        if status.isFile() and name.startswith((".", "_")):
             found.append((name, None))
-        elif status.getLen() == 0 and status.isFile():
+        elif status.isFile() and status.getLen() == 0:
             found.append((name, ""))
     return found
 

@@ -98,12 +98,12 @@ def document_csv(parsed: DataFrame, config: DomainConfig, parsed_for: Sequence[D
         cells = [_csv_cell(c) for f in fields for c in field_columns(f, nodes, columns, index).values()]
         return F.concat(F.concat_ws(",", *cells), F.lit(CSV_LINE_END))
 
+    n = F.array_size(records_array(config, root, F.col("doc")))
     lines = records_array(config, root, F.col("doc"), make)
     text = F.concat(F.lit(header), F.array_join(lines, ""))
     name = F.concat("file_name", F.lit(f"__{config.name}.csv"))
-    file = F.when(
-        F.col("error").isNull() & (F.array_size(lines) > 0), F.array(F.struct(name.alias("file_name"), text.alias("csv")))
-    )
+    file = F.array(F.struct(name.alias("file_name"), text.alias("csv")))
+    file = F.when(F.col("error").isNull() & (n > 0), file)
     return parsed.select(F.inline(file))
 
 

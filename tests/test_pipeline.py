@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from docmart import convert, convert_directory, convert_table
+from docmart.operators import report
 from docmart.operators.extract import with_counts
 from docmart.operators.parse import parse_documents
 from docmart.plans import clinical as C
@@ -117,6 +118,19 @@ def test_command_line_on_files_of_many_documents(spark, sf, tmp_path, capsys):
         main([*args, "--row-tag", C.ROOT])
 
 
+def test_a_job_without_any_table(spark, sf, tmp_path):
+    job = convert(C.documents(spark, sf), C.CONFIGS, C.ROUTING, C.codemap(spark, sf), only="notes")
+    assert job.table_names() == []
+    assert job.table_counts().collect() == []
+    assert job.write(str(tmp_path)) == []
+    assert job.status().where("status = 'OK'").count() == 0
+    assert job.status().where("status = 'ERROR'").count() == job.quarantine().count() > 0
+    assert report.table_counts_per_document(job.parsed, job.configs, job.routing).count() == 0
+    assert [r["config"] for r in job.unmapped().collect()] == ["notes"]
+    with pytest.raises(ValueError, match="no configs"):
+        convert(C.documents(spark, sf), [], C.ROUTING, C.codemap(spark, sf))
+
+
 def test_csv_per_document(spark, sf, tmp_path):
     corpus = C.documents(spark, sf).where("file_name IN ('13.xml', '14.xml', '15.xml')")
     job = convert(corpus, [C.RESULTS, C.NOTES], C.ROUTING, C.codemap(spark, sf))
