@@ -50,7 +50,7 @@ def work_dir(spark: SparkSession) -> str:
     if shared:
         return shared.rstrip("/")
     master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not (master == "local" or master.startswith("local[")):
         raise ValueError(f"set {_CHECKPOINT_CONF} to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
