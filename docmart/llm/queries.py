@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmart.llm import exact_dedup, toxicity
+from docmart.llm import exact_dedup, fm_index, mixing, simhash, toxicity
 from docmart.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,12 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@_query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_groups(table(spark, sf_dir, "documents"), words_each=4, distance=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @_query
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
@@ -31,6 +37,48 @@ FROM (SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS gro
 """
 
 
+@_query
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(mixing.token_counts(table(spark, sf_dir, "documents")))
+
+
+@_query
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fm_index.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_sort(F.transform("items", lambda i: i.cast("string")))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+_WINDOWS = """
+    SELECT id, n, i, array_to_string(w[i:least(i + 9, n)], ' ') AS win
+    FROM (SELECT id, w, n, unnest(range(1, greatest(n - 9, 1) + 1)) AS i FROM (
+        SELECT id, w, len(w) AS n FROM (
+            SELECT {id} AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {table})) WHERE n > 0)
+"""
+ORACLES["op9_decontamination"] = f"""
+WITH items AS (SELECT *, len(string_split(win, ' ')) AS k FROM ({_WINDOWS.format(id="item_id", table="benchmark")})),
+lengths AS (SELECT DISTINCT k FROM items),
+words AS (SELECT id, w, len(w) AS n FROM (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents)),
+places AS (SELECT id, i, k, array_to_string(w[i:i + k - 1], ' ') AS win FROM (SELECT id, w, k, unnest(range(1, n - k + 2)) AS i FROM words, lengths WHERE n >= k)),
+hits AS (SELECT p.id, p.i, p.k, t.id AS item FROM places p JOIN items t USING (win, k)),
+covered AS (SELECT id, count(DISTINCT j) AS n_hit FROM (SELECT id, unnest(range(i, i + k)) AS j FROM (SELECT DISTINCT id, i, k FROM hits)) GROUP BY id),
+named AS (SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT id, item::VARCHAR AS item FROM hits WHERE item IS NOT NULL) GROUP BY id)
+SELECT w.id AS doc_id, w.n AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words w LEFT JOIN covered c ON w.id = c.id LEFT JOIN named m ON w.id = m.id
+"""
+
+
 @_query
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
