@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmart.llm import exact_dedup, fm_index, mixing, simhash, toxicity
+from docmart.llm import chat_tools, exact_dedup, fm_index, langid, lm_score, mixing, simhash, toxicity
 from docmart.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,55 @@ def _query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+TOOLS = {
+    "search": {"type": "object", "properties": {"text": {"type": "string"}, "turn": {"type": "integer", "minimum": 0}}, "required": ["text", "turn"], "additionalProperties": False},
+    "translate": {"type": "object", "properties": {"text": {"type": "string"}, "turn": {"type": "integer"}}, "required": ["text"]},
+    "summarise": {"type": "object", "properties": {"turn": {"type": "string"}}, "required": ["turn", "length"]},
+}
+
+
+@_query
+def op1_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every answer of an assistant becomes a call whose arguments hold its whole text; the user's
+    next message is the result. A call depends on the one half as far into the conversation."""
+    turns = table(spark, sf_dir, "conversations")
+    order = F.floor(F.col("turn") / 2)
+    calls = turns.where("role = 'assistant'").select(
+        "conv_id",
+        F.col("turn").alias("seq"),
+        F.concat(F.lit("c"), F.col("turn").cast("string")).alias("call_id"),
+        F.element_at(F.array(*map(F.lit, TOOLS)), (F.pmod("turn", F.lit(3)) + 1).cast("int")).alias("name"),
+        F.to_json(F.struct("turn", "text")).alias("arguments"),
+        F.when(order > 0, F.array(F.concat(F.lit("c"), (2 * F.floor(order / 2) + F.col("turn") % 2).cast("string")))).alias("depends_on"),
+    )
+    results = turns.where("role = 'user'").select("conv_id", F.concat(F.lit("c"), (F.col("turn") - 1).cast("string")).alias("call_id"), F.col("text").alias("content"))
+    return chat_tools.link(calls, results.where("call_id <> 'c-1'"), TOOLS).withColumn("errors", F.array_join("errors", "; ")).withColumn("missing", F.array_join("missing", ","))
+
+
+ORACLES["op1_chat_tools"] = """
+WITH RECURSIVE calls AS (
+    SELECT conv_id, turn AS seq, 'c' || turn AS call_id, ['search', 'translate', 'summarise'][turn % 3 + 1] AS name, text,
+           CASE WHEN turn // 2 > 0 THEN 2 * (turn // 2 // 2) + turn % 2 END AS dep
+    FROM conversations WHERE role = 'assistant'),
+results AS (SELECT conv_id, 'c' || (turn - 1) AS call_id, text AS content FROM conversations WHERE role = 'user' AND turn > 0),
+known AS (SELECT c.*, EXISTS (SELECT 1 FROM calls d WHERE d.conv_id = c.conv_id AND d.seq = c.dep) AS has FROM calls c),
+lv AS (SELECT conv_id, seq, 0 AS level FROM known WHERE NOT has
+       UNION ALL SELECT k.conv_id, k.seq, lv.level + 1 FROM known k JOIN lv ON k.conv_id = lv.conv_id AND k.dep = lv.seq),
+joined AS (SELECT coalesce(k.conv_id, r.conv_id) AS conv_id, coalesce(k.call_id, r.call_id) AS call_id, k.seq, lv.level, k.name, k.text, k.dep, k.has, r.content, k.seq IS NOT NULL AS call, r.call_id IS NOT NULL AS got
+           FROM known k FULL JOIN results r ON k.conv_id = r.conv_id AND k.call_id = r.call_id LEFT JOIN lv ON lv.conv_id = k.conv_id AND lv.seq = k.seq)
+SELECT conv_id, call_id, seq, level::INTEGER AS level, name,
+       CASE WHEN NOT call THEN 'orphan' WHEN got THEN 'linked' ELSE 'pending' END AS status,
+       CASE WHEN call THEN name <> 'summarise' END AS valid,
+       CASE WHEN name = 'summarise' THEN '$.length: missing; $.turn: not of type string' ELSE '' END AS errors,
+       CASE WHEN call AND dep IS NOT NULL AND NOT has THEN 'c' || dep ELSE '' END AS missing,
+       CASE WHEN call THEN 1 ELSE 0 END::BIGINT AS n_calls, CASE WHEN got THEN 1 ELSE 0 END::BIGINT AS n_results,
+       CASE WHEN call THEN '{"arguments":{"text":' || to_json(text) || ',"turn":' || seq || '},"depends_on":[' || CASE WHEN dep IS NULL THEN '' ELSE '"c' || dep || '"' END
+            || '],"id":"' || call_id || '","level":' || level || ',"name":"' || name || '","result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}'
+            ELSE '{"id":"' || call_id || '","result":' || to_json(content) || '}' END AS json
+FROM joined
+"""
+
+
 @_query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents"), words_each=4, distance=4)
@@ -37,6 +86,19 @@ FROM (SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS gro
 """
 
 
+@_query
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_score.score(table(spark, sf_dir, "documents"), good)
+
+
+@_query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, langid.train(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
 @_query
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(mixing.token_counts(table(spark, sf_dir, "documents")))
