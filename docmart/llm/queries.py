@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmart.llm import chat_tools, exact_dedup, fm_index, langid, lm_score, mixing, simhash, toxicity
+from docmart.llm import chat_tools, exact_dedup, fm_index, langid, lm_score, mixing, rlz, simhash, suffix, toxicity
 from docmart.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,6 +92,49 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"), good)
 
 
+def _cut(spans: str) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+
+
+@_query
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rlz.duplicate_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", _cut("spans").alias("n_removed"), F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLES["op5_substring_dedup"] = """
+WITH words AS (SELECT doc_id, w, len(w) AS n FROM (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents)),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, n - 48)) AS i FROM words WHERE n >= 50)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY win) AS first FROM windows) WHERE first < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM later),
+kept AS (SELECT p.doc_id, string_agg(p.w[p.j], ' ' ORDER BY p.j) AS text, count(*) AS n FROM (SELECT doc_id, w, unnest(range(1, n + 1)) AS j FROM words) p ANTI JOIN gone USING (doc_id, j) GROUP BY p.doc_id)
+SELECT w.doc_id, w.n AS n_words, w.n - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM words w LEFT JOIN kept k ON w.doc_id = k.doc_id
+"""
+
+
+@_query
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix.duplicate_spans(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", _cut("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLES["op7_suffix_dedup"] = """
+WITH raw AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+strings AS (SELECT doc_id, i, h[2 * i + 1:2 * i + 200] AS s FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS i FROM raw WHERE len(h) >= 200)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS k FROM strings) WHERE k > 1),
+runs AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM later),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS b, row_number() OVER (PARTITION BY doc_id ORDER BY min(i)) AS k
+          FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM runs) GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY k), 0) AS x, a AS y FROM spans
+         UNION ALL SELECT r.doc_id, coalesce(max(s.b), 0), len(any_value(r.h)) // 2 FROM raw r LEFT JOIN spans s ON r.doc_id = s.doc_id GROUP BY r.doc_id),
+kept AS (SELECT g.doc_id, string_agg(r.h[2 * x + 1:2 * y], '' ORDER BY x) AS h FROM gaps g JOIN raw r ON g.doc_id = r.doc_id GROUP BY g.doc_id),
+counts AS (SELECT doc_id, count(*) AS n FROM spans GROUP BY doc_id)
+SELECT r.doc_id, len(r.h) // 2 AS n_bytes, (len(r.h) - len(k.h)) // 2 AS n_removed, coalesce(c.n, 0) AS n_spans, sha256(unhex(k.h)) AS kept_sha256
+FROM raw r JOIN kept k ON r.doc_id = k.doc_id LEFT JOIN counts c ON r.doc_id = c.doc_id
+"""
+
+
 @_query
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
