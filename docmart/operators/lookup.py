@@ -40,8 +40,11 @@ def lookup(df: DataFrame, codemap: DataFrame, system: str, code: str, out: str)
     keys = codemap.select(
         F.col("code_system").alias("__k_system"), F.col("code").alias("__k_code"), F.col("concept_id").alias(out)
     )
-    on = (F.col(system) == F.col("__k_system")) & (F.col(code) == F.col("__k_code"))
-    return df.join(keys, on, "left").drop("__k_system", "__k_code")
+    # Rows without a code match nothing; a key of their own keeps them from meeting in one task.
+    alone = F.concat(F.lit("\0"), F.monotonically_increasing_id().cast("string"))
+    keyed = df.withColumn("__code", F.coalesce(F.col(code), alone))
+    on = (F.col(system) == F.col("__k_system")) & (F.col("__code") == F.col("__k_code"))
+    return keyed.join(keys, on, "left").drop("__k_system", "__k_code", "__code")
 
 
 def apply_lookups(records: DataFrame, configs: Sequence[DomainConfig], codemap: DataFrame) -> DataFrame:

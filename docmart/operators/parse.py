@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -18,7 +19,18 @@ TEXT = "#text"
 REPEATED = "[]"
 EMPTY_DOCUMENT = "empty document"
 UNREADABLE_DOCUMENT = "unreadable document"
+AFTER_ROOT = "content after the root"
 MALFORMED_DOCUMENT = "malformed XML"
+CUT_OFF = f"{MALFORMED_DOCUMENT}: cut off"
+BAD_ENTITY = r"&(?!(?:amp|lt|gt|quot|apos|#\d+|#x[0-9a-fA-F]+);)"
+BAD_TAG = f"{MALFORMED_DOCUMENT}: mismatched tag or bad character"
+NOT_XML = f"{MALFORMED_DOCUMENT}: not XML"
+
+_MISC = r"(?:\s++|<\?.*?\?>|<!--.*?-->)"
+_ROOT = rf"(?s)\A\x{{FEFF}}?(?:{_MISC}|<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>)*+<([^\s/>!?<&]++)(?=[\s/>])"
+_HAS_END = rf"{_ROOT}(?:[^<>]*?/>|.*?</\1\s*>)"
+_GOES_ON = rf"{_HAS_END}(?!{_MISC}*+\z)"
+_ENTITY = r"&(?!(?:[A-Za-z_:][\w:.-]*|#\d+|#x[0-9a-fA-F]+);)"
 
 PARSE_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -35,11 +47,14 @@ class Element:
     children: dict[str, Element] = field(default_factory=dict)
     many: bool = False
     text: bool = False
+    # Every element is read as an array, so that of two where one is declared the first
+    # counts, not the last. Attributes cannot repeat.
+    array: bool = False
 
     def descend(self, path: str) -> Element:
         node = self
         for name in path.split("."):
-            node = node.children.setdefault(name.removesuffix(REPEATED), Element())
+            node = node.children.setdefault(name.removesuffix(REPEATED), Element(array=not name.startswith("_")))
             node.many = node.many or name.endswith(REPEATED)
         return node
 
@@ -51,7 +66,7 @@ class Element:
             one: T.DataType = T.StructType(fields)
         else:
             one = T.StringType()
-        return T.ArrayType(one, True) if self.many else one
+        return T.ArrayType(one, True) if self.array else one
 
     def child(self, c: Column, name: str) -> tuple[Element, Column]:
         name = name.removesuffix(REPEATED)
@@ -65,7 +80,7 @@ class Element:
         node = self
         for name in path.split("."):
             node, c = node.child(c, name)
-            if node.many:
+            if node.array:
                 c = F.get(c, F.lit(0))
         return node.text_of(c)
 
@@ -79,7 +94,9 @@ class Element:
                 return node.has(element, rest, text)
             return F.coalesce(node.text_of(element) == F.lit(text), F.lit(False))
 
-        return F.coalesce(F.exists(c, holds), F.lit(False)) if node.many else holds(c)
+        if node.many:
+            return F.coalesce(F.exists(c, holds), F.lit(False))
+        return holds(F.get(c, F.lit(0)) if node.array else c)
 
     def elements(self, c: Column, path: str) -> tuple[Element, Column]:
         """The array of elements at a path; of a repeated one on the way the first counts."""
@@ -87,9 +104,9 @@ class Element:
         names = path.split(".")
         for i, name in enumerate(names):
             node, c = node.child(c, name)
-            if node.many and i < len(names) - 1:
+            if i < len(names) - 1:
                 c = F.get(c, F.lit(0))
-        return node, c if node.many else F.when(c.isNotNull(), F.array(c))
+        return node, c if node.many else F.slice(c, 1, 1)
 
 
 def element_tree(configs: Iterable[DomainConfig]) -> Element:
@@ -132,21 +149,59 @@ def parse_schema(configs: Iterable[DomainConfig]) -> T.StructType:
     return _struct(element_tree(configs))
 
 
+def _error(xml: Column, corrupt: Column) -> Column:
+    """Why a document cannot be read; null for a good one. Only bad ones are looked into."""
+    cause = (
+        F.when(~xml.rlike(_ROOT), F.lit(NOT_XML))
+        .when(~xml.rlike(_HAS_END), F.lit(CUT_OFF))
+        .when(xml.rlike(_ENTITY), F.lit(BAD_ENTITY))
+        .otherwise(F.lit(BAD_TAG))
+    )
+    return (
+        F.when(xml.isNull(), F.lit(UNREADABLE_DOCUMENT))
+        .when(~xml.rlike(r"\S"), F.lit(EMPTY_DOCUMENT))
+        .when(corrupt.isNotNull(), cause)
+        .when(xml.rlike(_GOES_ON), F.lit(AFTER_ROOT))
+    )
+
+
+def _parsed(corpus: DataFrame, schema: T.StructType) -> DataFrame:
+    doc = F.from_xml(F.col("xml"), schema, PARSE_OPTIONS)
+    found = corpus.select("*", doc.alias("doc"))
+    # The whole text of a refused document goes along; that of a good one does not.
+    error = _error(F.col("xml"), F.col(f"doc.{CORRUPT}"))
+    return found.select("*", error.alias("error")).withColumn("xml", F.when(F.col("error").isNotNull(), F.col("xml")))
+
+
 def parse_documents(corpus: DataFrame, configs: Iterable[DomainConfig]) -> DataFrame:
-    """``file_name, xml`` to ``doc_id, file_name, doc, error``.
+    """``file_name, xml`` to ``doc_id, file_name, doc, error, xml``.
 
-    ``error`` is null for a good document. Nothing is filtered here: a filter on
-    the parsed column would be pushed below it and parse each document again.
+    ``error`` is null for a good document, ``xml`` for all but the bad. A document is one
+    root element; anything but comments and the like behind it is an error, and so is a root
+    that holds an element of its own name. Nothing is filtered here: a filter on the parsed
+    column would be pushed below it and parse each document again.
     """
-    text = F.col("xml")
-    doc = F.from_xml(text, parse_schema(configs), PARSE_OPTIONS)
-    parsed = corpus.select(doc_id(F.col("file_name")).alias("doc_id"), "file_name", "xml", doc.alias("doc"))
-    error = (
-        F.when(text.isNull(), F.lit(UNREADABLE_DOCUMENT))
-        .when(~text.rlike(r"\S"), F.lit(EMPTY_DOCUMENT))
-        .when(F.col(f"doc.{CORRUPT}").isNotNull(), F.lit(MALFORMED_DOCUMENT))
-    )
-    return parsed.select("doc_id", "file_name", "doc", error.alias("error"))
+    named = corpus.select(doc_id(F.col("file_name")).alias("doc_id"), "file_name", "xml")
+    return _parsed(named, parse_schema(configs)).select("doc_id", "file_name", "doc", "error", "xml")
+
+
+def split_documents(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
+    """``file_name, xml``: every ``row_tag`` element of files that hold many.
+
+    The start of the tag is the record separator of the text source, which splits inside files:
+    a huge file spreads over the cluster, and a damaged document ends where the next begins.
+    What stands between documents is dropped. A document without its end tag comes with all
+    that follows it, so that it is refused. The tag in a comment or CDATA section, or an element
+    inside whose name begins with it, cuts a document in two, both of which are refused or, if
+    they do not begin like the tag, dropped.
+    """
+    files = spark.read.option("lineSep", f"<{row_tag}").text(path)
+    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+    tail = F.col("value")
+    tag = re.escape(row_tag)
+    whole = F.regexp_extract(tail, rf"(?s)\A(?:[^<>]*/>|.*</{tag}\s*>)", 0)
+    xml = F.concat(F.lit(f"<{row_tag}"), F.when(whole == "", F.rtrim(tail)).otherwise(whole))
+    return files.where(tail.rlike(r"\A[\s/>]")).select(name.alias("file_name"), xml.alias("xml"))
 
 
 def read_documents(
@@ -154,7 +209,6 @@ def read_documents(
 ) -> DataFrame:
     """Parsed documents from files that hold many each; same columns as :func:`parse_documents`.
 
-    The source splits inside the files, so one huge file spreads over the cluster.
     ``doc_id`` is the text at ``id_path`` of the document.
     """
     tree = element_tree(configs)
@@ -166,17 +220,14 @@ def read_documents(
         if not node.children:
             raise ValueError(f"the configs read {name} as text, so {id_path} cannot lead through it")
     tree.descend(id_path).text = True
-    schema = _struct(tree)
-    files = spark.read.format("xml").options(**PARSE_OPTIONS, rowTag=row_tag).schema(schema).load(path)
-    docs = files.select(F.struct(*[F.col(f"`{n}`") for n in schema.names]).alias("doc"), F.col("_metadata.file_name"))
-    error = F.when(F.col(f"doc.{CORRUPT}").isNotNull(), F.lit(MALFORMED_DOCUMENT))
-    return docs.select(tree.value(F.col("doc"), id_path).alias("doc_id"), "file_name", "doc", error.alias("error"))
+    docs = _parsed(split_documents(spark, path, row_tag), _struct(tree))
+    return docs.select(tree.value(F.col("doc"), id_path).alias("doc_id"), "file_name", "doc", "error", "xml")
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
     """Documents that could not be read, whole, with the reason."""
     bad = F.when(
         F.col("error").isNotNull(),
-        F.array(F.struct("doc_id", "file_name", F.col("error").alias("message"), F.col(f"doc.{CORRUPT}").alias("xml"))),
+        F.array(F.struct("doc_id", "file_name", F.col("error").alias("message"), "xml")),
     )
     return parsed.select(F.inline(bad))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from docmart.plans.config import DomainConfig, Routing
 
 OK, ERROR = "OK", "ERROR"
-_HASH_PREFIX = 3  # hex digits, hence 4096 blocks
 
 # ``counted`` frames come from ``with_counts``: doc_id, file_name, error, counts.
 
@@ -49,16 +48,21 @@ def table_counts(counted: DataFrame, configs: Sequence[DomainConfig], routing: R
     return counted.agg(*sums).select(F.inline(F.array(*pairs))).where("n > 0")
 
 
-def run_status(counted: DataFrame, configs: Sequence[DomainConfig], routing: Routing) -> DataFrame:
+def run_status(
+    counted: DataFrame, configs: Sequence[DomainConfig], routing: Routing, failed: Mapping[str, str] | None = None
+) -> DataFrame:
     """One row per (document, table) with rows, and one per unreadable document.
 
-    A document is converted whole or not at all.
+    A document is converted whole or not at all. ``failed`` has the tables that could not be
+    written, with the reason: their documents get an error for the table.
     """
     none = F.lit(None).cast("string")
     done = []
     for table, members in routing.tables(configs).items():
         has_rows = F.coalesce(*[_count(c) for c in members]).isNotNull()
-        entry = F.struct(F.lit(OK).alias("status"), F.lit(table).alias("table"), none.alias("message"))
+        reason = (failed or {}).get(table)
+        status, message = (OK, none) if reason is None else (ERROR, F.lit(f"table {table} not written: {reason}"))
+        entry = F.struct(F.lit(status).alias("status"), F.lit(table).alias("table"), message.alias("message"))
         done.append(F.when(has_rows, entry))
     failed = F.array(F.struct(F.lit(ERROR).alias("status"), none.alias("table"), F.col("error").alias("message")))
     entries = F.when(F.col("error").isNotNull(), failed).otherwise(F.array_compact(F.array(*done)))
@@ -68,7 +72,8 @@ def run_status(counted: DataFrame, configs: Sequence[DomainConfig], routing: Rou
 def status_line() -> Column:
     """The log line of a :func:`run_status` row."""
     ok = F.concat(F.lit("OK: "), F.col("doc_id"), F.lit(" -> "), F.col("table"))
-    error = F.concat(F.lit("ERROR: "), F.col("file_name"), F.lit(" :: "), F.col("message"))
+    # Files of many documents name the file alone; a message on a line of its own would be a line.
+    error = F.concat(F.lit("ERROR: "), F.col("file_name"), F.lit(" :: "), F.regexp_replace("message", r"[\r\n]+", " | "))
     return F.when(F.col("status") == OK, ok).otherwise(error)
 
 
@@ -101,18 +106,18 @@ def ok_pairs(status: DataFrame) -> DataFrame:
     return status.select("doc_id", F.coalesce("table", F.concat(F.lit("quarantine: "), "message")).alias("outcome"))
 
 
-def running_total(df: DataFrame, group: str, key: str, value: str) -> DataFrame:
+def running_total(df: DataFrame, group: str, key: str, value: str, digits: int = 3) -> DataFrame:
     """``group, key, value`` with the ``running`` sum so far and the ``position``.
 
     The order within a group is by ``(md5(key), key)``. A plain window over a
     group would put all of its rows into one task; here each group is cut into
-    4096 blocks by the hash prefix, summed block by block, and every block is
-    shifted by the total of the blocks before it. Only block totals, at most 4096
-    per group, move to find the shifts; the rows stay in the one shuffle that both
+    blocks by the first ``digits`` hex digits of the hash, summed block by block, and
+    every block is shifted by the total of the blocks before it. Choose ``digits`` so
+    that ``16 ** digits`` blocks of a group fit tasks. Only block totals move to find the shifts; the rows stay in the one shuffle that both
     sides share because they need the same columns of it.
     """
     hashed = df.select(group, key, value, F.md5(F.col(key).cast("binary")).alias("__hash"))
-    hashed = hashed.withColumn("__block", F.substring("__hash", 1, _HASH_PREFIX))
+    hashed = hashed.withColumn("__block", F.substring("__hash", 1, digits))
     within = Window.partitionBy(group, "__block").orderBy("__hash", key).rowsBetween(Window.unboundedPreceding, 0)
     local = hashed.withColumn("__sum", F.sum(value).over(within)).withColumn("__pos", F.count(F.lit(1)).over(within))
     blocks = local.groupBy(group, "__block").agg(F.max("__sum").alias("total"), F.max("__pos").alias("size"))

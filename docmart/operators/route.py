@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 from docmart.plans.config import DomainConfig, Routing
 
 _ROUTES = "config string, domain string, table string"
-# Routes are broadcast, so their number is bounded; no declaration comes near it.
-MAX_ROUTES = 10_000
 
 
 def routes_frame(spark: SparkSession, configs: Sequence[DomainConfig], routing: Routing) -> DataFrame:
@@ -21,25 +19,19 @@ def routes_frame(spark: SparkSession, configs: Sequence[DomainConfig], routing:
     size of the corpus.
     """
     rows = [(c.name, routing.domain(c.name), routing.table(c.name)) for c in configs]
-    if len(rows) > MAX_ROUTES:
-        raise ValueError(f"{len(rows)} configs; routes are meant for at most {MAX_ROUTES}")
     return spark.createDataFrame(rows, _ROUTES)
 
 
 def route(df: DataFrame, routes: DataFrame) -> DataFrame:
-    """Attach ``domain`` and ``table`` to rows with a ``config``; unmapped rows drop out.
-
-    ``routes`` come from :func:`routes_frame`, which bounds their number; hence the
-    broadcast.
-    """
+    """Attach ``domain`` and ``table`` to rows with a ``config``; unmapped rows drop out."""
     mapped = routes.where(F.col("table").isNotNull())
-    return df.join(F.broadcast(mapped), "config", "inner")
+    return df.join(mapped, "config", "inner")
 
 
 def unrouted(df: DataFrame, routes: DataFrame) -> DataFrame:
     """Rows whose config has no table: reported, never lost silently."""
     mapped = routes.where(F.col("table").isNotNull()).select("config")
-    return df.join(F.broadcast(mapped), "config", "left_anti")
+    return df.join(mapped, "config", "left_anti")
 
 
 def filter_domains(df: DataFrame, include: Iterable[str] | None = None, exclude: Iterable[str] = ()) -> DataFrame:

@@ -15,7 +15,8 @@ system   ``LOCAL`` for ``i = 3``, else ``PART``
 value    ``(o_orderkey + i) % 6``: clean, padded, fraction, junk, absent, exponent
 time     ``(o_orderkey + i) % 7``: six spellings and junk
 encounter absent if ``o_orderkey % 11 = 0``
-document cut short if ``o_orderkey % 97 = 0``, empty if ``o_orderkey % 97 = 1``
+document cut short if ``o_orderkey % 97 = 0``, empty if 1, more after the root if 2
+repeated a second ``id``, of which the first counts, if ``o_orderkey % 13 = 0``
 ======== ==================================================================
 """
 
@@ -274,6 +275,7 @@ def _document_text() -> Column:
         F.when(_has_encounter(), encounter).otherwise(F.lit("")),
         *[section(*s) for s in _sections()],
         F.when(_has_note(), note).otherwise(F.lit("")),
+        F.when(F.col("o_orderkey") % 13 == 0, F.lit('<id extension="-1"/>')).otherwise(F.lit("")),
         F.lit(f"</{ROOT}>"),
     )
 
@@ -290,19 +292,31 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus ``file_name, xml``, broken and empty documents included."""
     xml = _document_text()
     fault = F.col("o_orderkey") % 97
-    damaged = F.when(fault == 0, F.substring(xml, 1, 40)).when(fault == 1, F.lit("")).otherwise(xml)
+    damaged = (
+        F.when(fault == 0, F.substring(xml, 1, 40))
+        .when(fault == 1, F.lit(""))
+        .when(fault == 2, F.concat(xml, F.lit("<more/>")))
+        .otherwise(xml)
+    )
     name = F.concat(_text(F.col("o_orderkey")), F.lit(".xml"))
     return _orders(spark, sf_dir).select(name.alias("file_name"), damaged.alias("xml"))
 
 
-def write_batches(spark: SparkSession, sf_dir: str, path: str, per_file: int = 500) -> None:
+def write_batches(spark: SparkSession, sf_dir: str, path: str, per_file: int = 500, tasks: int | None = None) -> None:
     """The intact documents as XML files of at most ``per_file`` documents each."""
     columns = [c.alias(name) for name, c in _document_columns().items()]
-    intact = _orders(spark, sf_dir).where(F.col("o_orderkey") % 97 > 1)
-    writer = intact.select(*columns).write.format("xml").options(rowTag=ROOT, rootTag=BATCH)
+    intact = _orders(spark, sf_dir).where(F.col("o_orderkey") % 97 > 2)
+    rows = intact.coalesce(tasks) if tasks else intact
+    writer = rows.select(*columns).write.format("xml").options(rowTag=ROOT, rootTag=BATCH)
     writer.option("maxRecordsPerFile", per_file).save(path)
 
 
+def write_text(spark: SparkSession, sf_dir: str, path: str, per_file: int = 20_000) -> None:
+    """All documents, the faulty ones as well, in text files of many documents each."""
+    texts = documents(spark, sf_dir).select(F.col("xml").alias("value"))
+    texts.write.option("maxRecordsPerFile", per_file).text(path)
+
+
 def codemap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Concepts of part keys; every tenth is missing on purpose."""
     part = spark.read.parquet(f"{sf_dir}/part.parquet").where(F.col("p_partkey") % 10 != 0)

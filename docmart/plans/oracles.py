@@ -8,13 +8,13 @@ documents: these statements never see XML.
 RECORDS = """
 WITH rec AS (
   SELECT *, o_custkey + 7 * i AS code, 'results' AS config
-  FROM orders, range(1, 4) AS t(i) WHERE i <= o_orderkey % 4 AND o_orderkey % 97 > 1
+  FROM orders, range(1, 4) AS t(i) WHERE i <= o_orderkey % 4 AND o_orderkey % 97 > 2
   UNION ALL
   SELECT *, o_custkey + 11 * i AS code, 'vitals' AS config
-  FROM orders, range(1, 4) AS t(i) WHERE i <= o_custkey % 3 AND o_orderkey % 97 > 1
+  FROM orders, range(1, 4) AS t(i) WHERE i <= o_custkey % 3 AND o_orderkey % 97 > 2
   UNION ALL
   SELECT *, o_custkey + 13 * i AS code, 'medications' AS config
-  FROM orders, range(1, 4) AS t(i) WHERE i <= (o_orderkey + o_custkey) % 3 AND o_orderkey % 97 > 1
+  FROM orders, range(1, 4) AS t(i) WHERE i <= (o_orderkey + o_custkey) % 3 AND o_orderkey % 97 > 2
 ), timed AS (
   SELECT *, CASE WHEN i = 3 THEN 'LOCAL' ELSE 'PART' END AS code_system,
          date_trunc('day', o_orderdate) + to_days(CAST(i AS INTEGER))
@@ -47,7 +47,7 @@ WITH rec AS (
 # Number of records of every (order, config) pair; null where there are none.
 COUNTS = """
 WITH per_doc AS (
-  SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS doc_id, o_orderkey % 97 > 1 AS intact,
+  SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS doc_id, o_orderkey % 97 > 2 AS intact,
          o_orderkey % 4 AS results, o_custkey % 3 AS vitals, (o_orderkey + o_custkey) % 3 AS medications,
          CASE WHEN o_orderkey % 11 <> 0 THEN 1 ELSE 0 END AS encounter, 1 AS patient,
          CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS notes, 0 AS devices
@@ -118,9 +118,9 @@ ORACLES: dict[str, str] = {
         SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, o_orderkey AS visit_id, o_custkey AS person_id,
                o_orderpriority AS priority, date_trunc('second', o_orderdate) AS start_at,
                CAST(o_orderdate AS DATE) AS start_on, CAST(NULL AS BIGINT) AS admitting_source_concept_id
-        FROM orders WHERE o_orderkey % 97 > 1 AND o_orderkey % 11 <> 0""",
+        FROM orders WHERE o_orderkey % 97 > 2 AND o_orderkey % 11 <> 0""",
     "person_table": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, o_custkey AS person_id FROM orders WHERE o_orderkey % 97 > 1""",
+        SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, o_custkey AS person_id FROM orders WHERE o_orderkey % 97 > 2""",
     "config_records": RECORDS + """
         SELECT doc_id, CAST(person_id AS VARCHAR) AS person_id, CAST(visit_id AS VARCHAR) AS visit_id,
                CAST(seq AS VARCHAR) AS seq, source_code, raw_value AS value, raw_time AS measured_at
@@ -129,16 +129,20 @@ ORACLES: dict[str, str] = {
         SELECT {_MEASUREMENT} FROM records WHERE config = 'vitals'""",
     "scan_directory": RECORDS + f"""
         SELECT {_MEASUREMENT} FROM records WHERE config = 'vitals'""",
+    # Between documents nothing counts: an empty one leaves no trace, and more after a root none either.
     "rowtag_scan": """
-        SELECT o_orderkey AS visit_id, CAST(o_orderkey % 4 AS INTEGER) AS n_results, CAST(o_custkey % 3 AS INTEGER) AS n_vitals
-        FROM orders WHERE o_orderkey % 97 > 1""",
-    "rowtag_table": RECORDS + """
+        SELECT CASE WHEN o_orderkey % 97 <> 0 THEN o_orderkey END AS visit_id,
+               CASE WHEN o_orderkey % 97 = 0 THEN 0 ELSE CAST(o_orderkey % 4 AS INTEGER) END AS n_results,
+               CASE WHEN o_orderkey % 97 = 0 THEN 0 ELSE CAST(o_custkey % 3 AS INTEGER) END AS n_vitals,
+               CASE WHEN o_orderkey % 97 = 0 THEN 'malformed XML: cut off' END AS error
+        FROM orders WHERE o_orderkey % 97 <> 1""",
+    "rowtag_table": RECORDS.replace("% 97 > 2", "% 97 > 1") + """
         SELECT doc_id, person_id, visit_id, seq, source_code, concept_id, value AS quantity, unit, measured_at, measured_on
         FROM records WHERE config = 'medications'""",
     "packed_scan": """
         SELECT CAST(o_orderkey AS VARCHAR) AS doc_id,
-               CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML' WHEN 1 THEN 'empty document' END AS error FROM orders""",
-    "doc_count": "SELECT COUNT(*) AS n_documents FROM orders",
+               CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML: cut off' WHEN 1 THEN 'empty document' WHEN 2 THEN 'content after the root' END AS error FROM orders""",
+    "doc_count": "SELECT CAST(CEIL(COUNT(*) / 500.0) AS BIGINT) AS n_documents FROM orders WHERE o_orderkey % 97 > 2",
     "doc_ids": """
         SELECT file_name, CASE
             WHEN o_orderkey % 6 = 2 THEN file_name
@@ -186,8 +190,7 @@ ORACLES: dict[str, str] = {
     "cast_float": NUMBER_TEXTS + """
         SELECT l_orderkey, l_linenumber, l_partkey, x,
           CASE WHEN x IN ('NaN', '') OR x LIKE '%d' THEN NULL ELSE TRY_CAST(trim(x) AS DOUBLE) END AS as_float64,
-          CASE WHEN x IN ('NaN', '', 'inf') OR x LIKE '%d' THEN NULL
-               WHEN l_linenumber IN (1, 2) THEN CAST(TRY_CAST(trim(x) AS FLOAT) AS DOUBLE) END AS as_float32
+          CASE WHEN x IN ('NaN', '') OR x LIKE '%d' THEN NULL ELSE CAST(TRY_CAST(trim(x) AS FLOAT) AS DOUBLE) END AS as_float32
         FROM texts""",
     "cast_date": TIME_TEXTS + """
         SELECT l_orderkey, l_linenumber, l_partkey, x,
@@ -203,7 +206,7 @@ ORACLES: dict[str, str] = {
     "cast_str": """
         SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
           CAST(l_partkey AS VARCHAR) AS int_text,
-          CASE WHEN l_linenumber = 5 THEN NULL ELSE CAST(l_partkey AS VARCHAR) || '000000.5' END AS float_text,
+          CASE WHEN l_linenumber = 5 THEN NULL WHEN l_partkey = 0 THEN '0.5' ELSE CAST(l_partkey AS VARCHAR) || '000000.5' END AS float_text,
           strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS ts_text,
           strftime(l_shipdate, '%Y-%m-%d') AS date_text, l_returnflag AS str_text
         FROM lineitem""",
@@ -225,41 +228,49 @@ ORACLES: dict[str, str] = {
         FROM records
         UNION ALL
         SELECT 'notes', CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL, o_orderstatus FROM orders
-        WHERE o_orderkey % 5 = 0 AND o_orderkey % 97 > 1""",
+        WHERE o_orderkey % 5 = 0 AND o_orderkey % 97 > 2""",
     "combine_domains": RECORDS + """
-        SELECT CASE WHEN config = 'medications' THEN 'Drug' ELSE 'Measurement' END AS domain, doc_id, seq, source_code,
+        SELECT CASE WHEN config = 'medications' THEN 'Drug' ELSE 'Measurement' END AS domain, doc_id, seq, source_code, concept_id,
                CASE WHEN config <> 'medications' THEN value_int END AS value_int,
                CASE WHEN config = 'medications' THEN value END AS quantity
         FROM records""",
     "empty_tables_skipped": COUNTS + """
         SELECT tbl AS "table", CAST(SUM(n) AS BIGINT) AS n FROM pairs
         WHERE tbl IS NOT NULL GROUP BY tbl HAVING COUNT(n) > 0""",
-    "quarantine": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(o_orderkey AS VARCHAR) || '.xml' AS file_name,
-               CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML' ELSE 'empty document' END AS message,
-               CASE o_orderkey % 97 WHEN 0 THEN
-                 substr('<ClinicalDocument><id extension="' || CAST(o_orderkey AS VARCHAR) || '"/><patient extension="', 1, 40)
-                 ELSE '' END AS xml
-        FROM orders WHERE o_orderkey % 97 <= 1""",
+    "quarantine": RECORDS.replace("% 97 > 2", "% 97 = 2") + """
+        , parts AS (
+          SELECT doc_id, string_agg('<' || config || ' seq="' || CAST(seq AS VARCHAR) || '"><code code="' || source_code || '" codeSystem="' || code_system
+                   || '"/><value' || COALESCE(' value="' || raw_value || '"', '') || ' unit="u"/><effectiveTime value="' || raw_time || '"/></' || config || '>', ''
+                   ORDER BY list_position(['results', 'vitals', 'medications'], config), seq) AS body
+          FROM records GROUP BY doc_id)
+        SELECT k AS doc_id, k || '.xml' AS file_name,
+               CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML: cut off' WHEN 1 THEN 'empty document' ELSE 'content after the root' END AS message,
+               CASE o_orderkey % 97 WHEN 0 THEN substr('<ClinicalDocument><id extension="' || k || '"/><patient extension="', 1, 40) WHEN 1 THEN ''
+                 ELSE '<ClinicalDocument><id extension="' || k || '"/><patient extension="' || CAST(o_custkey AS VARCHAR) || '"/>'
+                   || CASE WHEN o_orderkey % 11 <> 0 THEN '<encounter priority="' || o_orderpriority || '"><effectiveTime value="'
+                        || strftime(o_orderdate, '%Y%m%d%H%M%S') || '"/></encounter>' ELSE '' END
+                   || COALESCE(body, '') || CASE WHEN o_orderkey % 5 = 0 THEN '<notes text="' || o_orderstatus || '"/>' ELSE '' END
+                   || CASE WHEN o_orderkey % 13 = 0 THEN '<id extension="-1"/>' ELSE '' END || '</ClinicalDocument><more/>' END AS xml
+        FROM (SELECT *, CAST(o_orderkey AS VARCHAR) AS k FROM orders WHERE o_orderkey % 97 <= 2) LEFT JOIN parts ON doc_id = k""",
     "document_status": COUNTS + """
         SELECT line FROM (
           SELECT DISTINCT doc_id, tbl, 'OK: ' || doc_id || ' -> ' || tbl AS line FROM pairs WHERE n > 0 AND tbl IS NOT NULL)
         UNION ALL
         SELECT 'ERROR: ' || CAST(o_orderkey AS VARCHAR) || '.xml :: '
-               || CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML' ELSE 'empty document' END
-        FROM orders WHERE o_orderkey % 97 <= 1""",
+               || CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML: cut off' WHEN 1 THEN 'empty document' ELSE 'content after the root' END
+        FROM orders WHERE o_orderkey % 97 <= 2""",
     "run_status": COUNTS + """
         SELECT 'OK' AS status, COUNT(*) AS n FROM (SELECT DISTINCT doc_id, tbl FROM pairs WHERE n > 0 AND tbl IS NOT NULL)
-        UNION ALL SELECT 'ERROR', COUNT(*) FROM orders WHERE o_orderkey % 97 <= 1""",
+        UNION ALL SELECT 'ERROR', COUNT(*) FROM orders WHERE o_orderkey % 97 <= 2""",
     "ok_pairs": COUNTS + """
         SELECT DISTINCT doc_id, tbl AS outcome FROM pairs WHERE n > 0 AND tbl IS NOT NULL
         UNION ALL
         SELECT CAST(o_orderkey AS VARCHAR),
-               'quarantine: ' || CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML' ELSE 'empty document' END
-        FROM orders WHERE o_orderkey % 97 <= 1""",
+               'quarantine: ' || CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML: cut off' WHEN 1 THEN 'empty document' ELSE 'content after the root' END
+        FROM orders WHERE o_orderkey % 97 <= 2""",
     "error_histogram": """
-        SELECT CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML' ELSE 'empty document' END AS message, COUNT(*) AS n
-        FROM orders WHERE o_orderkey % 97 <= 1 GROUP BY 1 ORDER BY n DESC, message""",
+        SELECT CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML: cut off' WHEN 1 THEN 'empty document' ELSE 'content after the root' END AS message, COUNT(*) AS n
+        FROM orders WHERE o_orderkey % 97 <= 2 GROUP BY 1 ORDER BY n DESC, message""",
     "table_row_counts": COUNTS + """
         SELECT tbl AS "table", CAST(SUM(n) AS BIGINT) AS n FROM pairs WHERE n > 0 AND tbl IS NOT NULL GROUP BY tbl""",
     "shape_log": COUNTS + """
@@ -274,10 +285,10 @@ ORACLES: dict[str, str] = {
     "column_probe": """
         SELECT 'start_at' AS "column", strftime(arg_min(o_orderdate, CAST(o_orderkey AS VARCHAR)), '%Y-%m-%d %H:%M:%S') AS first_value,
                'timestamp' AS type
-        FROM orders WHERE o_orderkey % 97 > 1 AND o_orderkey % 11 <> 0""",
+        FROM orders WHERE o_orderkey % 97 > 2 AND o_orderkey % 11 <> 0""",
     "literal_rows": """
         SELECT CAST(r.a AS BIGINT) AS a, CAST(r.b AS BIGINT) AS b, r.c, COUNT(*) AS n_lines FROM lineitem
-        JOIN (VALUES (1, 2, 'string 1'), (2, 3, 'string 2'), (4, 5, 'string 3')) AS r(a, b, c) ON l_linenumber = r.a
+        JOIN (VALUES (3, 30, 'three'), (5, 50, 'five'), (6, 60, 'six')) AS r(a, b, c) ON l_linenumber = r.a
         GROUP BY r.a, r.b, r.c""",
     "typed_rows": """
         SELECT l_returnflag AS flag, CAST(CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS BIGINT) AS rank,
@@ -301,6 +312,9 @@ ORACLES: dict[str, str] = {
     "document_partitions": RECORDS + """
         SELECT doc_id, seq, source_code, concept_id, quantity, measured_on FROM (
           SELECT *, value AS quantity FROM records WHERE config = 'medications')""",
+    "output_files": """
+        SELECT (SELECT COUNT(DISTINCT o_orderpriority) FROM orders WHERE o_orderkey % 97 > 2 AND o_orderkey % 11 <> 0)
+             + (SELECT CAST(CEIL(COUNT(*) / 1000.0) AS BIGINT) FROM orders WHERE o_orderkey % 97 > 2) AS n_files""",
     "convert_job": COUNTS + """
         SELECT tbl AS "table", CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(DISTINCT doc_id) AS n_documents FROM pairs
         WHERE n > 0 AND tbl IS NOT NULL GROUP BY tbl""",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
@@ -82,8 +81,11 @@ class Conversion:
     def quarantine(self) -> DataFrame:
         return quarantine(self.parsed)
 
-    def status(self) -> DataFrame:
-        return report.run_status(self.parsed, self.configs, self.routing)
+    def status(self, written: Iterable[WriteResult] = ()) -> DataFrame:
+        """Outcome per document and table. With the results of ``write`` a table that could not be
+        written is an error of each of its documents."""
+        failed = {r.name: r.error for r in written if r.error}
+        return report.run_status(self.parsed, self.configs, self.routing, failed)
 
     def status_lines(self) -> DataFrame:
         return self.status().select(report.status_line().alias("line"))
@@ -100,20 +102,18 @@ class Conversion:
         return unrouted(counts, routes_frame(self.spark, self.configs, self.routing))
 
     def write(self, base: str, fmt: str = "parquet", rows_per_file: int = 5_000_000) -> list[WriteResult]:
-        """Write every table that has rows; skip empty ones; isolate failures.
+        """Write every table that has rows; isolate failures; remove what an earlier run left of
+        declared tables that have none now.
 
-        The stage already knows the rows of each table, so a small table of a
-        large corpus is written by few tasks, with no shuffle, and not as one
-        tiny file per stage split.
+        Rebalancing comes after the narrow part and is sized by AQE: extraction keeps the
+        parallelism of the scan, and a small table is not one tiny file per split of it.
         """
-        rows = {r["table"]: r["n"] for r in self.table_counts().collect()}  # one row per declared table at most
-        least = self.spark.sparkContext.defaultParallelism
-        frames = {
-            name: self.table(name).coalesce(max(least, math.ceil(rows[name] / rows_per_file)))
-            for name in self.table_names()
-            if name in rows
-        }
-        return write_each(frames, base, suffix=f".{fmt}", fmt=fmt)
+        filled = {r["table"] for r in self.table_counts().collect()}  # one row per declared table at most
+        for name in self.table_names():
+            if name not in filled:
+                delete_path(self.spark, f"{base.rstrip('/')}/{name}.{fmt}")
+        frames = {name: self.table(name).hint("rebalance") for name in self.table_names() if name in filled}
+        return write_each(frames, base, suffix=f".{fmt}", fmt=fmt, max_rows_per_file=rows_per_file)
 
     def write_csv_per_document(self, base: str) -> None:
         """Records of every config, per document, below ``{base}/{config}``; for small corpora."""
@@ -172,8 +172,9 @@ def convert_directory(
     """A folder of XML files to a folder of tables; returns what was written and the status.
 
     Each file is a document, or with ``row_tag`` each such element of the files,
-    named by the text at ``id_path``. The status frame is stored below ``target``
-    and outlives the stage.
+    named by the text at ``id_path``. The results of the tables and of the reports are
+    returned. The stage goes when all of them were written; if one was not, it is the only
+    copy of what is missing, so it stays, and the status is read from it if need be.
     """
     codemap = read_codemap(spark, codemap_path)
     chosen = select_configs(configs, only)
@@ -181,8 +182,18 @@ def convert_directory(
         job = convert_parsed(read_documents(spark, source, row_tag, id_path, chosen), chosen, routing, codemap)
     else:
         job = convert(scan_directory(spark, source, require=True), chosen, routing, codemap)
-    written = job.write(target)
-    base = target.rstrip("/")
-    write_each({"run_status": job.status(), "quarantine": job.quarantine(), "unmapped": job.unmapped()}, f"{base}/_run")
-    job.drop_stage()
-    return written, spark.read.parquet(f"{base}/_run/run_status.parquet").select("*", report.status_line().alias("line"))
+    written: list[WriteResult] = []
+    done = False
+    try:
+        written = job.write(target)
+        status = job.status(written)
+        base = f"{target.rstrip('/')}/_run"
+        reports = {"run_status": status, "quarantine": job.quarantine(), "unmapped": job.unmapped()}
+        written += write_each(reports, base)
+        done = not any(r.error for r in written)
+        if not any(r.error for r in written if r.name == "run_status"):
+            status = spark.read.parquet(f"{base}/run_status.parquet")
+    finally:
+        if done:
+            job.drop_stage()
+    return written, status.select("*", report.status_line().alias("line"))

@@ -13,9 +13,9 @@ from docmart.functions import casts
 from docmart.functions.names import doc_id
 from docmart.functions.udf import plus_one
 from docmart.operators import report
-from docmart.operators.align import align_to_types, combine_domains, union_all
+from docmart.operators.align import align_to_types, union_all
 from docmart.operators.extract import extract, lookup_keys, with_counts
-from docmart.operators.lookup import code_misses, lookup, unique_codemap
+from docmart.operators.lookup import apply_lookups, code_misses, lookup, unique_codemap
 from docmart.operators.parse import parse_documents, quarantine, read_documents
 from docmart.operators.route import filter_domains, route, routes_frame, unrouted
 from docmart.plans import clinical as C
@@ -108,7 +108,7 @@ def scan_directory(spark: SparkSession, sf: str) -> DataFrame:
     """A folder of whole XML files, several documents per file, two hops to a record."""
     path = scratch_path(spark, "batches")
     C.write_batches(spark, sf, path)
-    files = sources.spread(sources.scan_directory(spark, path), "file_name")
+    files = sources.scan_directory(spark, path)
     parsed = parse_documents(files, [C.BATCH_VITALS])
     return _wall_clock(
         build_table(parsed, "measurement", [C.BATCH_VITALS], C.ROUTING, unique_codemap(C.codemap(spark, sf)))
@@ -119,20 +119,21 @@ def scan_directory(spark: SparkSession, sf: str) -> DataFrame:
 def rowtag_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Files of many documents, split inside the files."""
     path = scratch_path(spark, "batches")
-    C.write_batches(spark, sf, path, per_file=20_000)
+    C.write_text(spark, sf, path)
     docs = read_documents(spark, path, C.ROOT, "id._extension", [C.RESULTS, C.VITALS])
     return docs.select(
         casts.to_int(F.col("doc_id")).alias("visit_id"),
         F.coalesce(F.array_size("doc.results"), F.lit(0)).alias("n_results"),
         F.coalesce(F.array_size("doc.vitals"), F.lit(0)).alias("n_vitals"),
+        "error",
     )
 
 
 @_query
 def rowtag_table(spark: SparkSession, sf: str) -> DataFrame:
-    """A table from such files; it never holds a document as text."""
+    """A table from such files, faulty documents among them."""
     path = scratch_path(spark, "batches")
-    C.write_batches(spark, sf, path, per_file=20_000)
+    C.write_text(spark, sf, path)
     docs = read_documents(spark, path, C.ROOT, "id._extension", [C.MEDICATIONS])
     codes = unique_codemap(C.codemap(spark, sf))
     return _wall_clock(build_table(docs, "drug", [C.MEDICATIONS], C.ROUTING, codes))
@@ -148,7 +149,10 @@ def packed_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def doc_count(spark: SparkSession, sf: str) -> DataFrame:
-    return sources.count_documents(C.documents(spark, sf))
+    """The XML files of a folder; the files were written from one task, 500 documents each."""
+    path = scratch_path(spark, "batches")
+    C.write_batches(spark, sf, path, tasks=1)
+    return sources.count_files(spark, path)
 
 
 @_query
@@ -170,7 +174,7 @@ def doc_ids(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def literal_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Literal rows with inferred types, joined to every line."""
-    rows = [Row(a=1, b=2, c="string 1"), Row(a=2, b=3, c="string 2"), Row(a=4, b=5, c="string 3")]
+    rows = [Row(a=3, b=30, c="three"), Row(a=5, b=50, c="five"), Row(a=6, b=60, c="six")]
     literals = tables.literal_rows(spark, rows)
     lines = _table(spark, sf, "lineitem").groupBy("l_linenumber").agg(F.count(F.lit(1)).alias("n_lines"))
     joined = lines.join(F.broadcast(literals), F.col("l_linenumber") == F.col("a"))
@@ -283,29 +287,22 @@ def align_schema(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def union_configs(spark: SparkSession, sf: str) -> DataFrame:
-    """Frames of different columns united by name; absent frames are ignored."""
-    wanted = ("config", "doc_id", "source_code", "value", "quantity", "text")
+    """Records of configs with different columns, united by one generator over one parse."""
     chosen = (C.RESULTS, C.VITALS, C.MEDICATIONS, C.NOTES)
-    job = convert(C.documents(spark, sf), chosen, C.ROUTING, C.codemap(spark, sf))
-    frames: list[DataFrame | None] = [None]
-    for config in chosen:
-        records = job.records(config.name)
-        frames.append(records.select(*[c for c in wanted if c in records.columns]))
-    return union_all(frames).select(*wanted)
+    records = extract(parse_documents(C.documents(spark, sf), chosen), chosen)
+    return records.select("config", "doc_id", "source_code", "value", "quantity", "text")
 
 
 @_query
 def combine_domains_(spark: SparkSession, sf: str) -> DataFrame:
-    """Config frames united per domain, each aligned before it meets the others."""
+    """All configs of all domains from one parse: one generator, one codemap join, each row cast
+    as its domain declares."""
     chosen = (C.RESULTS, C.VITALS, C.MEDICATIONS)
-    job = convert(C.documents(spark, sf), chosen, C.ROUTING, C.codemap(spark, sf))
-    frames = {c.name: job.records(c.name) for c in chosen}
-    wanted = ("doc_id", "seq", "source_code", "value_int", "quantity")
-    domains = [
-        df.select(F.lit(domain).alias("domain"), *[c for c in wanted if c in df.columns])
-        for domain, df in combine_domains(frames | {"devices": None}, C.ROUTING).items()
-    ]
-    return union_all(domains)
+    records = extract(parse_documents(C.documents(spark, sf), chosen), chosen)
+    domain = F.when(F.col("config") == C.MEDICATIONS.name, F.lit("Drug")).otherwise(F.lit("Measurement"))
+    found = apply_lookups(records, chosen, unique_codemap(C.codemap(spark, sf))).withColumn("domain", domain)
+    types = {"domain": str, "doc_id": str, "seq": np.int32, "source_code": str, "concept_id": np.int64, "value_int": np.int64, "quantity": np.float64}
+    return align_to_types(found, types)
 
 
 # ---- casts -------------------------------------------------------------------
@@ -373,7 +370,7 @@ def cast_int(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def cast_float(spark: SparkSession, sf: str) -> DataFrame:
     x = F.col("x")
-    single = F.when(F.col("l_linenumber").isin(1, 2), casts.to_float(x, bits=32).cast("double"))
+    single = casts.to_float(x, bits=32).cast("double")
     return _number_texts(spark, sf).select("*", casts.to_float(x).alias("as_float64"), single.alias("as_float32"))
 
 
@@ -406,14 +403,13 @@ def cast_str(spark: SparkSession, sf: str) -> DataFrame:
     def text(name: str) -> Column:
         return casts.to_str(F.col(name), types[name])
 
-    big = F.when(F.col("l_partkey") == 0, F.when(F.col("l_linenumber") != 5, F.lit("0000000.5"))).otherwise(text("big"))
     return lines.select(
         "l_orderkey",
         "l_linenumber",
         "l_suppkey",
         "l_partkey",
         text("l_partkey").alias("int_text"),
-        big.alias("float_text"),
+        text("big").alias("float_text"),
         text("l_shipdate").alias("ts_text"),
         text("day").alias("date_text"),
         text("l_returnflag").alias("str_text"),
@@ -569,9 +565,11 @@ def document_partitions(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def output_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Number of data files of a run; depends on the partitioning, so it has no SQL twin."""
+    """Number of data files of a run: one per table and order priority, and one per hundred people."""
     base = scratch_path(spark, "output")
-    writers.write_each({t: _converted(spark, sf, t) for t in ("person", "visit")}, base)
+    visits = _converted(spark, sf, "visit").repartition("priority")
+    writers.write_table(visits, f"{base}/visit.parquet", partition_by=["priority"])
+    writers.write_table(_converted(spark, sf, "person").coalesce(1), f"{base}/person.parquet", max_rows_per_file=1000)
     return writers.count_output_files(spark, base)
 
 
@@ -580,7 +578,9 @@ def convert_job(spark: SparkSession, sf: str) -> DataFrame:
     """The whole job: parse once, write every table, read them back and count."""
     base = scratch_path(spark, "job")
     job = convert(C.documents(spark, sf), C.CONFIGS, C.ROUTING, C.codemap(spark, sf))
-    job.write(base)
+    failed = [r for r in job.write(base) if r.error]
+    if failed:
+        raise RuntimeError(f"tables not written: {failed}")
     read = tables.read_tables(spark, base, job.table_names(), {t: C.ROUTING.schema(t) for t in job.table_names()})
     counts = [
         df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("doc_id").alias("n_documents")).select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,14 +13,13 @@ CORPUS_SCHEMA = "file_name string, xml string"
 def scan_directory(spark: SparkSession, path: str, require: bool = False) -> DataFrame:
     """One document per ``*.xml`` file of a folder: not recursive, suffix case-sensitive.
 
-    Small files are packed into splits by the file source, so there is no task
-    per document. Files that source passes over in silence come back without
-    content, so that they end up in the quarantine: empty ones as ``''``, names
-    with a leading dot or underscore as null. ``require`` raises where the folder
-    holds no document.
+    Small files are packed into splits by the file source, so there is no task per document.
+    Files that source passes over in silence come back without content, so that they end up
+    in the quarantine: empty ones as ``''``, names with a leading dot or underscore as null.
+    ``require`` raises where the folder holds no document.
 
-    Finding those reads the folder's listing once on the driver; a corpus of very
-    many documents belongs into :func:`scan_packed`, or into files of many documents
+    Spark keeps the listing of a folder on the driver, and so does this. A corpus of very many
+    documents belongs into :func:`scan_packed`, or into files of many documents
     (:func:`docmart.operators.parse.read_documents`).
     """
     files = spark.read.text(path, wholetext=True, pathGlobFilter="*.xml", recursiveFileLookup=False)
@@ -33,18 +34,19 @@ def scan_directory(spark: SparkSession, path: str, require: bool = False) -> Dat
     return corpus
 
 
+def _listing(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
+    """Names and lengths of the files that match, in one call, whatever their number."""
+    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listing = spark.sparkContext._jvm.org.apache.commons.lang3.ArrayUtils.toString(fs.globStatus(glob))
+    found = re.findall(r"path=([^\n]*?); isDirectory=false; length=(\d+);", listing)
+    return [(p.rsplit("/", 1)[-1], int(n)) for p, n in found]
+
+
 def _passed_over(spark: SparkSession, path: str) -> list[tuple[str, str | None]]:
-    """Names of the empty and the hidden documents; metadata only."""
-    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/*.xml")
-    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = []
-    for status in fs.globStatus(pattern) or ():
-        name = status.getPath().getName()
-        if status.isFile() and name.startswith((".", "_")):
-            found.append((name, None))
-        elif status.isFile() and status.getLen() == 0:
-            found.append((name, ""))
-    return found
+    """The empty and the hidden documents; metadata only."""
+    files = _listing(spark, f"{path.rstrip('/')}/*.xml")
+    return [(name, None if name.startswith((".", "_")) else "") for name, size in files if not size or name.startswith((".", "_"))]
 
 
 def scan_packed(spark: SparkSession, path: str) -> DataFrame:
@@ -53,21 +55,16 @@ def scan_packed(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
-    """Use at least ``tasks`` tasks (default: the cluster's parallelism).
-
-    A scan that gives enough tasks is left alone, without a shuffle. Few splits
-    are not trusted where there are fewer files: a Parquet file of one row group
-    may be split, but one task reads all of it. Otherwise the rows are hashed on
-    ``key``, which must be unique or nearly so.
-    """
-    wanted = tasks or df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    if splits >= 4 * wanted:
-        return df
-    if splits >= wanted and len(df.inputFiles() or range(splits)) >= wanted:
-        return df
-    return df.repartition(wanted, key)
+    """Deal the rows to ``tasks`` tasks (default: ``spark.sql.shuffle.partitions``) by a hash of
+    ``key``, which must be unique or nearly so. For compact rows that grow in what follows."""
+    return df.repartition(tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def count_documents(corpus: DataFrame) -> DataFrame:
     return corpus.agg(F.count(F.lit(1)).alias("n_documents"))
+
+
+def count_files(spark: SparkSession, path: str) -> DataFrame:
+    """Number of documents in a folder: those the source reads and those it passes over. No
+    content is parsed."""
+    return count_documents(scan_directory(spark, path))

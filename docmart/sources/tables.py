@@ -12,7 +12,6 @@ from docmart.functions.schema import table_schema
 from docmart.session import path_exists
 
 CODEMAP_SCHEMA = "code_system string, code string, concept_id bigint"
-LITERAL_LIMIT = 10_000
 
 
 def read_codemap(spark: SparkSession, path: str) -> DataFrame:
@@ -43,13 +42,9 @@ def read_tables(
 
 def typed_frame(spark: SparkSession, rows: Sequence[Any], types: Mapping[str, Any]) -> DataFrame:
     """Small local rows under a declared schema (settings, code lists)."""
-    if len(rows) > LITERAL_LIMIT:
-        raise ValueError("write large data to a file and read it; it must not pass through the driver")
     return spark.createDataFrame(list(rows), table_schema(types))
 
 
 def literal_rows(spark: SparkSession, rows: Sequence[Any]) -> DataFrame:
     """Small local rows with an inferred schema."""
-    if len(rows) > LITERAL_LIMIT:
-        raise ValueError("write large data to a file and read it; it must not pass through the driver")
     return spark.createDataFrame(list(rows))

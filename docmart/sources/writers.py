@@ -39,7 +39,12 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def write_each(
-    frames: Mapping[str, DataFrame], base: str, suffix: str = ".parquet", fmt: str = "parquet", at_once: int = 4
+    frames: Mapping[str, DataFrame],
+    base: str,
+    suffix: str = ".parquet",
+    fmt: str = "parquet",
+    at_once: int = 4,
+    max_rows_per_file: int = 0,
 ) -> list[WriteResult]:
     """Write ``{base}/{name}{suffix}`` per frame; a failing one is reported, the rest go on.
 
@@ -56,10 +61,10 @@ def write_each(
                 seen = Observation()
                 write_csv(frame.observe(seen, F.count(F.lit(1)).alias("rows")), path)
                 return WriteResult(name, path, seen.get["rows"])
-            write_table(frame, path)
+            write_table(frame, path, max_rows_per_file=max_rows_per_file)
             return WriteResult(name, path, frame.sparkSession.read.schema(frame.schema).parquet(path).count())
         except Exception as e:  # noqa: BLE001 - any failure of one table must not stop the others
-            return WriteResult(name, path, None, str(e).splitlines()[0])
+            return WriteResult(name, path, None, f"{type(e).__name__}: {e}")
 
     with ThreadPoolExecutor(max_workers=at_once) as pool:
         return list(pool.map(write, frames.items()))
@@ -143,7 +148,7 @@ def compact_tables(
         try:
             results.append(WriteResult(table, target, compact(spark, source, target, schema, files, drop_source)))
         except Exception as e:  # noqa: BLE001 - any failure of one table must not stop the others
-            results.append(WriteResult(table, target, None, str(e).splitlines()[0]))
+            results.append(WriteResult(table, target, None, f"{type(e).__name__}: {e}"))
     return results
 
 

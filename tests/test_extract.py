@@ -108,7 +108,7 @@ def test_several_configs_share_one_pass(spark):
 
 def test_parse_schema_is_minimal_and_all_text():
     schema = parse_schema([IDS])
-    assert schema.simpleString() == "struct<patient:struct<id:array<struct<_extension:string>>>,_corrupt_record:string>"
+    assert schema.simpleString() == "struct<patient:array<struct<id:array<struct<_extension:string>>>>,_corrupt_record:string>"
     assert element_tree([VITALS]).children.keys() == {"component", "patient"}
 
 
@@ -142,18 +142,39 @@ def test_faulty_documents_are_set_aside(spark):
     parsed = parse_documents(corpus(spark, FAULTY), [VITALS])
     bad = {r["file_name"]: (r["doc_id"], r["message"], r["xml"]) for r in quarantine(parsed).collect()}
     assert bad == {
-        "cut.xml": ("cut", "malformed XML", CHART[:200]),
+        "cut.xml": ("cut", "malformed XML: cut off", CHART[:200]),
         "empty.xml": ("empty", "empty document", ""),
         "blank.xml": ("blank", "empty document", " \n\t "),
         "none.xml": ("none", "unreadable document", None),
-        "plain.xml": ("plain", "malformed XML", "no markup"),
-        "entity.xml": ("entity", "malformed XML", FAULTY[6][1]),
+        "plain.xml": ("plain", "malformed XML: not XML", "no markup"),
+        "entity.xml": ("entity", "malformed XML: bad entity", FAULTY[6][1]),
     }
     assert {r["doc_id"] for r in extract(parsed, [VITALS]).collect()} == {"good"}
     counts = {r["doc_id"]: r["counts"]["vitals"] for r in with_counts(parsed, [VITALS]).collect()}
     assert counts == {"good": 3} | {n.removesuffix(".xml"): None for n, _ in FAULTY[1:]}
 
 
+def test_nothing_behind_the_root_is_lost_in_silence(spark):
+    texts = {
+        "<D/>": None,
+        "<D></D><!-- c --> \n<?p?>": None,
+        "<D></D>x": "content after the root",
+        "<D></D><D></D>": "content after the root",
+        "<D/><E/>": "content after the root",
+        "<D><b></D>": "malformed XML: mismatched tag or bad character",
+        "<D>": "malformed XML: cut off",
+    }
+    docs = corpus(spark, [(f"{i}.xml", t) for i, t in enumerate(texts)])
+    found = {int(r["doc_id"]): r["error"] for r in parse_documents(docs, [DomainConfig("c", (document_id(),))]).collect()}
+    assert [found[i] for i in range(len(texts))] == list(texts.values())
+
+
+def test_of_two_elements_where_one_is_declared_the_first_counts(spark):
+    config = DomainConfig("c", (from_path("a", "p.x._v"), from_path("b", "t")), (Step("s", many=False),))
+    docs = corpus(spark, [("d.xml", '<D><s><p><x v="1"/><x v="2"/></p><p><x v="3"/></p><t>4</t><t>5</t></s><s><t>6</t></s></D>')])
+    assert [tuple(r) for r in extract(parse_documents(docs, [config]), [config]).select("a", "b").collect()] == [("1", "4")]
+
+
 def test_document_level_and_single_child_records(spark):
     one = DomainConfig("one", (document_id(), from_path("id", "id._extension")))
     many = DomainConfig("many", (document_id(), from_path("v", "_v")), (Step("r"),))

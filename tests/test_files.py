@@ -53,28 +53,46 @@ def test_files_of_many_documents(spark, tmp_path):
     text = "<all>" + "".join(f'<D><id root="x" extension="{k}"/><i a="{k}"/></D>' for k in range(50)) + "<D><i></D></all>"
     (tmp_path / "many.xml").write_text(text)
     docs = read_documents(spark, str(tmp_path), "D", "id._extension", [ITEMS])
-    assert docs.columns == ["doc_id", "file_name", "doc", "error"]
+    assert docs.columns == ["doc_id", "file_name", "doc", "error", "xml"]
     rows = extract(docs, [ITEMS]).select("doc_id", "a").collect()
     assert sorted((int(d), int(a)) for d, a in rows) == [(k, k) for k in range(50)]
-    assert [r["message"] for r in quarantine(docs).collect()] == ["malformed XML"]
+    assert [r["message"] for r in quarantine(docs).collect()] == ["malformed XML: mismatched tag or bad character"]
     text_config = DomainConfig("t", (from_path("id", "id"),))
     with pytest.raises(ValueError, match="as text"):
         read_documents(spark, str(tmp_path), "D", "id._extension", [text_config])
 
 
+@pytest.mark.parametrize("fault", ["a & b", "</x>", "<i>"])
+def test_a_damaged_document_takes_no_other_along(spark, tmp_path, fault):
+    docs = [f'<D ><id extension="{k}"/><i a="{k}"/></D\n>' for k in range(100)]
+    docs[1] = f'<D><id extension="1"/>{fault}</D>'
+    (tmp_path / "a b+c.xml").write_text('<?xml version="1.0"?>\n<Ds>\n' + "\n".join(docs) + "\n</Ds>")
+    read = read_documents(spark, str(tmp_path), "D", "id._extension", [ITEMS])
+    assert sorted(int(r["a"]) for r in extract(read, [ITEMS]).collect()) == [0, *range(2, 100)]
+    bad = quarantine(read).collect()
+    assert [(r["file_name"], r["xml"]) for r in bad] == [("a b+c.xml", docs[1])]
+
+
+def test_a_large_file_is_split(spark, tmp_path):
+    (tmp_path / "all.xml").write_text("".join(f'<D><id extension="{k}"/><i a="{k}" b="{"x" * 100}"/></D>\n' for k in range(20_000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 18))
+    try:
+        read = read_documents(spark, str(tmp_path), "D", "id._extension", [ITEMS])
+        assert read.rdd.getNumPartitions() > 10
+        assert read.agg(F.countDistinct("doc_id"), F.count("*"), F.count("error")).first() == (20_000, 20_000, 0)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_packed_corpus(spark, tmp_path):
     frame = spark.createDataFrame([("a.xml", "<D/>")], corpus.CORPUS_SCHEMA)
     writers.write_table(frame, str(tmp_path / "packed"))
     assert corpus.scan_packed(spark, str(tmp_path / "packed")).collect() == frame.collect()
 
 
-def test_spread(spark, tmp_path):
-    path = str(tmp_path / "t")
-    spark.range(1000).coalesce(1).write.parquet(path)
-    one_file = spark.read.parquet(path)
-    assert corpus.spread(one_file, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, 1, 40)
-    assert corpus.spread(many, "id") is many
+def test_spread(spark):
+    assert corpus.spread(spark.range(1000).coalesce(1), "id").rdd.getNumPartitions() == 4
+    assert corpus.spread(spark.range(0, 1000, 1, 40), "id", 7).rdd.getNumPartitions() == 7
 
 
 def test_codemap_csv(spark, tmp_path):
@@ -90,8 +108,6 @@ def test_local_frames(spark):
 
     inferred = tables.literal_rows(spark, [Row(a=1, b=2, c="string 1")])
     assert inferred.dtypes == [("a", "bigint"), ("b", "bigint"), ("c", "string")]
-    with pytest.raises(ValueError, match="driver"):
-        tables.typed_frame(spark, [(1,)] * (tables.LITERAL_LIMIT + 1), {"n": np.int64})
 
 
 def test_domain_tables_round_trip_and_rerun(spark, tmp_path):
@@ -109,9 +125,18 @@ def test_a_failing_table_does_not_stop_the_others(spark, tmp_path):
     bad = spark.range(3).select(F.raise_error(F.lit("broken rule")).alias("x"))
     results = writers.write_each({"bad": bad, "good": spark.range(3)}, str(tmp_path))
     assert [r.name for r in results if r.error] == ["bad"]
+    assert "broken rule" in results[0].error
     assert spark.read.parquet(str(tmp_path / "good.parquet")).count() == 3
 
 
+def test_an_error_without_a_message_is_a_result(spark, tmp_path, monkeypatch):
+    def fail(*_, **__):
+        raise RuntimeError
+
+    monkeypatch.setattr(writers, "write_table", fail)
+    assert [r.error for r in writers.write_each({"t": spark.range(1)}, str(tmp_path))] == ["RuntimeError: "]
+
+
 def test_compaction(spark, tmp_path):
     schema = table_schema({"id": np.int64})
     base = str(tmp_path)

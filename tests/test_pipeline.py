@@ -12,7 +12,7 @@ from docmart.operators import report
 from docmart.operators.extract import with_counts
 from docmart.operators.parse import parse_documents
 from docmart.plans import clinical as C
-from docmart.session import path_exists
+from docmart.session import path_exists, work_dir
 from docmart.sources import writers
 
 
@@ -36,7 +36,7 @@ def test_the_two_forms_of_the_corpus_agree(spark, sf):
     """Documents as concatenated text, and as columns through ``to_xml``, parse to the same."""
     columns = [c.alias(n) for n, c in C._document_columns().items()]
     written = F.to_xml(F.struct(*columns), {"rowTag": C.ROOT})
-    intact = C._orders(spark, sf).where("o_orderkey % 97 > 1").select(F.concat("o_orderkey", F.lit(".xml")).alias("file_name"), written.alias("xml"))
+    intact = C._orders(spark, sf).where("o_orderkey % 97 > 2 and o_orderkey % 13 > 0").select(F.concat("o_orderkey", F.lit(".xml")).alias("file_name"), written.alias("xml"))
     direct = C.documents(spark, sf).join(intact.select("file_name"), "file_name", "left_semi")
     a, b = (rows(parse_documents(frame, C.CONFIGS)) for frame in (intact, direct))
     assert len(a) > 1000
@@ -77,10 +77,13 @@ def test_directory_job(spark, sf, tmp_path):
     for r in documents:
         (source / r["file_name"]).write_text(r["xml"], encoding="utf-8")
     writers.write_csv(C.codemap(spark, sf), str(tmp_path / "map.csv"))
+    kept = set(os.listdir(work_dir(spark)))
     written, status = convert_directory(spark, str(source), str(tmp_path / "map.csv"), str(target), C.CONFIGS, C.ROUTING)
     assert not any(r.error for r in written)
     corpus = spark.createDataFrame(documents, "file_name string, xml string")
-    for r in written:
+    assert [r.name for r in written[-3:]] == ["run_status", "quarantine", "unmapped"]
+    assert set(os.listdir(work_dir(spark))) <= kept
+    for r in written[:-3]:
         expected = convert_table(corpus, r.name, C.CONFIGS, C.ROUTING, C.codemap(spark, sf))
         assert rows(spark.read.schema(expected.schema).parquet(r.path)) == rows(expected)
     assert status.where("line LIKE 'OK: %'").count() > 0
@@ -89,6 +92,35 @@ def test_directory_job(spark, sf, tmp_path):
         convert_directory(spark, str(target), str(tmp_path / "map.csv"), str(target), C.CONFIGS, C.ROUTING)
 
 
+def test_a_failed_write_is_no_ok_and_keeps_the_stage(spark, sf, tmp_path, monkeypatch):
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    for r in C.documents(spark, sf).limit(120).collect():
+        (source / r["file_name"]).write_text(r["xml"], encoding="utf-8")
+    writers.write_csv(C.codemap(spark, sf), str(tmp_path / "map.csv"))
+    real = writers.write_table
+
+    def write(df, path, *args, **kwargs):
+        if path.endswith(("/drug.parquet", "/quarantine.parquet")):
+            raise OSError("disk gone")
+        real(df, path, *args, **kwargs)
+
+    monkeypatch.setattr(writers, "write_table", write)
+    before = set(os.listdir(work_dir(spark)))
+    written, status = convert_directory(spark, str(source), str(tmp_path / "map.csv"), str(target), C.CONFIGS, C.ROUTING)
+    assert sorted(r.name for r in written if r.error) == ["drug", "quarantine"]
+    assert status.where("line LIKE 'OK: % -> drug'").count() == 0
+    assert status.where("line LIKE 'ERROR: %table drug not written: OSError: disk gone'").count() > 0
+    assert status.where("line LIKE 'OK: % -> person'").count() > 0
+    assert any("parsed-" in d for d in set(os.listdir(work_dir(spark))) - before)
+
+
+def test_a_table_without_rows_is_removed(spark, sf, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "device.parquet"))
+    convert(C.documents(spark, sf), C.CONFIGS, C.ROUTING, C.codemap(spark, sf)).write(str(tmp_path))
+    assert not (tmp_path / "device.parquet").exists() and (tmp_path / "person.parquet").exists()
+
+
 def test_command_line(spark, sf, tmp_path, capsys):
     from docmart.__main__ import main
 

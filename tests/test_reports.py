@@ -43,9 +43,9 @@ def test_run_status_is_per_whole_document(spark):
     frame = counted(spark, [("a.xml", '<D><r v="1"/><r v="2"/><s v="3"/></D>'), ("b.xml", "<D><n/></D>"), ("c.xml", "<D><r v='1'/>")])
     status = report.run_status(frame, CONFIGS, ROUTING)
     got = sorted(r["line"] for r in status.select(report.status_line().alias("line")).collect())
-    assert got == ["ERROR: c.xml :: malformed XML", "OK: a -> r_table", "OK: a -> s_table"]
+    assert got == ["ERROR: c.xml :: malformed XML: cut off", "OK: a -> r_table", "OK: a -> s_table"]
     assert sorted(map(tuple, report.ok_pairs(status).collect())) == [
-        ("a", "r_table"), ("a", "s_table"), ("c", "quarantine: malformed XML"),
+        ("a", "r_table"), ("a", "s_table"), ("c", "quarantine: malformed XML: cut off"),
     ]
 
 
