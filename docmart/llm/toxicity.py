@@ -6,10 +6,10 @@ is harmless: ``P = 1 - (1 - leak) * prod(1 - p)`` (leaky noisy-or; the leak stan
 that nothing in the text explains). Weights, ``b`` and the leak are fitted on the documents'
 labels; afterwards the sentences' own ``p`` locate the offence.
 
-Features are words and stems (their first four or five letters). Counts by label cover all labelled documents; the ``MAX_WORDS`` that differ most
-are used. The fit itself uses ``MAX_FIT`` labelled documents chosen by a hash of their
-id (a documented bound), in one task, as numbers only. The model has at most ``MAX_WORDS``
-weights, which bounds what is sent to the tasks that score.
+The model is fitted on ``MAX_FIT`` labelled documents, chosen by a hash of their id (a documented
+bound, and with it the only one). Features are words and stems (their first four or five
+letters): the ``MAX_WORDS`` whose shares of toxic and harmless documents differ most. The fit
+runs in one task on the features' numbers. The model's size is bounded by ``MAX_WORDS``.
 
 Cases: a null or empty text has no sentence and scores the leak. A null ``doc_id`` is held
 out. Of several labels of a document the largest counts; null labels are no labels. Without
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmart.llm.common import flush, held_out, rows_of, texts
+from docmart.llm.common import flush, held_out, rows_of, stage, texts
 
 MAX_WORDS = 2048
 MAX_FIT = 20_000
@@ -131,17 +131,19 @@ def fit(bags: pd.DataFrame, start: np.ndarray, steps: int = 300, rate: float = 0
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | None:
-    """The model of all labelled documents that are not held out."""
+    """The model of ``MAX_FIT`` labelled documents that are not held out."""
     own = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).where("toxic is not null and doc_id is not null")
     own = own.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    labelled = texts(docs, id_col, text_col).join(own, "doc_id")
+    # At most MAX_FIT pairs of numbers, hence the broadcast: the texts stay where they are read.
+    sample = F.broadcast(own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT))
+    labelled = stage(texts(docs, id_col, text_col).join(sample, "doc_id"), "labelled")
     sizes = {r.toxic: r["count"] for r in labelled.groupBy((F.col("toxic") == 1).cast("int").alias("toxic")).count().collect()}
     if not sizes:
         return None
     odds = features(word_counts(labelled), sizes.get(1, 0), sizes.get(0, 0))
     words = list(odds)
     start = np.array([odds[w] for w in words])
-    bags = bag_rows(labelled, {w: i for i, w in enumerate(words)}).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT)
+    bags = bag_rows(labelled, {w: i for i, w in enumerate(words)})
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"theta": [fit(part, start).tolist()]})
