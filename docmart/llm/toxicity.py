@@ -1,14 +1,15 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences and only the bag has a label. A sentence scores
-``p = sigmoid(b + sum of its words' weights)``; the document is toxic unless every sentence
-is harmless: ``P = 1 - (1 - leak) * prod(1 - p)`` (leaky noisy-or; the leak stands for labels
-that nothing in the text explains). Weights, ``b`` and the leak are fitted on the documents'
-labels; afterwards the sentences' own ``p`` locate the offence.
+``p = sigmoid(BIAS + sum of its features' weights)``, and 0 without a feature, so that a long text
+is no more suspect than a short one; the document is toxic unless every sentence is harmless:
+``P = 1 - (1 - leak) * prod(1 - p)`` (leaky noisy-or; the leak stands for labels that nothing in
+the text explains). Weights and the leak are fitted on the documents' labels; afterwards the
+sentences' own ``p`` locate the offence.
 
 The model is fitted on ``MAX_FIT`` labelled documents, chosen by a hash of their id (a documented
 bound, and with it the only one). Features are words and stems (their first four or five
-letters): the ``MAX_WORDS`` whose shares of toxic and harmless documents differ most. The fit
+letters): the ``MAX_WORDS`` whose share of toxic documents exceeds that of harmless ones most. The fit
 runs in one task on the features' numbers. The model's size is bounded by ``MAX_WORDS``.
 
 Cases: a null or empty text has no sentence and scores the leak. A null ``doc_id`` is held
@@ -35,6 +36,8 @@ from docmart.llm.common import flush, held_out, rows_of, stage, texts
 MAX_WORDS = 2048
 MAX_FIT = 20_000
 MIN_DOCS = 3  # a feature occurs in so many labelled documents at least
+MIN_ERRORS = 3.0  # standard errors between its shares of toxic and of harmless documents
+BIAS = -9.0
 THRESHOLD = 0.3
 
 _SENTENCE_END = re.compile(r"[.!?\n]+")
@@ -43,7 +46,6 @@ _WORD = re.compile(r"[^\W\d_]+")
 
 class Model(NamedTuple):
     weights: dict[str, float]
-    bias: float
     leak: float
 
 
@@ -74,33 +76,32 @@ def word_counts(labelled: DataFrame) -> DataFrame:
 
 
 def features(counts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
-    """The words whose shares of toxic and clean documents differ most, in standard errors."""
+    """Log-odds of the features that speak for toxicity most, in standard errors."""
     a, b = (F.col("toxic") + 0.5) / (n_toxic + 1), (F.col("clean") + 0.5) / (n_clean + 1)
     error = F.sqrt(a * (1 - a) / (n_toxic + 1) + b * (1 - b) / (n_clean + 1))
-    ranked = counts.where(F.col("toxic") + F.col("clean") >= MIN_DOCS).select("word", F.log(a / b).alias("odds"), (F.abs(a - b) / error).alias("z"))
+    ranked = counts.where(F.col("toxic") + F.col("clean") >= MIN_DOCS).select("word", F.log(a / b).alias("odds"), ((a - b) / error).alias("z")).where(F.col("z") >= MIN_ERRORS)
     return {r.word: r.odds for r in ranked.orderBy(F.desc("z"), "word").limit(MAX_WORDS).collect()}
 
 
 def bag_rows(labelled: DataFrame, index: dict[str, int]) -> DataFrame:
-    """Each document as numbers: its sentences without a feature, and the features of the others."""
+    """Each document as numbers: the features of every sentence that has some."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("plain", pa.int32()), ("words", pa.list_(pa.list_(pa.int32())))])
+        schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("words", pa.list_(pa.list_(pa.int32())))])
         rows: list[tuple] = []
         for doc_id, toxic, data in rows_of(batches, "doc_id", "toxic", "data"):
             found = [[index[w] for w in marks(s) if w in index] for s in sentences(data.decode("utf-8", "replace").lower())]
-            rows.append((doc_id, toxic, sum(not f for f in found), [f for f in found if f]))
+            rows.append((doc_id, toxic, [f for f in found if f]))
             if len(rows) >= 2000:
                 yield flush(schema, rows)
         yield flush(schema, rows)
 
-    return labelled.mapInArrow(make, "doc_id long, toxic int, plain int, words array<array<int>>")
+    return labelled.mapInArrow(make, "doc_id long, toxic int, words array<array<int>>")
 
 
-def fit(bags: pd.DataFrame, start: np.ndarray, steps: int = 300, rate: float = 0.05, ridge: float = 3e-4) -> np.ndarray:
-    """Maximum likelihood by Adam over all bags: weights, then bias, then the leak's logit."""
+def fit(bags: pd.DataFrame, start: np.ndarray, steps: int = 300, rate: float = 0.05, ridge: float = 3e-5) -> np.ndarray:
+    """Maximum likelihood by Adam over all bags: the weights, then the leak's logit."""
     label = bags["toxic"].to_numpy(np.float64)
-    plain = bags["plain"].to_numpy(np.float64)
     owner, sentence, word = [], [], []
     n = 0
     for d, found in enumerate(bags["words"]):
@@ -111,20 +112,18 @@ def fit(bags: pd.DataFrame, start: np.ndarray, steps: int = 300, rate: float = 0
             n += 1
     owner, sentence, word = np.array(owner, int), np.array(sentence, int), np.array(word, int)
     k = len(start)
-    theta = np.concatenate((start, [-7.0, -3.0]))
+    theta = np.append(start, -3.0)
     m, v = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, steps + 1):
-        w, bias, leak = theta[:k], theta[k], theta[k + 1]
-        logit = bias + np.bincount(sentence, w[word], minlength=n)
-        p, p0, pl = (1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (logit, bias, leak))
+        w, leak = theta[:k], theta[k]
+        logit = BIAS + np.bincount(sentence, w[word], minlength=n)
+        p, pl = (1 / (1 + np.exp(-np.clip(x, -30, 30))) for x in (logit, leak))
         # log of the chance that nothing in the document offends
-        calm = -np.bincount(owner, np.logaddexp(0, logit), minlength=len(label)) - plain * np.logaddexp(0, bias) - np.logaddexp(0, leak)
-        calm = np.minimum(calm, -1e-9)
-        q = np.exp(calm)
+        calm = -np.bincount(owner, np.logaddexp(0, logit), minlength=len(label)) - np.logaddexp(0, leak)
+        q = np.exp(np.minimum(calm, -1e-9))
         slope = np.where(label == 1, q / np.maximum(1 - q, 1e-9), -1.0)  # of the log-likelihood by -calm
-        by_sentence = slope[owner] * p
-        g = np.concatenate((np.bincount(word, by_sentence[sentence], minlength=k) - ridge * len(label) * w, [by_sentence.sum() + (slope * plain).sum() * p0, slope.sum() * pl]))
-        g /= len(label)
+        g = np.append(np.bincount(word, (slope[owner] * p)[sentence], minlength=k), slope.sum() * pl) / len(label)
+        g[:k] -= ridge * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta = theta + rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-9)
     return theta
@@ -149,21 +148,18 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return pd.DataFrame({"theta": [fit(part, start).tolist()]})
 
     theta = bags.groupBy().applyInPandas(run, "theta array<double>").first().theta
-    return Model(dict(zip(words, theta, strict=False)), theta[-2], 1 / (1 + math.exp(-theta[-1])))
+    return Model(dict(zip(words, theta, strict=False)), 1 / (1 + math.exp(-theta[-1])))
 
 
 def score_sentences(text: str, model: Model) -> tuple[float, list[tuple[int, float, str]]]:
     """The document's score, and each sentence with a feature: its number, score and text."""
     calm, found, get = 1 - model.leak, [], model.weights.get
-    plain = 1 - 1 / (1 + math.exp(-model.bias))
     for i, s in enumerate(sentences(text)):
         hits = [w for w in map(get, marks(s.lower())) if w is not None]
         if hits:
-            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, model.bias + sum(hits)))))
+            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, BIAS + sum(hits)))))
             found.append((i, p, s))
             calm *= 1 - p
-        else:
-            calm *= plain
     return 1 - calm, found
 
 
