@@ -22,8 +22,9 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmart.llm.common import ALNUM, flush, merge_runs, rows_of, texts
@@ -186,17 +187,34 @@ def shard_rows(ids: list, docs: list[bytes], blocks: list) -> list[tuple]:
     return [(i, len(t.translate(ALNUM).split()), spans.get(n, []), sorted(items.get(n, ()))) for n, (i, t) in enumerate(zip(ids, docs, strict=True))]
 
 
-def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_words, spans, items)``: disjoint half-open spans of words to remove, and the
-    ids of the items that have a phrase there."""
-    spark = docs.sparkSession
+def phrase_blocks(benchmark: DataFrame, window: int = 10, item_col: str = "item_id", item_text_col: str = "text") -> list:
+    """The test set's phrases as broadcast variables of bounded size."""
     tests = texts(benchmark, item_col, item_text_col)
     size = tests.agg(F.sum(F.length("data"))).first()[0] or 0
     n_blocks = size // BLOCK_BYTES + 1
     blocks = []
     for b in range(n_blocks):
         own = tests.where(F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)) == b).collect()
-        blocks.append(spark.sparkContext.broadcast(Phrases.of([(r.doc_id, bytes(r.data)) for r in own], window)))
+        blocks.append(benchmark.sparkSession.sparkContext.broadcast(Phrases.of([(r.doc_id, bytes(r.data)) for r in own], window)))
+    return blocks
+
+
+def hit_column(text: Column, blocks: list) -> Column:
+    """Whether each row's text has a phrase, for filters that need no identifier; an Arrow batch is
+    a shard."""
+
+    @F.pandas_udf("boolean")
+    def run(shard: pd.Series) -> pd.Series:
+        data = [t.encode("utf-8", "replace") for t in shard]
+        return pd.Series([bool(spans) for _, _, spans, _ in shard_rows(range(len(data)), data, blocks)], dtype=bool)
+
+    return run(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_words, spans, items)``: disjoint half-open spans of words to remove, and the
+    ids of the items that have a phrase there."""
+    blocks = phrase_blocks(benchmark, window, item_col, item_text_col)
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", span), ("items", pa.list_(pa.int64()))])
 

@@ -115,7 +115,7 @@ def anchors(values: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> A
 Tokens = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]  # random values and bounds
 
 CHUNK_BYTES = 1 << 20
-HOLD_ROWS = 1 << 22  # rows that a task settles together
+HOLD_ROWS = 1 << 20  # rows that a task settles together
 MULTI, SINGLE, MARK = 0, 1, 2
 FACTOR, EDGE = 0, 1
 
@@ -238,7 +238,7 @@ def _anchor_messages(docs: DataFrame, tokens: Tokens, length: int, gram: int, wi
             found = anchors(*tokens([r[1] for r in rows]), length, gram)
             if len(found.doc):
                 turn = turn or int(found.gram[0] & np.uint64(0x7FFFFFFF))
-                held.append((found.gram, found.context, ids[found.doc], found.first, found.count))
+                held.append((found.gram, found.context, ids[found.doc], found.first.astype(np.uint32), found.count.astype(np.uint32)))
                 waiting += len(found.doc)
             if waiting >= HOLD_ROWS:
                 yield settle(held, turn)
@@ -294,7 +294,7 @@ def _stretch_messages(docs: DataFrame, tokens: Tokens, length: int, within: bool
             place = np.repeat(first, count) + within_run
             owner = np.repeat(of_row, count)
             at = bounds[owner] + place
-            held.append((Hashes(values).of(at, at + half), Hashes(values, 1).of(at + half, at + length), ids[owner], place))
+            held.append((Hashes(values).of(at, at + half), Hashes(values, 1).of(at + half, at + length), ids[owner], place.astype(np.uint32)))
             waiting += len(at)
             if len(at):
                 turn = turn or int(held[-1][0][0] & np.uint64(0x7FFFFFFF))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from docmart.llm.common import rows_of, texts
+from docmart.llm.common import rows_of, stage, texts
 from docmart.llm.components import components
 
 SEED = 42
@@ -150,7 +150,7 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
 
 def near_groups(docs: DataFrame, words_each: int = 5, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, fp, component_id)``: the smallest id that links lead to, its own included."""
-    prints = fingerprints(docs, words_each, id_col, text_col)
+    prints = stage(fingerprints(docs, words_each, id_col, text_col), "prints")
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(distinct.select("fp"), distance), "near")
     of_fp = distinct.join(roots.select(F.col("u").alias("fp"), "v"), "fp", "left").select("fp", "least", F.coalesce("v", "fp").alias("root"))

@@ -28,7 +28,7 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docmart.llm.common import flush, held_out, rows_of, stage, texts
@@ -163,6 +163,16 @@ def score_sentences(text: str, model: Model) -> tuple[float, list[tuple[int, flo
     return 1 - calm, found
 
 
+def score_column(text: Column, model: Model | None) -> Column:
+    """The score of each row's text, for filters that need no identifier."""
+
+    @F.pandas_udf("double")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: score_sentences(t, model)[0] if model else 0.0)
+
+    return run(F.coalesce(text.cast("string"), F.lit("")))
+
+
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``(doc_id, score, offending)``: ``offending`` has number, score and text of every sentence
     that alone reaches the threshold."""
