@@ -33,6 +33,28 @@ _FULL_ISO = "$1-$2-$3T$4:$5:$6"
 _FILL = "00000101000000"
 
 
+# Further spellings, looked at only where the above give nothing: what the text, with commas taken
+# as spaces, looks like, and its pattern. Day-first numbers such as 15.08.2012 are no part of them.
+_CLOCK = r"\d{1,2}:\d{2}"
+_SPELLED = (
+    (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "MMM d yyyy"),
+    (r"^[A-Za-z]{4,} \d{1,2} \d{4}$", "MMMM d yyyy"),
+    (r"^\d{1,2}-[A-Za-z]{3}-\d{4}$", "d-MMM-yyyy"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+    (r"^\d{1,2} [A-Za-z]{4,} \d{4}$", "d MMMM yyyy"),
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
+    (rf"^\d{{4}}-\d{{2}}-\d{{2}} {_CLOCK} [AaPp][Mm]$", "yyyy-MM-dd h:mm a"),
+    (rf"^\d{{4}}-\d{{2}}-\d{{2}} {_CLOCK}:\d{{2}} [AaPp][Mm]$", "yyyy-MM-dd h:mm:ss a"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}} {_CLOCK} [AaPp][Mm]$", "M/d/yyyy h:mm a"),
+    (rf"^\d{{1,2}}/\d{{1,2}}/\d{{4}} {_CLOCK}:\d{{2}} [AaPp][Mm]$", "M/d/yyyy h:mm:ss a"),
+    (r"^\d{8}T\d{4}$", "yyyyMMdd'T'HHmm"),
+    (r"^\d{8}T\d{6}$", "yyyyMMdd'T'HHmmss"),
+    (r"^\d{8}T\d{6}[+-]\d{4}$", "yyyyMMdd'T'HHmmssxx"),
+    (r"^\d{12}[+-]\d{2}:\d{2}$", "yyyyMMddHHmmxxx"),
+    (r"^\d{14}[+-]\d{2}:\d{2}$", "yyyyMMddHHmmssxxx"),
+)
+
+
 def is_null(c: Column, source: T.DataType | None = None) -> Column:
     """True for null and, in floating-point columns, for NaN."""
     if isinstance(source, (T.DoubleType, T.FloatType)):
@@ -45,7 +67,7 @@ def to_int(c: Column, source: T.DataType | None = None, bits: int = 64) -> Colum
     source = source or T.StringType()
     if isinstance(source, T.StringType):
         # Decimal parsing is the strict check, is exact for all 64-bit numbers and truncates.
-        value = c.try_cast("decimal(38,18)").try_cast("bigint")
+        value = F.when(c.rlike(r"^[\x00-\x7F]*$"), c.try_cast("decimal(38,18)")).try_cast("bigint")
     elif isinstance(source, (T.DoubleType, T.FloatType)):
         # The cast of a double saturates at exactly 2^63, hence the guard.
         real = c.cast("double")
@@ -88,6 +110,28 @@ def _iso_text(c: Column) -> Column:
     return F.regexp_replace(filled, _FULL_DIGITS, _FULL_ISO)
 
 
+def _spelled(c: Column, zone: bool) -> Column:
+    """Timestamp of a further spelling, or null. Years of two digits from 69 on are of the last
+    century. Without ``zone`` an offset is taken off first, so that it moves nothing."""
+
+    def normal(text: Column) -> Column:
+        text = F.btrim(F.regexp_replace(text, r"[,\s]+", " "))
+        text = F.regexp_replace(text, r"^(\d{1,2}/\d{1,2}/)(69|[7-9]\d)(?= |$)", "$119$2")
+        text = F.regexp_replace(text, r"^(\d{1,2}/\d{1,2}/)(\d{2})(?= |$)", "$120$2")
+        return text if zone else F.regexp_replace(text, r"^(\d{8}T?\d{4,6})[+-]\d{2}:?\d{2}$", "$1")
+
+    def read(text: Column) -> Column:
+        known = F.lit(None).cast("string")
+        spelled = _SPELLED if zone else (*_SPELLED, (r"^\d{12}$", "yyyyMMddHHmm"), (r"^\d{14}$", "yyyyMMddHHmmss"))
+        for look, pattern in spelled:
+            known = F.when(text.rlike(look), F.lit(pattern)).otherwise(known)
+        return F.try_to_timestamp(text, known)
+
+    # As array functions the text is made once, and none of this gets into generated code, which
+    # would outgrow its limits; few texts come here.
+    return F.when(c.rlike(r"\d\d"), F.get(F.transform(F.transform(F.array(c), normal), read), F.lit(0)))
+
+
 def _as_text(c: Column, source: T.DataType) -> Column:
     if isinstance(source, T.StringType):
         return c
@@ -106,6 +150,7 @@ def to_timestamp(c: Column, source: T.DataType | None = None, formats: Sequence[
         return c.cast("timestamp")
     text = _as_text(c, source)
     rungs = [_iso_text(text).try_cast("timestamp")]
+    rungs += [_spelled(text, zone=True)] if isinstance(source, T.StringType) else []
     rungs += [F.try_to_timestamp(F.trim(text), F.lit(f)) for f in formats]
     return F.coalesce(*rungs)
 
@@ -117,6 +162,7 @@ def to_date(c: Column, source: T.DataType | None = None, formats: Sequence[str]
         return c.cast("date")
     text = _as_text(c, source)
     rungs = [_iso_text(text).try_cast("timestamp_ntz").cast("date")]
+    rungs += [_spelled(text, zone=False).cast("date")] if isinstance(source, T.StringType) else []
     rungs += [F.try_to_timestamp(F.trim(text), F.lit(f)).cast("date") for f in formats]
     return F.coalesce(*rungs)
 

@@ -101,8 +101,15 @@ WITH texts AS (
       WHEN 9 THEN strftime(ts, '%Y%m%d%H')
       WHEN 10 THEN 'abc'
       WHEN 11 THEN '0000'
-      WHEN 12 THEN strftime(ts, '%Y%m%d%H%M') || '+0200' END AS x
-  FROM (SELECT *, l_partkey % 14 AS k,
+      WHEN 12 THEN strftime(ts, '%Y%m%d%H%M') || '+0200'
+      WHEN 14 THEN strftime(ts, '%b %d %Y')
+      WHEN 15 THEN strftime(ts, '%d-%b-%Y')
+      WHEN 16 THEN strftime(ts, '%m/%d/%y')
+      WHEN 17 THEN strftime(ts, '%Y-%m-%d %I:%M %p')
+      WHEN 18 THEN strftime(ts, '%m/%d/%Y %I:%M:%S %p')
+      WHEN 19 THEN strftime(ts, '%Y%m%dT%H%M%S')
+      WHEN 20 THEN strftime(ts, '%Y%m%d%H%M') || '-05:00' END AS x
+  FROM (SELECT *, l_partkey % 21 AS k,
                l_shipdate + to_hours(CAST(l_suppkey % 24 AS INTEGER)) + to_minutes(CAST(l_linenumber AS INTEGER)) AS ts
         FROM lineitem)
 )
@@ -199,8 +206,8 @@ ORACLES: dict[str, str] = {
         FROM texts""",
     "cast_ts": TIME_TEXTS + """
         SELECT l_orderkey, l_linenumber, l_partkey, x,
-          CASE WHEN k IN (9, 10, 11, 13) THEN NULL WHEN k IN (0, 4, 6) THEN date_trunc('day', ts)
-               WHEN k = 3 THEN ts + to_hours(5) WHEN k = 12 THEN ts - to_hours(2)
+          CASE WHEN k IN (9, 10, 11, 13) THEN NULL WHEN k IN (0, 4, 6, 14, 15, 16) THEN date_trunc('day', ts)
+               WHEN k IN (3, 20) THEN ts + to_hours(5) WHEN k = 12 THEN ts - to_hours(2)
                WHEN k = 7 THEN date_trunc('month', ts) WHEN k = 8 THEN date_trunc('year', ts) ELSE ts END AS as_ts
         FROM texts""",
     "cast_str": """

@@ -335,7 +335,7 @@ def _number_texts(spark: SparkSession, sf: str) -> DataFrame:
 def _time_texts(spark: SparkSession, sf: str) -> DataFrame:
     lines = _table(spark, sf, "lineitem")
     shift = F.make_dt_interval(F.lit(0), (F.col("l_suppkey") % 24).cast("int"), F.col("l_linenumber").cast("int"))
-    ts, k = F.col("ts"), F.col("l_partkey") % 14
+    ts, k = F.col("ts"), F.col("l_partkey") % 21
 
     def fmt(pattern: str) -> Column:
         return F.date_format(ts, pattern)
@@ -354,6 +354,13 @@ def _time_texts(spark: SparkSession, sf: str) -> DataFrame:
         .when(k == 10, F.lit("abc"))
         .when(k == 11, F.lit("0000"))
         .when(k == 12, F.concat(fmt("yyyyMMddHHmm"), F.lit("+0200")))
+        .when(k == 14, fmt("MMM dd yyyy"))
+        .when(k == 15, fmt("dd-MMM-yyyy"))
+        .when(k == 16, fmt("MM/dd/yy"))
+        .when(k == 17, fmt("yyyy-MM-dd hh:mm a"))
+        .when(k == 18, fmt("MM/dd/yyyy hh:mm:ss a"))
+        .when(k == 19, fmt("yyyyMMdd'T'HHmmss"))
+        .when(k == 20, F.concat(fmt("yyyyMMddHHmm"), F.lit("-05:00")))
     )
     stamped = lines.withColumn("ts", F.col("l_shipdate") + shift)
     return stamped.select("l_orderkey", "l_linenumber", "l_partkey", x.alias("x"))
