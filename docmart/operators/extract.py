@@ -107,11 +107,18 @@ def lookup_columns(configs: Sequence[DomainConfig]) -> list[str]:
     return list(names)
 
 
-def extract(parsed: DataFrame, configs: Sequence[DomainConfig], parsed_for: Sequence[DomainConfig] | None = None) -> DataFrame:
+def extract(
+    parsed: DataFrame,
+    configs: Sequence[DomainConfig],
+    parsed_for: Sequence[DomainConfig] | None = None,
+    place: bool = False,
+) -> DataFrame:
     """Records of all ``configs`` as text columns, with their document and config.
 
     A column that a config does not declare is null in its rows. ``parsed_for``
-    are the configs the documents were parsed for, if more than ``configs``.
+    are the configs the documents were parsed for, if more than ``configs``. With
+    ``place`` each record also tells its file and its number in it, as
+    ``__file, __place``.
     """
     root = element_tree(parsed_for or configs)
     names = _output_names(configs)
@@ -128,10 +135,17 @@ def extract(parsed: DataFrame, configs: Sequence[DomainConfig], parsed_for: Sequ
 
         arrays.append(F.coalesce(records_array(config, root, doc, make), F.array()))
     every = F.concat(*arrays) if len(arrays) > 1 else arrays[0]
-    rows = parsed.select(F.col("doc_id").alias("r_doc"), F.inline(F.when(F.col("error").isNull(), every)))
+    every = F.when(F.col("error").isNull(), every)
+    where = []
+    if place:
+        where = [F.col("r_file").alias("__file"), F.col("pos").alias("__place")]
+        rows = parsed.select(F.col("doc_id").alias("r_doc"), F.col("file_name").alias("r_file"), F.posexplode(every))
+        rows = rows.select("r_doc", "r_file", "pos", "col.*")
+    else:
+        rows = parsed.select(F.col("doc_id").alias("r_doc"), F.inline(every))
     own_id = [] if "doc_id" in names else [F.col("r_doc").alias("doc_id")]
     return rows.select(
-        *own_id, F.col("r_config").alias(CONFIG), *[F.col(f"r_{i}").alias(n) for i, n in enumerate(names)]
+        *where, *own_id, F.col("r_config").alias(CONFIG), *[F.col(f"r_{i}").alias(n) for i, n in enumerate(names)]
     )
 
 

@@ -310,9 +310,9 @@ ORACLES: dict[str, str] = {
         FROM records WHERE config = 'medications'""",
     "csv_per_doc": RECORDS + """
         SELECT doc_id || '.xml__results.csv' AS file_name,
-          'doc_id,person_id,visit_id,seq,source_code,value,unit,measured_at,measured_on,value_int' || chr(13) || chr(10)
+          'doc_id,person_id,visit_id,seq,source_code,concept_id,value,unit,measured_at,measured_on,value_int' || chr(13) || chr(10)
           || string_agg(doc_id || ',' || CAST(person_id AS VARCHAR) || ',' || CAST(visit_id AS VARCHAR) || ','
-             || CAST(seq AS VARCHAR) || ',' || source_code || ',' || COALESCE(raw_value, '') || ',u,' || raw_time || ','
+             || CAST(seq AS VARCHAR) || ',' || source_code || ',' || CAST(concept_id AS VARCHAR) || ',' || COALESCE(raw_value, '') || ',u,' || raw_time || ','
              || raw_time || ',' || COALESCE(raw_value, ''), chr(13) || chr(10) ORDER BY seq)
           || chr(13) || chr(10) AS csv
         FROM records WHERE config = 'results' GROUP BY doc_id""",

@@ -557,8 +557,12 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def csv_per_doc(spark: SparkSession, sf: str) -> DataFrame:
-    """The CSV file of every document and config, packed as rows."""
-    return writers.document_csv(parse_documents(C.documents(spark, sf), [C.RESULTS]), C.RESULTS)
+    """The CSV file of every document, looked-up column included: packed as rows, through the CSV sink."""
+    parsed = parse_documents(C.documents(spark, sf), [C.RESULTS])
+    packed = writers.document_csv(parsed, C.RESULTS, unique_codemap(C.codemap(spark, sf)))
+    path = scratch_path(spark, "csv-per-document")
+    writers.write_csv(packed, path)
+    return spark.read.schema(packed.schema).options(**writers.CSV_OPTIONS, multiLine="true").csv(path)
 
 
 @_query

@@ -10,14 +10,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docmart.operators.extract import field_columns, records_array
-from docmart.operators.parse import element_tree
+from docmart.operators.extract import extract, lookup_columns
+from docmart.operators.lookup import apply_lookups
 from docmart.plans.config import DomainConfig
 from docmart.session import delete_path, path_exists
 
 CSV_LINE_END = "\r\n"
 # Pandas-compatible CSV text: quotes are doubled, null is an empty cell.
-CSV_OPTIONS = {"header": "true", "escape": '"', "emptyValue": "", "timestampFormat": "yyyy-MM-dd HH:mm:ss"}
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "emptyValue": "",
+    "timestampFormat": "yyyy-MM-dd HH:mm:ss",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 @dataclass(frozen=True)
@@ -89,27 +96,28 @@ def _csv_cell(c):
     return F.when(c.rlike(r'[",\r\n]'), quoted).otherwise(F.coalesce(c, F.lit("")))
 
 
-def document_csv(parsed: DataFrame, config: DomainConfig, parsed_for: Sequence[DomainConfig] | None = None) -> DataFrame:
+def document_csv(
+    parsed: DataFrame,
+    config: DomainConfig,
+    codemap: DataFrame | None = None,
+    parsed_for: Sequence[DomainConfig] | None = None,
+) -> DataFrame:
     """The CSV text of one config for every document: ``file_name, csv``.
 
     The scalable form of a CSV file per document: same names and content, packed
-    as rows. Looked-up columns are left out. Documents without data have no row.
+    as rows. Documents without data have no row. ``codemap`` is unique, and needed
+    where the config looks codes up. Lines are gathered per document, so a group is
+    bounded by what a document holds.
     """
-    root = element_tree(parsed_for or [config])
-    fields = [f for f in config.fields if f.kind != "lookup"]
-    header = ",".join(f.out for f in fields) + CSV_LINE_END
-
-    def make(nodes, columns, index):
-        cells = [_csv_cell(c) for f in fields for c in field_columns(f, nodes, columns, index).values()]
-        return F.concat(F.concat_ws(",", *cells), F.lit(CSV_LINE_END))
-
-    n = F.array_size(records_array(config, root, F.col("doc")))
-    lines = records_array(config, root, F.col("doc"), make)
-    text = F.concat(F.lit(header), F.array_join(lines, ""))
-    name = F.concat("file_name", F.lit(f"__{config.name}.csv"))
-    file = F.array(F.struct(name.alias("file_name"), text.alias("csv")))
-    file = F.when(F.col("error").isNull() & (n > 0), file)
-    return parsed.select(F.inline(file))
+    if lookup_columns([config]) and codemap is None:
+        raise ValueError(f"{config.name} looks codes up: give a codemap")
+    records = apply_lookups(extract(parsed, [config], parsed_for, place=True), [config], codemap)
+    cells = [_csv_cell(F.col(f"`{f.out}`").cast("string")) for f in config.fields]
+    line = F.concat(F.concat_ws(",", *cells), F.lit(CSV_LINE_END))
+    lines = records.groupBy("__file").agg(F.array_sort(F.collect_list(F.struct("__place", line.alias("line")))).alias("lines"))
+    header = ",".join(f.out for f in config.fields) + CSV_LINE_END
+    text = F.concat(F.lit(header), F.array_join(F.col("lines.line"), ""))
+    return lines.select(F.concat("__file", F.lit(f"__{config.name}.csv")).alias("file_name"), text.alias("csv"))
 
 
 def compact(
