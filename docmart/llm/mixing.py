@@ -37,7 +37,7 @@ def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _scan(shares: DataFrame, points: list[float], budget: float | None) -> list[tuple[float, float, float]]:
     """Exponent, entropy and largest number of repeats at each point; one row per point comes back."""
-    at = shares.crossJoin(F.broadcast(shares.sparkSession.createDataFrame([(p,) for p in points], "a double")))
+    at = shares.select("*", F.explode(F.array(*[F.lit(p) for p in points])).alias("a"))
     x = F.col("a") * F.col("log_share")
     sums = at.groupBy("a").agg(
         F.sum(F.exp(x)).alias("z"), F.sum(x * F.exp(x)).alias("xz"), F.max(F.exp(x) / F.col("tokens")).alias("densest")
