@@ -20,6 +20,9 @@ from docmart.sources.tables import read_codemap
 from docmart.sources.writers import WriteResult, write_csv_per_document, write_each
 
 
+CODES = "-codes"
+
+
 def build_table(
     parsed: DataFrame,
     table: str,
@@ -58,7 +61,11 @@ class Conversion:
     stage: str
     configs: list[DomainConfig]
     routing: Routing
-    codemap: DataFrame
+
+    @property
+    def codemap(self) -> DataFrame:
+        """One concept per code, stored beside the documents: made once for all tables."""
+        return self.spark.read.parquet(f"{self.stage}{CODES}")
 
     @property
     def parsed(self) -> DataFrame:
@@ -122,6 +129,7 @@ class Conversion:
 
     def drop_stage(self) -> None:
         delete_path(self.spark, self.stage)
+        delete_path(self.spark, f"{self.stage}{CODES}")
 
 
 def convert_parsed(
@@ -139,10 +147,11 @@ def convert_parsed(
     done.
     """
     spark = parsed.sparkSession
-    stage = scratch_path(spark, "parsed")
+    stage = scratch_path(spark, "parsed", keep=True)
     with_counts(parsed, configs).write.parquet(stage)
+    unique_codemap(codemap).write.parquet(f"{stage}{CODES}")
     kept = routing.select_domains(exclude=exclude_domains)
-    return Conversion(spark, stage, list(configs), kept, unique_codemap(codemap))
+    return Conversion(spark, stage, list(configs), kept)
 
 
 def convert(

@@ -591,7 +591,8 @@ def convert_job(spark: SparkSession, sf: str) -> DataFrame:
     job = convert(C.documents(spark, sf), C.CONFIGS, C.ROUTING, C.codemap(spark, sf))
     failed = [r for r in job.write(base) if r.error]
     if failed:
-        raise RuntimeError(f"tables not written: {failed}")
+        raise RuntimeError(f"tables not written: {failed}; the parsed documents are in {job.stage}")
+    job.drop_stage()
     read = tables.read_tables(spark, base, job.table_names(), {t: C.ROUTING.schema(t) for t in job.table_names()})
     counts = [
         df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("doc_id").alias("n_documents")).select(

@@ -58,9 +58,17 @@ def work_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below :func:`work_dir`; never one that exists already."""
-    return f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A fresh path below :func:`work_dir`; never one that exists already. What is written there
+    goes when the driver ends, unless ``keep``: then the caller deletes it."""
+    path = f"{work_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if keep:
+        return path
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    fs.deleteOnExit(folder)
+    return f"{path}/data"
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:

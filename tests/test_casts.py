@@ -108,6 +108,29 @@ def test_timestamp_vectors(spark):
     assert run(spark, NO_TIMES, casts.to_timestamp(F.col("x"))) == [None] * len(NO_TIMES)
 
 
+SPELLED = {
+    "Aug 15 2012": (dt.date(2012, 8, 15), dt.datetime(2012, 8, 15)),
+    "August 15, 2012": (dt.date(2012, 8, 15), dt.datetime(2012, 8, 15)),
+    "15-AUG-2012": (dt.date(2012, 8, 15), dt.datetime(2012, 8, 15)),
+    "08/15/12": (dt.date(2012, 8, 15), dt.datetime(2012, 8, 15)),
+    "1/2/85": (dt.date(1985, 1, 2), dt.datetime(1985, 1, 2)),
+    "2012-08-15 10:30 PM": (dt.date(2012, 8, 15), dt.datetime(2012, 8, 15, 22, 30)),
+    "8/15/2012 3:04:05 pm": (dt.date(2012, 8, 15), dt.datetime(2012, 8, 15, 15, 4, 5)),
+    "20120815T103000": (dt.date(2012, 8, 15), dt.datetime(2012, 8, 15, 10, 30)),
+    "20120815T233000-0500": (dt.date(2012, 8, 15), dt.datetime(2012, 8, 16, 4, 30)),
+    "201208151030-05:00": (dt.date(2012, 8, 15), dt.datetime(2012, 8, 15, 15, 30)),
+    "15.08.2012": (None, None),
+    "Aug 45 2012": (None, None),
+    "13/45/12": (None, None),
+}
+
+
+def test_further_spellings(spark):
+    assert run(spark, SPELLED, casts.to_date(F.col("x"))) == [d for d, _ in SPELLED.values()]
+    assert run(spark, SPELLED, casts.to_timestamp(F.col("x")).cast("timestamp_ntz")) == [t for _, t in SPELLED.values()]
+    assert run(spark, ["٣"], casts.to_int(F.col("x"))) == run(spark, ["٣"], casts.to_float(F.col("x"))) == [None]
+
+
 def test_local_date_does_not_depend_on_the_session_zone(spark):
     try:
         for zone in ("America/New_York", "Asia/Tokyo"):
