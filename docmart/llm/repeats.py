@@ -114,8 +114,8 @@ def anchors(values: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> A
 
 Tokens = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]  # random values and bounds
 
-CHUNK_BYTES = 1 << 20
-HOLD_ROWS = 1 << 20  # rows that a task settles together
+CHUNK_BYTES = 1 << 18
+HOLD_ROWS = 1 << 18  # rows that a task settles together
 MULTI, SINGLE, MARK = 0, 1, 2
 FACTOR, EDGE = 0, 1
 
@@ -163,9 +163,11 @@ _NAMES = ["bucket", "kind", "a", "b", "doc", "place", "count"]
 _DDL = "bucket int, kind int, a binary, b binary, doc binary, place binary, count binary"
 
 
-def _send(messages: list[tuple]) -> pa.RecordBatch:
+def _send(messages: list[tuple]) -> Iterator[pa.RecordBatch]:
     types = [pa.int32(), pa.int32()] + [pa.binary()] * 5
-    return pa.record_batch([pa.array([m[i] for m in messages], t) for i, t in enumerate(types)], names=_NAMES)
+    for i in range(0, len(messages), 64):
+        part = messages[i : i + 64]
+        yield pa.record_batch([pa.array([m[k] for m in part], t) for k, t in enumerate(types)], names=_NAMES)
 
 
 def _deal(kind: int, a: np.ndarray, b: np.ndarray, doc: np.ndarray, place: np.ndarray, count: np.ndarray, n: int) -> list[tuple]:
@@ -213,7 +215,7 @@ def _runs(doc: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _anchor_messages(docs: DataFrame, tokens: Tokens, length: int, gram: int, within: bool, n: int) -> DataFrame:
-    def settle(held: list[tuple], turn: int) -> pa.RecordBatch:
+    def settle(held: list[tuple], turn: int) -> Iterator[pa.RecordBatch]:
         gram_, context, doc, place, count = _sorted(*(np.concatenate([h[i] for h in held]) for i in range(5)))
         new = _starts(gram_, context)
         twin = _same_place(new, doc, place)
@@ -241,10 +243,10 @@ def _anchor_messages(docs: DataFrame, tokens: Tokens, length: int, gram: int, wi
                 held.append((found.gram, found.context, ids[found.doc], found.first.astype(np.uint32), found.count.astype(np.uint32)))
                 waiting += len(found.doc)
             if waiting >= HOLD_ROWS:
-                yield settle(held, turn)
+                yield from settle(held, turn)
                 held, waiting, turn = [], 0, turn + 1
         if held:
-            yield settle(held, turn)
+            yield from settle(held, turn)
 
     return docs.mapInArrow(run, _DDL)
 
@@ -271,7 +273,7 @@ def _settle_anchors(messages: DataFrame, within: bool) -> DataFrame:
 def _stretch_messages(docs: DataFrame, tokens: Tokens, length: int, within: bool, n: int) -> DataFrame:
     half = length // 2
 
-    def settle(held: list[tuple], turn: int) -> pa.RecordBatch:
+    def settle(held: list[tuple], turn: int) -> Iterator[pa.RecordBatch]:
         low, high, doc, place = (np.concatenate([h[i] for h in held]) for i in range(4))
         low, high, doc, place, _ = _sorted(low, high, doc, place, place)
         new = _starts(low, high)
@@ -299,10 +301,10 @@ def _stretch_messages(docs: DataFrame, tokens: Tokens, length: int, within: bool
             if len(at):
                 turn = turn or int(held[-1][0][0] & np.uint64(0x7FFFFFFF))
             if waiting >= HOLD_ROWS:
-                yield settle(held, turn)
+                yield from settle(held, turn)
                 held, waiting, turn = [], 0, turn + 1
         if waiting:
-            yield settle(held, turn)
+            yield from settle(held, turn)
 
     return docs.mapInArrow(run, _DDL)
 
