@@ -120,6 +120,8 @@ def loss_table(rows: DataFrame, index: dict[bytes, int], single: np.ndarray, siz
 def score(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: int = VOCABULARY) -> DataFrame:
     """``(doc_id, n_words, score)``; ``targets`` has the ids of the target documents."""
     chosen = targets.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id is not null").distinct().withColumn("target", F.lit(True))
+    # The targets grow with the corpus and are never broadcast; each id is there once.
+    chosen = chosen.hint("shuffle_merge")
     rows = stage(texts(docs, id_col, text_col).join(chosen, "doc_id", "left").select("doc_id", "data", F.coalesce("target", F.lit(False)).alias("target")), "lm")
     counts = stage(word_counts(rows), "words")
     total = counts.agg(F.sum("everywhere").alias("n"), F.sum("target").alias("t")).first()
