@@ -128,8 +128,9 @@ def _spelled(c: Column, zone: bool) -> Column:
         return F.try_to_timestamp(text, known)
 
     # As array functions the text is made once, and none of this gets into generated code, which
-    # would outgrow its limits; few texts come here.
-    return F.when(c.rlike(r"\d\d"), F.get(F.transform(F.transform(F.array(c), normal), read), F.lit(0)))
+    # would outgrow its limits; few texts come here. There is no year 0.
+    found = F.filter(F.transform(F.transform(F.array(c), normal), read), lambda t: F.year(t) > 0)
+    return F.when(c.rlike(r"\d\d"), F.get(found, F.lit(0)))
 
 
 def _as_text(c: Column, source: T.DataType) -> Column:

@@ -22,7 +22,7 @@ UNREADABLE_DOCUMENT = "unreadable document"
 AFTER_ROOT = "content after the root"
 MALFORMED_DOCUMENT = "malformed XML"
 CUT_OFF = f"{MALFORMED_DOCUMENT}: cut off"
-BAD_ENTITY = r"&(?!(?:amp|lt|gt|quot|apos|#\d+|#x[0-9a-fA-F]+);)"
+BAD_ENTITY = f"{MALFORMED_DOCUMENT}: bad entity"
 BAD_TAG = f"{MALFORMED_DOCUMENT}: mismatched tag or bad character"
 NOT_XML = f"{MALFORMED_DOCUMENT}: not XML"
 
@@ -30,7 +30,7 @@ _MISC = r"(?:\s++|<\?.*?\?>|<!--.*?-->)"
 _ROOT = rf"(?s)\A\x{{FEFF}}?(?:{_MISC}|<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>)*+<([^\s/>!?<&]++)(?=[\s/>])"
 _HAS_END = rf"{_ROOT}(?:[^<>]*?/>|.*?</\1\s*>)"
 _GOES_ON = rf"{_HAS_END}(?!{_MISC}*+\z)"
-_ENTITY = r"&(?!(?:[A-Za-z_:][\w:.-]*|#\d+|#x[0-9a-fA-F]+);)"
+_ENTITY = r"&(?!(?:amp|lt|gt|quot|apos|#\d+|#x[0-9a-fA-F]+);)"
 
 PARSE_OPTIONS = {
     "mode": "PERMISSIVE",

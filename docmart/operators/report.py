@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docmart.operators.running import Total, running
 from docmart.plans.config import DomainConfig, Routing
 
 OK, ERROR = "OK", "ERROR"
@@ -106,37 +107,16 @@ def ok_pairs(status: DataFrame) -> DataFrame:
     return status.select("doc_id", F.coalesce("table", F.concat(F.lit("quarantine: "), "message")).alias("outcome"))
 
 
-def running_total(df: DataFrame, group: str, key: str, value: str, digits: int = 3) -> DataFrame:
+def running_total(df: DataFrame, group: str, key: str, value: str, tasks: int | None = None) -> DataFrame:
     """``group, key, value`` with the ``running`` sum so far and the ``position``.
 
-    The order within a group is by ``(md5(key), key)``. A plain window over a
-    group would put all of its rows into one task; here each group is cut into
-    blocks by the first ``digits`` hex digits of the hash, summed block by block, and
-    every block is shifted by the total of the blocks before it. Choose ``digits`` so
-    that ``16 ** digits`` blocks of a group fit tasks. Only block totals move to find the shifts; the rows stay in the one shuffle that both
-    sides share because they need the same columns of it.
+    The order within a group is by ``(md5(key), key)``. A group of any size spreads over ranges
+    of that order (:func:`docmart.operators.running.running`); ``tasks`` is their number.
     """
-    hashed = df.select(group, key, value, F.md5(F.col(key).cast("binary")).alias("__hash"))
-    hashed = hashed.withColumn("__block", F.substring("__hash", 1, digits))
-    within = Window.partitionBy(group, "__block").orderBy("__hash", key).rowsBetween(Window.unboundedPreceding, 0)
-    local = hashed.withColumn("__sum", F.sum(value).over(within)).withColumn("__pos", F.count(F.lit(1)).over(within))
-    blocks = local.groupBy(group, "__block").agg(F.max("__sum").alias("total"), F.max("__pos").alias("size"))
-    before = Window.partitionBy(group).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = blocks.select(
-        group,
-        "__block",
-        F.coalesce(F.sum("total").over(before), F.lit(0)).alias("__shift"),
-        F.coalesce(F.sum("size").over(before), F.lit(0)).alias("__skip"),
-    )
-    # A left join: an inner one would add a null filter to one side only and
-    # keep the two from sharing the shuffle.
-    return local.join(shifts, [group, "__block"], "left").select(
-        group,
-        key,
-        value,
-        (F.coalesce("__sum", F.lit(0)) + F.col("__shift")).alias("running"),
-        (F.col("__pos") + F.col("__skip")).alias("position"),
-    )
+    narrow = df.select(group, key, value)
+    order = [F.md5(F.col(key).cast("binary")), F.col(key)]
+    totals = {"running": Total("sum", F.col(value)), "position": Total("sum", F.lit(1).cast("bigint"))}
+    return running(narrow, [group], order, totals, tasks)
 
 
 def shape_log(counted: DataFrame, configs: Sequence[DomainConfig]) -> DataFrame:

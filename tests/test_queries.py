@@ -7,13 +7,16 @@ import pytest
 
 import __spark_entry__ as entry
 import check_oracle
+from docmart.plans.queries import QUERIES as OWN
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: query for name, query in entry.queries().items() if name in OWN}
+SQL = entry.oracle_sql()
 
 
 def test_registry():
-    assert set(SQL) <= set(QUERIES)
-    assert set(QUERIES) - set(SQL) == {"output_files"}
+    assert set(QUERIES) == set(OWN)
+    assert set(SQL) <= set(entry.queries())
+    assert set(OWN) <= set(SQL)
 
 
 def test_entry(spark):
@@ -48,7 +51,7 @@ def skewed(tmp_path_factory, sf):
     return str(target)
 
 
-@pytest.mark.parametrize("name", [q for q in QUERIES if q in SQL])
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_on_skewed_tables(spark, skewed, name):
     verdict, n = check_oracle.compare(spark, check_oracle.connect(skewed), QUERIES[name], SQL[name], skewed)
     assert verdict == "ok"

@@ -82,10 +82,29 @@ def test_running_total_against_brute_force(spark):
 
 
 def test_running_total_reads_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
     frame = spark.range(1000).select(F.lit("g").alias("g"), F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
-    out = report.running_total(frame.repartition(3), "g", "k", "v")
-    out.collect()
-    assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+    out = report.running_total(frame.repartition(3).mapInArrow(count, frame.schema), "g", "k", "v")
+    assert out.count() == 1000
+    assert seen.value == 1000
+
+
+def test_one_hot_group_spreads_over_the_ranges(spark):
+    frame = spark.range(20_000).select(F.lit("g").alias("g"), F.col("id").cast("string").alias("k"), F.col("id").alias("v"))
+    largest = []
+    for tasks in (4, 16):
+        plan = report.running_total(frame, "g", "k", "v", tasks)
+        assert plan.agg(F.max("running")).first()[0] == 19_999 * 10_000
+        path = plan.inputFiles()[0].rsplit("/", 1)[0]
+        sizes = spark.read.parquet(path).groupBy("__range").count()
+        largest.append(sizes.agg(F.max("count")).first()[0])
+    assert largest[0] < 2 * 20_000 / 4 and largest[1] < 2 * 20_000 / 16
 
 
 def test_shape_log(spark):

@@ -1,0 +1,71 @@
+"""Running totals and packing against brute force."""
+
+from __future__ import annotations
+
+import random
+from functools import reduce
+
+import pytest
+from pyspark.sql import functions as F
+
+from docmart.operators.running import Total, pack, running
+
+
+@pytest.mark.parametrize("tasks", [1, 3, 9])
+def test_running_against_brute_force(spark, tasks):
+    rng = random.Random(tasks)
+    rows = [(rng.choice([None, "a", "a", "a", "b"]), rng.choice([1, 2]), i, rng.choice([None, rng.randrange(-50, 50)])) for i in range(800)]
+    frame = spark.createDataFrame(rows, "g string, h int, k long, v long").repartition(5)
+    totals = {
+        "s": Total("sum", F.col("v")),
+        "x": Total("xor", F.col("v")),
+        "m": Total("max", F.col("v")),
+        "l": Total("last", F.when(F.col("v") > 0, F.col("v"))),
+        "n": Total("sum", F.lit(1).cast("long")),
+    }
+    got = {r["k"]: r for r in running(frame, ["g", "h"], [F.col("k")], totals, tasks).collect()}
+    assert len(got) == len(rows)
+    for g in (None, "a", "b"):
+        for h in (1, 2):
+            seen = []
+            for _, _, k, v in sorted(r[2:3] * 3 + r[3:] for r in rows if r[0] == g and r[1] == h):
+                seen.append(v)
+                known = [x for x in seen if x is not None]
+                row = got[k]
+                assert (row["g"], row["h"], row["v"]) == (g, h, v)
+                assert row["s"] == sum(known)
+                assert row["x"] == reduce(lambda a, b: a ^ b, known, 0)
+                assert row["m"] == max(known, default=None)
+                assert row["l"] == next((x for x in reversed(known) if x > 0), None)
+                assert row["n"] == len(seen)
+
+
+def test_running_of_nothing_and_without_a_group(spark):
+    none = spark.createDataFrame([], "k long, v long")
+    assert running(none, [], [F.col("k")], {"s": Total("sum", F.col("v"))}).collect() == []
+    some = spark.range(50).select(F.col("id").alias("k"), F.lit(2).alias("v"))
+    got = running(some, [], [F.col("k")], {"s": Total("sum", F.col("v"))}, 7)
+    assert {r["k"]: r["s"] for r in got.collect()} == {i: 2 * i + 2 for i in range(50)}
+
+
+def loads(frame, size):
+    return [sum(size(r) for r in part) for part in frame.rdd.glom().collect()]
+
+
+def test_pack_of_mixed_sizes(spark):
+    """One per cent of giants, a hundred times as large as the others."""
+    rows = spark.range(3000).select(F.col("id"), F.when(F.col("id") % 100 == 0, F.lit(10_000)).otherwise(F.lit(100)).alias("n"))
+    load = 50_000
+    packed = pack(rows, F.col("n"), "id", load)
+    sizes = sorted(loads(packed, lambda r: r["n"]))
+    assert sum(sizes) == 30 * 10_000 + 2970 * 100
+    assert sizes[-1] <= load + 10_000
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    assert packed.columns == ["id", "n"]
+
+
+def test_pack_keeps_nulls_and_nothing(spark):
+    rows = spark.createDataFrame([(None, 5), (1, None), (2, 70), (3, 900)], "id long, n int")
+    packed = pack(rows, F.col("n"), "id", 100)
+    assert sorted(map(str, packed.collect())) == sorted(map(str, rows.collect()))
+    assert pack(rows.limit(0), F.col("n"), "id", 100).count() == 0
