@@ -1,0 +1,116 @@
+"""Byte-level BPE against the reference library of the vocabulary's format, and round trips."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from docmart.llm import bpe
+
+PATH = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return bpe.Vocabulary.read(PATH, public_tokenizers.PATTERN)
+
+
+@pytest.fixture(scope="module")
+def twin():
+    with open(PATH, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("twin", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_hash_is_minimal_and_perfect(vocabulary):
+    n = len(vocabulary.ranks)
+    assert len(vocabulary.slot_tokens) == n
+    assert set(vocabulary.slot_tokens) == set(vocabulary.ranks)
+    assert vocabulary.whole(list(vocabulary.ranks)) == list(vocabulary.ranks.values())
+    assert vocabulary.whole([b"\x00no token\x00", b""]) == [-1, -1]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 5, 17, 1000])
+def test_hash_of_few_keys(n):
+    rng = random.Random(n)
+    keys = np.array([rng.getrandbits(64) for _ in range(n)], np.uint64)
+    assert sorted(bpe.PerfectHash(keys).slots(keys).tolist()) == list(range(n))
+
+
+@given(st.text(max_size=200))
+@settings(max_examples=400, deadline=None)
+def test_any_text(vocabulary, twin, text):
+    (_, ids), = vocabulary.encode_all(iter([(0, text)]))
+    assert ids.tolist() == twin.encode_ordinary(text)
+
+
+@given(st.binary(min_size=1, max_size=60))
+@settings(max_examples=300, deadline=None)
+def test_merges_of_any_bytes(vocabulary, twin, piece):
+    ids = vocabulary.whole([piece])
+    assert (ids if ids != [-1] else vocabulary.merged(piece)) == twin._core_bpe.encode_single_piece(piece)
+
+
+def brute(text, twin):
+    ids = twin.encode_ordinary(text or "")
+    return len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_encode_and_decode_a_table(spark, docs, corpus, vocabulary, twin, monkeypatch):
+    from pyspark.sql import functions as F
+
+    got = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    rows = got.select("doc_id", "n_tokens", F.sha2("packed", 256), F.sha2("data", 256)).collect()
+    want = sorted(str((i, *brute(t, twin))) for i, t, *_ in corpus)
+    assert sorted(str(tuple(r)) for r in rows) == want
+
+
+def test_long_texts_and_runs(vocabulary, twin, monkeypatch):
+    monkeypatch.setattr(bpe, "LONG", 500)
+    monkeypatch.setattr(bpe, "BLOCK", 64)
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcé \n1漢!") for _ in range(rng.choice([3, 90, 2000]))) for _ in range(60)]
+    texts += ["a" * 5000, " " * 3000, "ab" * 3000, "", "  x"]
+    got = list(vocabulary.encode_all(iter(enumerate(texts))))
+    assert [k for k, _ in got] == list(range(len(texts)))
+    assert [ids.tolist() for _, ids in got] == [twin.encode_ordinary(t) for t in texts]
+
+
+def test_a_long_run_is_merged_fast(vocabulary, twin):
+    run = "xq" * 100_000
+    (_, ids), = vocabulary.encode_all(iter([(0, run)]))
+    assert b"".join(vocabulary.token_of[i] for i in ids.tolist()) == run.encode()
+
+
+def test_bytes_that_are_no_text(spark, vocabulary):
+    frame = spark.sql("SELECT 1L AS doc_id, CAST(X'61FF62' AS STRING) AS text UNION ALL SELECT 1L, CAST(X'61FF62' AS STRING)")
+    assert {bytes(r["data"]) for r in bpe.decode(bpe.encode(frame, vocabulary), vocabulary).collect()} == {"a�b".encode()}
+
+
+def test_of_nothing_and_null_ids(spark, none, vocabulary):
+    assert bpe.decode(bpe.encode(none, vocabulary), vocabulary).count() == 0
+    frame = spark.createDataFrame([(1, None), (2, [None, 0]), (3, [])], "doc_id long, ids array<int>")
+    got = {r["doc_id"]: (r["n_tokens"], bytes(r["data"])) for r in bpe.decode(frame, vocabulary).collect()}
+    assert got == {1: (0, b""), 2: (1, vocabulary.token_of[0]), 3: (0, b"")}
+
+
+def test_a_vocabulary_needs_every_byte():
+    with pytest.raises(ValueError, match="no token for the bytes"):
+        bpe.Vocabulary({b"a": 0}, public_tokenizers.PATTERN)
+
+
+def test_query(spark, sf, twin):
+    from docmart.llm.queries import QUERIES
+
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op11_bpe"](spark, sf).collect()
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in rows} == {i: brute(t, twin) for i, t in texts.items()}
+    assert len(rows) == len(texts)
