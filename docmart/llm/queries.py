@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmart.llm import bpe, chat_tools, exact_dedup, fm_index, langid, lm_score, mixing, rlz, simhash, suffix, toxicity
+from docmart.llm import bpe, chat_tools, exact_dedup, fm_index, importance, langid, lm_score, mixing, rlz, simhash, suffix, toxicity
 from docmart.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,3 +205,9 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
     decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), vocabulary), vocabulary)
     return decoded.select("doc_id", "n_tokens", F.sha2("packed", 256).alias("ids_sha256"), F.sha2("data", 256).alias("decoded_sha256"))
+
+
+@_query
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
