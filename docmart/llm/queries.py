@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmart.llm import bpe, chat_tools, exact_dedup, fm_index, importance, langid, lm_score, mixing, rlz, simhash, suffix, toxicity
+from docmart.llm import bpe, chat_tools, exact_dedup, fm_index, importance, langid, lm_score, mixing, rlz, simhash, suffix, toxicity, trie
 from docmart.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -211,3 +211,9 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@_query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = trie.forked(trie.turns(table(spark, sf_dir, "conversations")))
+    return trie.prefix_trie(turns, convs)
