@@ -24,11 +24,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id long, data binary)``: the whole text in UTF-8, null as empty. Other columns go,
-    so none of them can clash with those an operator makes."""
+def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", id_type: str = "long") -> DataFrame:
+    """``(doc_id, data binary)``: the whole text in UTF-8, null as empty. Other columns go, so none of
+    them can clash with those an operator makes."""
     data = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), data.alias("data"))
+    return docs.select(F.col(id_col).cast(id_type).alias("doc_id"), data.alias("data"))
 
 
 def held_out(doc_id: Column) -> Column:

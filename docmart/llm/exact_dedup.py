@@ -20,9 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docmart.llm.common import stage
+
+BLOCK_ROWS = 1 << 18  # rows per block, beyond 256 blocks: what one task merges does not grow
 FILTER = pa.schema([("block", pa.int32()), ("lengths", pa.binary()), ("remainders", pa.binary()), ("counts", pa.binary())])
 FILTER_DDL = "block int, lengths binary, remainders binary, counts binary"
 
@@ -82,7 +85,7 @@ def partition_filters(prints: DataFrame, block_bits: int, run_bits: int) -> Data
 
 def repeated_fingerprints(prints: DataFrame, block_bits: int = 8, run_bits: int = 8) -> DataFrame:
     """``(fp, copies)`` of the fingerprints with a count above one. A block is merged by one task
-    and holds ``2**-block_bits`` of the distinct fingerprints: raise it with the corpus."""
+    and holds ``2**-block_bits`` of the distinct fingerprints: it is to be raised with the corpus."""
     rest_bits = 64 - block_bits - run_bits
 
     def union(key: tuple, part: pa.Table) -> pa.Table:
@@ -96,22 +99,28 @@ def repeated_fingerprints(prints: DataFrame, block_bits: int = 8, run_bits: int
     return partition_filters(prints, block_bits, run_bits).groupBy("block").applyInArrow(union, "fp long, copies long")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spread: int = 16) -> DataFrame:
+def _fingerprinted(docs: DataFrame, text_col: str, *more: Column) -> DataFrame:
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(*more, text.alias("_text"), F.xxhash64(text).alias("_fp"))
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    """``_fp`` of the fingerprints that occur more than once. Written, so that Catalyst knows its size:
+    below the session's threshold it is broadcast, beyond it the join is a shuffle."""
+    blocks = max(8, (rows.count() // BLOCK_ROWS).bit_length())
+    return stage(repeated_fingerprints(rows.select("_fp"), blocks, max(0, 16 - blocks)).select(F.col("fp").alias("_fp")), "repeated")
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, keep_id, group_size, kept, text_sha256)``, one row per row of ``docs``; of equal
-    texts the largest id stays. The texts of one hot fingerprint are dealt to ``spread`` tasks;
-    there the equal ones collapse before they meet."""
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
-    ).withColumn("fp", F.xxhash64("text"))
-    repeated = repeated_fingerprints(rows.select("fp"))
-    routed = rows.withColumn("deal", F.pmod(F.xxhash64("doc_id"), F.lit(spread)).cast("int")).join(
-        repeated.select("fp", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("deal")), ["fp", "deal"]
-    )
+    texts the largest id stays. Only texts of repeated fingerprints are compared; equal ones of a
+    task collapse before they meet."""
+    rows = _fingerprinted(docs, text_col, F.col(id_col).cast("long").alias("doc_id"))
+    suspect = rows.join(_repeated(rows), "_fp", "left_semi")
     # The group key is the text itself: this is the comparison by bytes.
-    equal = routed.groupBy("fp", "text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    equal = equal.select("fp", F.sha2("text", 256).alias("text_sha256"), "keep_id", "group_size")
-    ids = rows.select("doc_id", "fp", F.sha2("text", 256).alias("text_sha256"))
-    found = ids.join(equal, ["fp", "text_sha256"], "left")
+    equal = suspect.groupBy("_fp", "_text").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    equal = stage(equal.where("group_size > 1").select(F.sha2("_text", 256).alias("text_sha256"), "keep_id", "group_size"), "equal")
+    found = rows.select("doc_id", F.sha2("_text", 256).alias("text_sha256")).join(equal, "text_sha256", "left")
     alone = F.col("group_size").isNull()
     return found.select(
         "doc_id",
@@ -120,3 +129,18 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         (alone | F.col("doc_id").eqNullSafe(F.col("keep_id"))).alias("kept"),
         "text_sha256",
     )
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without copies: one row of each text, the one with the largest id. All
+    columns come along, so no row has to be found again by its id; of rows that repeat id and text
+    one stays as well. A null text stays null if its row is the one that stays."""
+    others = [c for c in docs.columns if c != text_col]
+    row = F.struct(F.col(text_col).isNull().alias("_null"), *[F.col(f"`{c}`") for c in others]).alias("_row")
+    rows = _fingerprinted(docs, text_col, F.col(id_col).cast("long").alias("_id"), row)
+    repeated = _repeated(rows)
+    single = rows.join(repeated, "_fp", "left_anti").select("_row", "_text")
+    chosen = rows.join(repeated, "_fp", "left_semi").groupBy("_fp", "_text").agg(F.max_by("_row", F.struct("_id")).alias("_row"))
+    both = single.union(chosen.select("_row", "_text"))
+    text = F.when(~F.col("_row._null"), F.col("_text")).alias(text_col)
+    return both.select(*[text if c == text_col else F.col(f"_row.`{c}`") for c in docs.columns])

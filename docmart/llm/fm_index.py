@@ -200,13 +200,22 @@ def phrase_blocks(benchmark: DataFrame, window: int = 10, item_col: str = "item_
 
 
 def hit_column(text: Column, blocks: list) -> Column:
-    """Whether each row's text has a phrase, for filters that need no identifier; an Arrow batch is
-    a shard."""
+    """Whether each row's text has a phrase, for filters that need no identifier. An Arrow batch is
+    cut into shards by size."""
 
     @F.pandas_udf("boolean")
-    def run(shard: pd.Series) -> pd.Series:
-        data = [t.encode("utf-8", "replace") for t in shard]
-        return pd.Series([bool(spans) for _, _, spans, _ in shard_rows(range(len(data)), data, blocks)], dtype=bool)
+    def run(batch: pd.Series) -> pd.Series:
+        hit: list[bool] = []
+        shard: list[bytes] = []
+        size = 0
+        for text in batch:
+            shard.append(text.encode("utf-8", "replace"))
+            size += len(shard[-1])
+            if size >= SHARD_WORDS * 6:
+                hit += [bool(spans) for _, _, spans, _ in shard_rows(shard, shard, blocks)]
+                shard, size = [], 0
+        hit += [bool(spans) for _, _, spans, _ in shard_rows(shard, shard, blocks)]
+        return pd.Series(hit, dtype=bool)
 
     return run(F.coalesce(text.cast("string"), F.lit("")))
 

@@ -54,7 +54,9 @@ def fingerprint(data: bytes, words_each: int) -> int:
     return sum(1 << j for j in np.flatnonzero(2 * ones > len(hashes)).tolist())
 
 
-def fingerprints(docs: DataFrame, words_each: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(
+    docs: DataFrame, words_each: int, id_col: str = "doc_id", text_col: str = "text", id_type: str = "long"
+) -> DataFrame:
     """``(doc_id, fp)``, ``fp`` as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,7 +64,7 @@ def fingerprints(docs: DataFrame, words_each: int, id_col: str = "doc_id", text_
             found = [fingerprint(d, words_each) for (d,) in rows_of([batch], "data")]
             yield pa.record_batch([batch.column(0), pa.array(np.array(found, np.uint64).view(np.int64))], names=["doc_id", "fp"])
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return texts(docs, id_col, text_col, id_type).mapInArrow(run, f"doc_id {id_type}, fp long")
 
 
 def variant_masks(distance: int) -> list[int]:
@@ -125,24 +127,30 @@ def links(prints: DataFrame, distance: int) -> DataFrame:
     )
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = [np.zeros(0, np.int64)] * 3  # the last bucket, which may go on
+        held: list[list[np.ndarray]] = []  # parts of the last bucket, which may go on
 
-        def found(bit: np.ndarray, rest: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        def found(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+            bit, rest, fp = (np.concatenate(c) for c in zip(*parts, strict=True))
             new = np.concatenate(([True], (bit[1:] != bit[:-1]) | (rest[1:] != rest[:-1])))
             a, b = forest(np.cumsum(new), fp.view(np.uint64), distance)
             pairs = np.unique(np.stack((a, b), axis=1), axis=0).view(np.int64) if len(a) else np.zeros((0, 2), np.int64)
             return pa.record_batch([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
         for batch in batches:
-            bit, rest, fp = (np.concatenate((h, batch.column(i).to_numpy(zero_copy_only=False))) for i, h in enumerate(held))
-            if not len(fp):
+            if not batch.num_rows:
                 continue
-            cut = len(fp) - int(((bit == bit[-1]) & (rest == rest[-1])).sum())
-            held = [bit[cut:], rest[cut:], fp[cut:]]
-            if cut:
-                yield found(bit[:cut], rest[:cut], fp[:cut])
-        if len(held[2]):
-            yield found(*held)
+            bit, rest, fp = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(3))
+            last = (bit == bit[-1]) & (rest == rest[-1])
+            cut = len(fp) - int(last.sum())
+            if held and (cut or (held[-1][0][-1], held[-1][1][-1]) != (bit[-1], rest[-1])):
+                held.append([bit[:cut], rest[:cut], fp[:cut]])
+                yield found(held)
+                held = []
+            elif cut:
+                yield found([[bit[:cut], rest[:cut], fp[:cut]]])
+            held.append([bit[cut:], rest[cut:], fp[cut:]])
+        if held:
+            yield found(held)
 
     met = variants.repartition("bit", "rest").sortWithinPartitions("bit", "rest")
     return met.mapInArrow(verify, "a long, b long").distinct()
@@ -156,3 +164,19 @@ def near_groups(docs: DataFrame, words_each: int = 5, distance: int = 4, id_col:
     of_fp = distinct.join(roots.select(F.col("u").alias("fp"), "v"), "fp", "left").select("fp", "least", F.coalesce("v", "fp").alias("root"))
     names = of_fp.groupBy("root").agg(F.min("least").alias("component_id"))
     return prints.join(of_fp.join(names, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, words_each: int = 5, distance: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group of :func:`near_groups` the one with the
+    smallest id stays, or without any id the one whose text has the smallest hash. A row is found
+    again by its id and a hash of its text; rows that repeat both share one fate."""
+    mark = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    named = docs.select(F.struct(F.col(id_col).cast("long").alias("id"), mark.alias("mark")).alias("key"), F.col(text_col).alias("text"))
+    prints = stage(fingerprints(named, words_each, "key", "text", "struct<id:long,mark:long>"), "prints")
+    roots = components(links(prints.select("fp").distinct(), distance), "near")
+    rooted = prints.join(roots.withColumnRenamed("u", "fp"), "fp", "left").select(F.col("doc_id").alias("key"), F.coalesce("v", "fp").alias("root"))
+    first = rooted.groupBy("root").agg(F.min(F.struct(F.col("key.id").isNull().alias("none"), "key")).alias("first"))
+    others = rooted.join(first, "root").where("key <> first.key")
+    # Written, so that Catalyst knows its size before it chooses how to join.
+    others = stage(others.select(F.col("key.id").alias("_id"), F.col("key.mark").alias("_mark")).distinct(), "near-copies")
+    return docs.join(others, F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (mark == F.col("_mark")), "left_anti")
