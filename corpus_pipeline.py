@@ -1,8 +1,8 @@
 """Documents to a training mixture, in stages that each read what the one before has written.
 
 Every stage takes ``(spark, docs, sf_dir)`` and judges exactly the rows of ``docs``. All but
-the last return the columns of ``documents``. The dedup stages tell
-rows apart by ``doc_id``: rows that repeat an id share one fate, and rows without an id stay.
+the last return the columns of ``documents``. Rows are told apart by id and text: an id that is
+there with two texts is two documents, and rows without an id are judged like any other.
 """
 
 from __future__ import annotations
@@ -10,17 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmart.llm import exact_dedup, fm_index, minhash, mixing, toxicity
+from docmart.llm import exact_dedup, fm_index, mixing, simhash, toxicity
 from docmart.llm.common import stage, table
 
 
-def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows whose ``doc_id`` is not among those rejected. These grow with the corpus, so they
-    are never broadcast; each is there once, so no key is hot on their side."""
-    ids = rejected.select(F.col("doc_id").alias("_rejected")).distinct().hint("shuffle_merge")
-    return docs.join(ids, docs["doc_id"] == F.col("_rejected"), "left_anti")
-
-
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, learnt from the labels of ``docs``, calls toxic go."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -29,14 +22,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest ``doc_id`` stays."""
-    return _without(docs, exact_dedup.exact_groups(docs).where("not kept"))
+    return exact_dedup.keep_one(docs)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by sets of five-word shingles whose Jaccard similarity is 0.8 or more,
-    the one with the smallest ``doc_id`` stays."""
-    found = minhash.near_groups(docs, words_each=5)
-    return _without(docs, found.where("doc_id <> component_id"))
+    """Of documents whose fingerprints of four-word shingles are linked, at four differing bits or
+    fewer, the one with the smallest ``doc_id`` stays."""
+    return simhash.keep_one(docs, words_each=4, distance=4)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
