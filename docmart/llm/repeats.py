@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docmart.llm.common import mix64, rows_of, stage
+from docmart.operators.sift import sift
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so that powers have inverses
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -115,6 +116,8 @@ def anchors(values: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> A
 Tokens = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]  # random values and bounds
 
 CHUNK_BYTES = 1 << 18
+BUCKET_BYTES = 1 << 23  # of the stored table
+MOST_BUCKETS = 1 << 16
 HOLD_ROWS = 1 << 18  # rows that a task settles together
 MULTI, SINGLE, MARK = 0, 1, 2
 FACTOR, EDGE = 0, 1
@@ -306,7 +309,9 @@ def _stretch_messages(docs: DataFrame, tokens: Tokens, length: int, within: bool
             place = np.repeat(first, count) + within_run
             owner = np.repeat(of_row, count)
             at = bounds[owner] + place
-            held.append((Hashes(values).of(at, at + half), Hashes(values, 1).of(at + half, at + length), ids[owner], place.astype(np.uint32)))
+            low, high = Hashes(values).of(at, at + half), Hashes(values, 1).of(at + half, at + length)
+            # Dealt by both halves: many stretches share one half where a repeat ends.
+            held.append((mix64(low + mix64(high)), low, ids[owner], place.astype(np.uint32)))
             waiting += len(at)
             if len(at):
                 turn = turn or int(held[-1][0][0] & np.uint64(0x7FFFFFFF))
@@ -332,18 +337,26 @@ def _settle_stretches(messages: DataFrame, within: bool) -> DataFrame:
     return messages.groupBy("bucket").applyInArrow(run, _FOUND)
 
 
+def n_buckets(docs: DataFrame) -> int:
+    """Two for each shuffle partition, and more for tables whose stored size asks for it."""
+    stored = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    least = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(stored // BUCKET_BYTES, MOST_BUCKETS)) if stored < 1 << 60 else least
+
+
 def find_repeats(docs: DataFrame, tokens: Tokens, length: int, gram: int, within: bool) -> DataFrame:
     """``(doc_id, found)``: for documents with repeated stretches of ``length`` tokens, runs of their
     starts as an array of ``(place, count)``. A stretch is repeated if it also starts in a document
     with a smaller id, or, if ``within``, further up in the same one. ``docs`` is ``(doc_id, data)``;
     rows without an id neither repeat nor are repeated."""
-    spark = docs.sparkSession
-    n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = n_buckets(docs)
     known = docs.where("doc_id is not null")
     found = stage(_settle_anchors(_anchor_messages(known, tokens, length, gram, within, n), within), "anchors")
     one = F.struct("place", "count")
     edges = found.where(f"edge = {EDGE}").groupBy("doc_id").agg(F.collect_set(one).alias("edges"))
-    open_ = known.join(edges, "doc_id")
+    # Texts without an edge are settled and stay where they are.
+    near = sift(known, "doc_id", found.where(f"edge = {EDGE}").select("doc_id").distinct())
+    open_ = near.where("__may").drop("__may").join(edges, "doc_id")
     single = _settle_stretches(_stretch_messages(open_, tokens, length, within, n), within)
     both = found.where(f"edge = {FACTOR}").union(single)
-    return both.groupBy("doc_id").agg(F.collect_set(one).alias("found"))
+    return stage(both.groupBy("doc_id").agg(F.collect_set(one).alias("found")), "repeats")

@@ -25,6 +25,7 @@ from xxhash import xxh3_64_intdigest
 
 from docmart.llm.common import flush, merge_runs, rows_of, texts
 from docmart.llm.repeats import find_repeats
+from docmart.operators.sift import sifted_join
 
 
 def words(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -69,5 +70,5 @@ def duplicate_spans(docs: DataFrame, window: int = 50, id_col: str = "doc_id", t
                 out, size = [], 0
         yield flush(schema, [(i, m, s, k.decode("utf-8", "replace")) for i, m, s, k in out])
 
-    return rows.join(found, "doc_id", "left").mapInArrow(run, "doc_id long, n_words long, spans array<struct<start:long,end:long>>, kept_text string")
+    return sifted_join(rows, found, "doc_id").mapInArrow(run, "doc_id long, n_words long, spans array<struct<start:long,end:long>>, kept_text string")
 

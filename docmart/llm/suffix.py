@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from docmart.llm.common import flush, mix64, rows_of, texts
 from docmart.llm.repeats import find_repeats
 from docmart.llm.rlz import spans_of
+from docmart.operators.sift import sifted_join
 
 VALUES = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 GRAM_SHARE = 0.4  # of the length: longer grams are rarer by chance, shorter ones need fewer anchors
@@ -62,4 +63,4 @@ def duplicate_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
                 size = 0
         yield flush(schema, out)
 
-    return rows.join(found, "doc_id", "left").mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
+    return sifted_join(rows, found, "doc_id").mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
