@@ -21,8 +21,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,12 @@ import regex
 from pyspark.sql import DataFrame
 from xxhash import xxh3_64_intdigest
 
-from docmart.llm.common import mix64, rows_of, texts
+from docmart.llm.common import mix64, texts
 
 LOAD = 4  # tokens per bucket of the hash, on average
 TRIES = 256  # displacements tried at once
 BLOCK = 1 << 18  # pre-tokens resolved at once
+KNOWN = 1 << 18  # distinct pre-tokens whose ids a task remembers before it starts anew
 LONG = 1 << 20  # characters from which a text is a block of its own
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -92,6 +94,8 @@ class Vocabulary:
             raise ValueError(f"no token for the bytes {missing}")
         self.ranks, self.pattern = ranks, pattern
         self.token_of = {i: t for t, i in ranks.items()}
+        # Ranks of pairs of single bytes, by both bytes; -1 where they do not merge.
+        self.pairs = [ranks.get(bytes((a, b)), -1) for a in range(256) for b in range(256)]
         tokens = list(ranks)
         hashes = np.fromiter(map(xxh3_64_intdigest, tokens), np.uint64, len(tokens))
         self.hash = PerfectHash(hashes)
@@ -117,26 +121,33 @@ class Vocabulary:
         return [i if t == p else -1 for p, t, i in zip(pieces, there, self.slot_ids[at].tolist(), strict=True)]
 
     def merged(self, piece: bytes) -> list[int]:
-        """Second tier: merges of lowest rank first."""
-        n, rank_of = len(piece), self.ranks.get
+        """Second tier: merges of lowest rank first. A heap entry holds a rank, where the left part
+        starts and where the right one ends, in one number that orders by rank, then by place."""
+        n, rank_of, pairs, pop, push = len(piece), self.ranks.get, self.pairs, heapq.heappop, heapq.heappush
+        bits = n.bit_length()
+        mask = (1 << bits) - 1
         after = list(range(1, n + 1))  # where the part that starts here ends; 0: it starts no more
         before = list(range(-1, n - 1))
-        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank_of(piece[i : i + 2])) is not None]
+        found = [pairs[a << 8 | b] for a, b in zip(piece, piece[1:], strict=False)]
+        heap = [(r << bits | i) << bits | i + 2 for i, r in enumerate(found) if r >= 0]
         heapq.heapify(heap)
         while heap:
-            _, left, end = heapq.heappop(heap)
+            entry = pop(heap)
+            end, left = entry & mask, entry >> bits & mask
             right = after[left]
             if not right or right >= n or after[right] != end:
                 continue  # one of the two has grown or gone since
             after[left], after[right] = end, 0
             if end < n:
                 before[end] = left
-                if (r := rank_of(piece[left : after[end]])) is not None:
-                    heapq.heappush(heap, (r, left, after[end]))
+                r = rank_of(piece[left : after[end]])
+                if r is not None:
+                    push(heap, (r << bits | left) << bits | after[end])
             if left:
                 prior = before[left]
-                if (r := rank_of(piece[prior:end])) is not None:
-                    heapq.heappush(heap, (r, prior, end))
+                r = rank_of(piece[prior:end])
+                if r is not None:
+                    push(heap, (r << bits | prior) << bits | end)
         ids, i = [], 0
         while i < n:
             ids.append(self.ranks[piece[i : after[i]]])
@@ -153,23 +164,30 @@ class Vocabulary:
     def encode_all(self, rows: Iterator[tuple]) -> Iterator[tuple]:
         """``(key, text)`` to ``(key, ids)``, in order."""
         find = regex.compile(self.pattern)
-        index: dict[str, int] = {}  # distinct pieces of the block
+        index: defaultdict[str, int] = defaultdict()  # distinct pieces, numbered as they come
+        index.default_factory = index.__len__
+        none = np.zeros(0, np.int64)
+        ids, sizes, first = none.astype(np.int32), none, none  # of the pieces resolved so far
         held: list[tuple] = []
         waiting = 0
 
         def codes(pieces: list[str]) -> np.ndarray:
-            return np.fromiter((index.setdefault(p, len(index)) for p in pieces), np.int64, len(pieces))
+            return np.fromiter(map(index.__getitem__, pieces), np.int64, len(pieces))
 
         def settled(parts: list[np.ndarray]) -> list[np.ndarray]:
-            ids, sizes = self.resolve(list(index))
-            index.clear()
+            nonlocal ids, sizes, first
+            new_ids, new_sizes = self.resolve(list(islice(index, len(sizes), None)))
+            ids, sizes = np.concatenate((ids, new_ids)), np.concatenate((sizes, new_sizes))
             first = np.cumsum(sizes) - sizes
-            out = []
-            for part in parts:
-                n = sizes[part]
-                step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                out.append(ids[np.repeat(first[part], n) + step])
-            return out
+            every = np.concatenate(parts) if parts else none
+            n = sizes[every]
+            ends = np.cumsum(n)
+            flat = ids[np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(first[every] - (ends - n), n)]
+            cuts = np.concatenate(([0], ends))[np.cumsum([0, *map(len, parts)])].tolist()
+            if len(index) > KNOWN:
+                index.clear()
+                ids, sizes = ids[:0], sizes[:0]
+            return [flat[a:b] for a, b in pairwise(cuts)]
 
         def finished() -> Iterator[tuple]:
             yield from zip([k for k, _ in held], settled([c for _, c in held]), strict=True)
@@ -193,26 +211,31 @@ class Vocabulary:
         yield from finished()
 
 
-def _batches(schema: pa.Schema, rows: Iterator[tuple], weigh, limit: int = 1 << 23) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-    for row in rows:
-        held.append(row)
-        size += weigh(row)
-        if size >= limit:
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
-            held, size = [], 0
-    if held:
-        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*held, strict=True), schema.types, strict=True)], schema=schema)
+SEND_BYTES = 1 << 23  # of an Arrow batch that a task sends
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, ids)``: the token ids of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+
+    def batch_of(held: list[tuple]) -> pa.RecordBatch:
+        ends = np.cumsum([0, *(len(ids) for _, ids in held)])
+        ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([ids for _, ids in held]), pa.int32()))
+        return pa.record_batch([pa.array([k for k, _ in held], pa.int64()), ids], names=["doc_id", "ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((i, d.decode("utf-8", "replace")) for i, d in rows_of(batches, "doc_id", "data"))
-        yield from _batches(schema, shared.value.encode_all(rows), lambda r: 4 * len(r[1]) + 16)
+        # Value by value: a list of all texts of a batch would hold it twice.
+        cells = (cell for b in batches for cell in zip(b.column(0), b.column(1), strict=True))
+        rows = ((key.as_py(), data.as_py().decode("utf-8", "replace")) for key, data in cells)
+        held, size = [], 0
+        for key, ids in shared.value.encode_all(rows):
+            held.append((key, ids))
+            size += 4 * len(ids) + 16
+            if size >= SEND_BYTES:
+                yield batch_of(held)
+                held, size = [], 0
+        if held:
+            yield batch_of(held)
 
     return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>")
 
@@ -221,16 +244,25 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``(doc_id, n_tokens, packed, data)`` of ``(doc_id, ids)``: the ids as little-endian unsigned
     32-bit integers, as files of training tokens hold them, and the bytes they stand for."""
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("packed", pa.binary()), ("data", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_of = shared.value.token_of
+    names = ["doc_id", "n_tokens", "packed", "data"]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
 
-        def rows() -> Iterator[tuple]:
-            for key, ids in rows_of(batches, "doc_id", "ids"):
-                known = [i for i in ids or () if i is not None]
-                yield key, len(known), np.array(known, "<u4").tobytes(), b"".join([token_of[i] for i in known])
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
-        yield from _batches(schema, rows(), lambda r: len(r[2]) + len(r[3]) + 16)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        token = shared.value.token_of.__getitem__
+        for batch in batches:
+            rows, size = [], 0
+            lists = batch.column(1).fill_null([])
+            for key, ids in zip(batch.column(0), lists, strict=True):
+                known = ids.values.drop_null().to_numpy(zero_copy_only=False)
+                rows.append((key.as_py(), len(known), known.astype("<u4").tobytes(), b"".join(map(token, known.tolist()))))
+                size += len(rows[-1][2]) + len(rows[-1][3])
+                if size >= SEND_BYTES:
+                    yield batch_of(rows)
+                    rows, size = [], 0
+            if rows:
+                yield batch_of(rows)
 
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, packed binary, data binary")
