@@ -339,7 +339,7 @@ def _settle_stretches(messages: DataFrame, within: bool) -> DataFrame:
 
 def n_buckets(docs: DataFrame) -> int:
     """Two for each shuffle partition, and more for tables whose stored size asks for it."""
-    stored = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    stored = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     least = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, min(stored // BUCKET_BYTES, MOST_BUCKETS)) if stored < 1 << 60 else least
 
