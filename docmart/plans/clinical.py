@@ -15,7 +15,9 @@ system   ``LOCAL`` for ``i = 3``, else ``PART``
 value    ``(o_orderkey + i) % 6``: clean, padded, fraction, junk, absent, exponent
 time     ``(o_orderkey + i) % 7``: six spellings and junk
 encounter absent if ``o_orderkey % 11 = 0``
-document cut short if ``o_orderkey % 97 = 0``, empty if 1, more after the root if 2
+document by ``o_orderkey % 97``: cut short if 0, empty 1, more after the root 2, a bare
+         ampersand 3, an end tag without a start 4, an unknown entity 5, an
+         attribute given twice 6, no XML 7; intact from 8 on
 repeated a second ``id``, of which the first counts, if ``o_orderkey % 13 = 0``
 ======== ==================================================================
 """
@@ -41,6 +43,7 @@ from docmart.plans.config import (
 from docmart.sources.corpus import spread
 
 ROOT = "ClinicalDocument"
+FAULTS = 8
 BATCH = "ClinicalDocuments"
 
 
@@ -292,10 +295,20 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus ``file_name, xml``, broken and empty documents included."""
     xml = _document_text()
     fault = F.col("o_orderkey") % 97
+    end = f"</{ROOT}>"
+
+    def before_end(more: str) -> Column:
+        return F.replace(xml, F.lit(end), F.lit(more + end))
+
     damaged = (
         F.when(fault == 0, F.substring(xml, 1, 40))
         .when(fault == 1, F.lit(""))
         .when(fault == 2, F.concat(xml, F.lit("<more/>")))
+        .when(fault == 3, before_end("&"))
+        .when(fault == 4, before_end("</patient>"))
+        .when(fault == 5, before_end("&unknown;"))
+        .when(fault == 6, before_end('<twice a="1" a="2"/>'))
+        .when(fault == 7, F.lit("no XML"))
         .otherwise(xml)
     )
     name = F.concat(_text(F.col("o_orderkey")), F.lit(".xml"))
@@ -305,7 +318,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_batches(spark: SparkSession, sf_dir: str, path: str, per_file: int = 500, tasks: int | None = None) -> None:
     """The intact documents as XML files of at most ``per_file`` documents each."""
     columns = [c.alias(name) for name, c in _document_columns().items()]
-    intact = _orders(spark, sf_dir).where(F.col("o_orderkey") % 97 > 2)
+    intact = _orders(spark, sf_dir).where(F.col("o_orderkey") % 97 >= FAULTS)
     rows = intact.coalesce(tasks) if tasks else intact
     writer = rows.select(*columns).write.format("xml").options(rowTag=ROOT, rootTag=BATCH)
     writer.option("maxRecordsPerFile", per_file).save(path)

@@ -4,17 +4,22 @@ The rules of :mod:`docmart.plans.clinical` are restated here independently of th
 documents: these statements never see XML.
 """
 
+# Why a document is set aside, by its fault; the intact ones have none.
+MESSAGE = """CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML: cut off' WHEN 1 THEN 'empty document' WHEN 2 THEN 'content after the root'
+  WHEN 3 THEN 'malformed XML: bad entity' WHEN 4 THEN 'malformed XML: mismatched tag or bad character' WHEN 5 THEN 'malformed XML: bad entity'
+  WHEN 6 THEN 'malformed XML: mismatched tag or bad character' WHEN 7 THEN 'malformed XML: not XML' END"""
+
 # Records of the intact documents, one row per (order, section, number).
 RECORDS = """
 WITH rec AS (
   SELECT *, o_custkey + 7 * i AS code, 'results' AS config
-  FROM orders, range(1, 4) AS t(i) WHERE i <= o_orderkey % 4 AND o_orderkey % 97 > 2
+  FROM orders, range(1, 4) AS t(i) WHERE i <= o_orderkey % 4 AND o_orderkey % 97 > 7
   UNION ALL
   SELECT *, o_custkey + 11 * i AS code, 'vitals' AS config
-  FROM orders, range(1, 4) AS t(i) WHERE i <= o_custkey % 3 AND o_orderkey % 97 > 2
+  FROM orders, range(1, 4) AS t(i) WHERE i <= o_custkey % 3 AND o_orderkey % 97 > 7
   UNION ALL
   SELECT *, o_custkey + 13 * i AS code, 'medications' AS config
-  FROM orders, range(1, 4) AS t(i) WHERE i <= (o_orderkey + o_custkey) % 3 AND o_orderkey % 97 > 2
+  FROM orders, range(1, 4) AS t(i) WHERE i <= (o_orderkey + o_custkey) % 3 AND o_orderkey % 97 > 7
 ), timed AS (
   SELECT *, CASE WHEN i = 3 THEN 'LOCAL' ELSE 'PART' END AS code_system,
          date_trunc('day', o_orderdate) + to_days(CAST(i AS INTEGER))
@@ -47,7 +52,7 @@ WITH rec AS (
 # Number of records of every (order, config) pair; null where there are none.
 COUNTS = """
 WITH per_doc AS (
-  SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS doc_id, o_orderkey % 97 > 2 AS intact,
+  SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS doc_id, o_orderkey % 97 > 7 AS intact,
          o_orderkey % 4 AS results, o_custkey % 3 AS vitals, (o_orderkey + o_custkey) % 3 AS medications,
          CASE WHEN o_orderkey % 11 <> 0 THEN 1 ELSE 0 END AS encounter, 1 AS patient,
          CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END AS notes, 0 AS devices
@@ -125,9 +130,9 @@ ORACLES: dict[str, str] = {
         SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, o_orderkey AS visit_id, o_custkey AS person_id,
                o_orderpriority AS priority, date_trunc('second', o_orderdate) AS start_at,
                CAST(o_orderdate AS DATE) AS start_on, CAST(NULL AS BIGINT) AS admitting_source_concept_id
-        FROM orders WHERE o_orderkey % 97 > 2 AND o_orderkey % 11 <> 0""",
+        FROM orders WHERE o_orderkey % 97 > 7 AND o_orderkey % 11 <> 0""",
     "person_table": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, o_custkey AS person_id FROM orders WHERE o_orderkey % 97 > 2""",
+        SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, o_custkey AS person_id FROM orders WHERE o_orderkey % 97 > 7""",
     "config_records": RECORDS + """
         SELECT doc_id, CAST(person_id AS VARCHAR) AS person_id, CAST(visit_id AS VARCHAR) AS visit_id,
                CAST(seq AS VARCHAR) AS seq, source_code, raw_value AS value, raw_time AS measured_at
@@ -136,20 +141,20 @@ ORACLES: dict[str, str] = {
         SELECT {_MEASUREMENT} FROM records WHERE config = 'vitals'""",
     "scan_directory": RECORDS + f"""
         SELECT {_MEASUREMENT} FROM records WHERE config = 'vitals'""",
-    # Between documents nothing counts: an empty one leaves no trace, and more after a root none either.
+    # Between documents nothing counts: an empty one and one that is no XML leave no trace, and more
+    # after a root none either.
     "rowtag_scan": """
-        SELECT CASE WHEN o_orderkey % 97 <> 0 THEN o_orderkey END AS visit_id,
-               CASE WHEN o_orderkey % 97 = 0 THEN 0 ELSE CAST(o_orderkey % 4 AS INTEGER) END AS n_results,
-               CASE WHEN o_orderkey % 97 = 0 THEN 0 ELSE CAST(o_custkey % 3 AS INTEGER) END AS n_vitals,
-               CASE WHEN o_orderkey % 97 = 0 THEN 'malformed XML: cut off' END AS error
-        FROM orders WHERE o_orderkey % 97 <> 1""",
-    "rowtag_table": RECORDS.replace("% 97 > 2", "% 97 > 1") + """
+        SELECT CASE WHEN error IS NULL THEN o_orderkey END AS visit_id,
+               CASE WHEN error IS NULL THEN CAST(o_orderkey % 4 AS INTEGER) ELSE 0 END AS n_results,
+               CASE WHEN error IS NULL THEN CAST(o_custkey % 3 AS INTEGER) ELSE 0 END AS n_vitals, error
+        FROM (SELECT *, CASE WHEN o_orderkey % 97 <> 2 THEN """ + MESSAGE + """ END AS error FROM orders WHERE o_orderkey % 97 NOT IN (1, 7))""",
+    "rowtag_table": RECORDS.replace("o_orderkey % 97 > 7", "(o_orderkey % 97 > 7 OR o_orderkey % 97 = 2)") + """
         SELECT doc_id, person_id, visit_id, seq, source_code, concept_id, value AS quantity, unit, measured_at, measured_on
         FROM records WHERE config = 'medications'""",
     "packed_scan": """
         SELECT CAST(o_orderkey AS VARCHAR) AS doc_id,
-               CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML: cut off' WHEN 1 THEN 'empty document' WHEN 2 THEN 'content after the root' END AS error FROM orders""",
-    "doc_count": "SELECT CAST(CEIL(COUNT(*) / 500.0) AS BIGINT) AS n_documents FROM orders WHERE o_orderkey % 97 > 2",
+               """ + MESSAGE + " AS error FROM orders",
+    "doc_count": "SELECT CAST(CEIL(COUNT(*) / 500.0) AS BIGINT) AS n_documents FROM orders WHERE o_orderkey % 97 > 7",
     "doc_ids": """
         SELECT file_name, CASE
             WHEN o_orderkey % 6 = 2 THEN file_name
@@ -235,7 +240,7 @@ ORACLES: dict[str, str] = {
         FROM records
         UNION ALL
         SELECT 'notes', CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL, o_orderstatus FROM orders
-        WHERE o_orderkey % 5 = 0 AND o_orderkey % 97 > 2""",
+        WHERE o_orderkey % 5 = 0 AND o_orderkey % 97 > 7""",
     "combine_domains": RECORDS + """
         SELECT CASE WHEN config = 'medications' THEN 'Drug' ELSE 'Measurement' END AS domain, doc_id, seq, source_code, concept_id,
                CASE WHEN config <> 'medications' THEN value_int END AS value_int,
@@ -244,40 +249,41 @@ ORACLES: dict[str, str] = {
     "empty_tables_skipped": COUNTS + """
         SELECT tbl AS "table", CAST(SUM(n) AS BIGINT) AS n FROM pairs
         WHERE tbl IS NOT NULL GROUP BY tbl HAVING COUNT(n) > 0""",
-    "quarantine": RECORDS.replace("% 97 > 2", "% 97 = 2") + """
+    "quarantine": RECORDS.replace("% 97 > 7", "% 97 BETWEEN 2 AND 6") + """
         , parts AS (
           SELECT doc_id, string_agg('<' || config || ' seq="' || CAST(seq AS VARCHAR) || '"><code code="' || source_code || '" codeSystem="' || code_system
                    || '"/><value' || COALESCE(' value="' || raw_value || '"', '') || ' unit="u"/><effectiveTime value="' || raw_time || '"/></' || config || '>', ''
                    ORDER BY list_position(['results', 'vitals', 'medications'], config), seq) AS body
           FROM records GROUP BY doc_id)
-        SELECT k AS doc_id, k || '.xml' AS file_name,
-               CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML: cut off' WHEN 1 THEN 'empty document' ELSE 'content after the root' END AS message,
-               CASE o_orderkey % 97 WHEN 0 THEN substr('<ClinicalDocument><id extension="' || k || '"/><patient extension="', 1, 40) WHEN 1 THEN ''
+        SELECT k AS doc_id, k || '.xml' AS file_name, """ + MESSAGE + """ AS message,
+               CASE o_orderkey % 97 WHEN 0 THEN substr('<ClinicalDocument><id extension="' || k || '"/><patient extension="', 1, 40) WHEN 1 THEN '' WHEN 7 THEN 'no XML'
                  ELSE '<ClinicalDocument><id extension="' || k || '"/><patient extension="' || CAST(o_custkey AS VARCHAR) || '"/>'
                    || CASE WHEN o_orderkey % 11 <> 0 THEN '<encounter priority="' || o_orderpriority || '"><effectiveTime value="'
                         || strftime(o_orderdate, '%Y%m%d%H%M%S') || '"/></encounter>' ELSE '' END
                    || COALESCE(body, '') || CASE WHEN o_orderkey % 5 = 0 THEN '<notes text="' || o_orderstatus || '"/>' ELSE '' END
-                   || CASE WHEN o_orderkey % 13 = 0 THEN '<id extension="-1"/>' ELSE '' END || '</ClinicalDocument><more/>' END AS xml
-        FROM (SELECT *, CAST(o_orderkey AS VARCHAR) AS k FROM orders WHERE o_orderkey % 97 <= 2) LEFT JOIN parts ON doc_id = k""",
+                   || CASE WHEN o_orderkey % 13 = 0 THEN '<id extension="-1"/>' ELSE '' END
+                   || CASE o_orderkey % 97 WHEN 3 THEN '&' WHEN 4 THEN '</patient>' WHEN 5 THEN '&unknown;' WHEN 6 THEN '<twice a="1" a="2"/>' ELSE '' END
+                   || '</ClinicalDocument>' || CASE WHEN o_orderkey % 97 = 2 THEN '<more/>' ELSE '' END END AS xml
+        FROM (SELECT *, CAST(o_orderkey AS VARCHAR) AS k FROM orders WHERE o_orderkey % 97 <= 7) LEFT JOIN parts ON doc_id = k""",
     "document_status": COUNTS + """
         SELECT line FROM (
           SELECT DISTINCT doc_id, tbl, 'OK: ' || doc_id || ' -> ' || tbl AS line FROM pairs WHERE n > 0 AND tbl IS NOT NULL)
         UNION ALL
         SELECT 'ERROR: ' || CAST(o_orderkey AS VARCHAR) || '.xml :: '
-               || CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML: cut off' WHEN 1 THEN 'empty document' ELSE 'content after the root' END
-        FROM orders WHERE o_orderkey % 97 <= 2""",
+               || """ + MESSAGE + """
+        FROM orders WHERE o_orderkey % 97 <= 7""",
     "run_status": COUNTS + """
         SELECT 'OK' AS status, COUNT(*) AS n FROM (SELECT DISTINCT doc_id, tbl FROM pairs WHERE n > 0 AND tbl IS NOT NULL)
-        UNION ALL SELECT 'ERROR', COUNT(*) FROM orders WHERE o_orderkey % 97 <= 2""",
+        UNION ALL SELECT 'ERROR', COUNT(*) FROM orders WHERE o_orderkey % 97 <= 7""",
     "ok_pairs": COUNTS + """
         SELECT DISTINCT doc_id, tbl AS outcome FROM pairs WHERE n > 0 AND tbl IS NOT NULL
         UNION ALL
         SELECT CAST(o_orderkey AS VARCHAR),
-               'quarantine: ' || CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML: cut off' WHEN 1 THEN 'empty document' ELSE 'content after the root' END
-        FROM orders WHERE o_orderkey % 97 <= 2""",
+               'quarantine: ' || """ + MESSAGE + """
+        FROM orders WHERE o_orderkey % 97 <= 7""",
     "error_histogram": """
-        SELECT CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML: cut off' WHEN 1 THEN 'empty document' ELSE 'content after the root' END AS message, COUNT(*) AS n
-        FROM orders WHERE o_orderkey % 97 <= 2 GROUP BY 1 ORDER BY n DESC, message""",
+        SELECT """ + MESSAGE + """ AS message, COUNT(*) AS n
+        FROM orders WHERE o_orderkey % 97 <= 7 GROUP BY 1 ORDER BY n DESC, message""",
     "table_row_counts": COUNTS + """
         SELECT tbl AS "table", CAST(SUM(n) AS BIGINT) AS n FROM pairs WHERE n > 0 AND tbl IS NOT NULL GROUP BY tbl""",
     "shape_log": COUNTS + """
@@ -292,7 +298,7 @@ ORACLES: dict[str, str] = {
     "column_probe": """
         SELECT 'start_at' AS "column", strftime(arg_min(o_orderdate, CAST(o_orderkey AS VARCHAR)), '%Y-%m-%d %H:%M:%S') AS first_value,
                'timestamp' AS type
-        FROM orders WHERE o_orderkey % 97 > 2 AND o_orderkey % 11 <> 0""",
+        FROM orders WHERE o_orderkey % 97 > 7 AND o_orderkey % 11 <> 0""",
     "literal_rows": """
         SELECT CAST(r.a AS BIGINT) AS a, CAST(r.b AS BIGINT) AS b, r.c, COUNT(*) AS n_lines FROM lineitem
         JOIN (VALUES (3, 30, 'three'), (5, 50, 'five'), (6, 60, 'six')) AS r(a, b, c) ON l_linenumber = r.a
@@ -320,8 +326,8 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, seq, source_code, concept_id, quantity, measured_on FROM (
           SELECT *, value AS quantity FROM records WHERE config = 'medications')""",
     "output_files": """
-        SELECT (SELECT COUNT(DISTINCT o_orderpriority) FROM orders WHERE o_orderkey % 97 > 2 AND o_orderkey % 11 <> 0)
-             + (SELECT CAST(CEIL(COUNT(*) / 1000.0) AS BIGINT) FROM orders WHERE o_orderkey % 97 > 2) AS n_files""",
+        SELECT (SELECT COUNT(DISTINCT o_orderpriority) FROM orders WHERE o_orderkey % 97 > 7 AND o_orderkey % 11 <> 0)
+             + (SELECT CAST(CEIL(COUNT(*) / 1000.0) AS BIGINT) FROM orders WHERE o_orderkey % 97 > 7) AS n_files""",
     "convert_job": COUNTS + """
         SELECT tbl AS "table", CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(DISTINCT doc_id) AS n_documents FROM pairs
         WHERE n > 0 AND tbl IS NOT NULL GROUP BY tbl""",
