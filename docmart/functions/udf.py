@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def vectorised(return_type: str) -> Callable[[Callable[[pd.Series], pd.Series]], Callable[..., Column]]:
@@ -25,6 +28,44 @@ def vectorised(return_type: str) -> Callable[[Callable[[pd.Series], pd.Series]],
     return wrap
 
 
+def isolated(return_type: str) -> Callable[[Callable[[pd.Series], pd.Series]], Callable[..., Column]]:
+    """Decorator: a ``Series -> Series`` function as a Column function that gives ``struct<value, error>``.
+
+    A batch runs at once. Only if it raises is it run value by value, so that a value which cannot be
+    computed is null, with the exception's text, and no other is touched. A result that does not
+    fit ``return_type``, or of another length, counts as raised.
+    """
+
+    def wrap(fn: Callable[[pd.Series], pd.Series]) -> Callable[..., Column]:
+        def checked(values: pd.Series, known: pa.DataType) -> list:
+            found = fn(values)
+            if len(found) != len(values):
+                raise ValueError(f"{len(found)} results for {len(values)} values")
+            return pa.array(found, type=known, from_pandas=True).to_pylist()
+
+        def column(c: Column) -> Column:
+            known = to_arrow_type(T.StructType.fromDDL(f"value {return_type}")[0].dataType)
+
+            def series_to_frame(values: pd.Series) -> pd.DataFrame:
+                try:
+                    return pd.DataFrame({"value": pd.Series(checked(values, known), dtype=object), "error": None})
+                except Exception:  # noqa: BLE001 - some value of the batch: found out one by one
+                    pass
+                out: list[tuple] = []
+                for i in range(len(values)):
+                    try:
+                        out.append((checked(values.iloc[i : i + 1], known)[0], None))
+                    except Exception as e:  # noqa: BLE001 - one value's error is its own
+                        out.append((None, f"{type(e).__name__}: {e}"))
+                return pd.DataFrame({"value": pd.Series([v for v, _ in out], dtype=object), "error": [e for _, e in out]})
+
+            return F.pandas_udf(series_to_frame, f"value {return_type}, error string")(c)
+
+        return column
+
+    return wrap
+
+
 def _plus_one(values: pd.Series) -> pd.Series:
     return values + 1
 

@@ -25,11 +25,15 @@ repeated a second ``id``, of which the first counts, if ``o_orderkey % 13 = 0``
 from __future__ import annotations
 
 import datetime
+from xml.etree import ElementTree
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docmart.functions.udf import isolated
+from docmart.operators.rules import rule_config
 from docmart.plans.config import (
     DomainConfig,
     Routing,
@@ -338,3 +342,43 @@ def codemap(spark: SparkSession, sf_dir: str) -> DataFrame:
         _text(F.col("p_partkey")).alias("code"),
         (F.col("p_partkey") + 1_000_000).alias("concept_id"),
     )
+
+
+RULE_CONFIGS = tuple(
+    rule_config(name, ["doc_id", "person_id", "visit_id", "seq", "source_code", "value", "unit", "measured_at"])
+    for name in ("results", "vitals")
+)
+
+
+def python_rule(file_name: str, xml: str) -> dict[str, list[dict]]:
+    """Results and vitals by a plain Python function. It refuses documents of some visits, and those
+    that are no XML."""
+    root = ElementTree.fromstring(xml)
+    visit = root.find("id").get("extension")
+    if int(visit) % 89 == 3:
+        raise ValueError(f"visit {visit} is closed")
+    person = root.find("patient").get("extension")
+    found: dict[str, list[dict]] = {}
+    for name in ("results", "vitals"):
+        found[name] = [
+            {
+                "doc_id": file_name.removesuffix(".xml"),
+                "person_id": person,
+                "visit_id": int(visit),
+                "seq": r.get("seq"),
+                "source_code": r.find("code").get("code"),
+                "value": r.find("value").get("value"),
+                "unit": r.find("value").get("unit"),
+                "measured_at": r.find("effectiveTime").get("value"),
+            }
+            for r in root.findall(name)
+        ]
+    return found
+
+
+@isolated("long")
+def odd_reciprocal(keys: pd.Series) -> pd.Series:
+    """A thousand by the last digit of a key; raises where that is zero."""
+    if (keys % 10 == 0).any():
+        raise ZeroDivisionError(f"key {keys[keys % 10 == 0].iloc[0]}")
+    return 1000 // (keys % 10)

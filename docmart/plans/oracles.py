@@ -9,6 +9,14 @@ MESSAGE = """CASE o_orderkey % 97 WHEN 0 THEN 'malformed XML: cut off' WHEN 1 TH
   WHEN 3 THEN 'malformed XML: bad entity' WHEN 4 THEN 'malformed XML: mismatched tag or bad character' WHEN 5 THEN 'malformed XML: bad entity'
   WHEN 6 THEN 'malformed XML: mismatched tag or bad character' WHEN 7 THEN 'malformed XML: not XML' END"""
 
+# What a strict parse says, in the fixed words of the parser. After 40 characters a key of four digits
+# has its tag complete.
+CAUSE = """CASE o_orderkey % 97 WHEN 0 THEN CASE WHEN o_orderkey BETWEEN 1000 AND 9999 THEN 'no element found' ELSE 'unclosed token' END WHEN 1 THEN 'no element found' WHEN 2 THEN 'junk after document element'
+  WHEN 3 THEN 'not well-formed (invalid token)' WHEN 4 THEN 'mismatched tag' WHEN 5 THEN 'undefined entity' WHEN 6 THEN 'duplicate attribute'
+  WHEN 7 THEN 'syntax error' END"""
+RAISED = f"""CASE WHEN o_orderkey % 97 <= 7 THEN 'ParseError: ' || {CAUSE}
+  WHEN o_orderkey % 89 = 3 THEN 'ValueError: visit ' || o_orderkey || ' is closed' END"""
+
 # Records of the intact documents, one row per (order, section, number).
 RECORDS = """
 WITH rec AS (
@@ -141,6 +149,23 @@ ORACLES: dict[str, str] = {
         SELECT {_MEASUREMENT} FROM records WHERE config = 'vitals'""",
     "scan_directory": RECORDS + f"""
         SELECT {_MEASUREMENT} FROM records WHERE config = 'vitals'""",
+    "rule_table": RECORDS + """
+        SELECT doc_id, person_id, visit_id, seq, source_code, value, measured_at FROM records
+        WHERE config IN ('results', 'vitals') AND visit_id % 89 <> 3""",
+    "rule_quarantine": f"""
+        SELECT doc_id, doc_id || '.xml' AS file_name, message FROM (
+          SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, {RAISED} AS message FROM orders) WHERE message IS NOT NULL""",
+    "rule_status": COUNTS + f"""
+        SELECT 'OK' AS status, COUNT(*) AS n FROM (SELECT DISTINCT doc_id FROM pairs WHERE n > 0 AND tbl = 'measurement' AND o_orderkey % 89 <> 3)
+        UNION ALL SELECT 'ERROR', COUNT({RAISED}) FROM orders""",
+    "guarded_udf": """
+        SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 10 > 0 THEN 1000 // (l_partkey % 10) END AS value,
+               CASE WHEN l_partkey % 10 = 0 THEN 'ZeroDivisionError: key ' || l_partkey END AS error FROM lineitem""",
+    "error_causes": f"""
+        SELECT {CAUSE} AS cause, COUNT(*) AS n FROM orders WHERE o_orderkey % 97 <= 7 GROUP BY 1 ORDER BY n DESC, cause""",
+    "error_places": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) || '.xml' AS file_name, {CAUSE} AS cause, 1 AS line, o_orderkey % 97 NOT IN (1, 7) AS later
+        FROM orders WHERE o_orderkey % 97 <= 7 AND o_orderkey % 97 NOT IN (4, 6)""",
     # Between documents nothing counts: an empty one and one that is no XML leave no trace, and more
     # after a root none either.
     "rowtag_scan": """

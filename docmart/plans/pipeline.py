@@ -12,6 +12,7 @@ from docmart.operators.align import align
 from docmart.operators.extract import extract, with_counts
 from docmart.operators.lookup import apply_lookups, unique_codemap
 from docmart.operators.parse import parse_documents, quarantine, read_documents
+from docmart.operators.rules import Rule, rule_records, run_rule
 from docmart.operators.route import routes_frame, unrouted
 from docmart.plans.config import DomainConfig, Routing, select_configs
 from docmart.session import delete_path, scratch_path
@@ -132,6 +133,39 @@ class Conversion:
         delete_path(self.spark, f"{self.stage}{CODES}")
 
 
+class RuleConversion(Conversion):
+    """The same for documents whose records a user's function made."""
+
+    @property
+    def codemap(self) -> DataFrame:
+        raise ValueError("a rule looks its codes up itself; see operators.lookup for doing it afterwards")
+
+    def table(self, name: str) -> DataFrame:
+        members = self.routing.tables(self.configs).get(name, [])
+        if not members:
+            raise ValueError(f"no config feeds table {name}")
+        return align(rule_records(self.parsed, members), self.routing.schema(name))
+
+    def records(self, config: str) -> DataFrame:
+        return rule_records(self.parsed, select_configs(self.configs, config))
+
+
+def convert_by_rule(
+    corpus: DataFrame,
+    rule: Rule,
+    configs: Sequence[DomainConfig],
+    routing: Routing,
+    exclude_domains: Iterable[str] = (),
+) -> RuleConversion:
+    """Convert a corpus by a user's function (:mod:`docmart.operators.rules`); ``configs`` declare what
+    it gives (``rule_config``). The function runs once a document: its records are stored in the
+    shared work folder, and every table and report reads them there."""
+    spark = corpus.sparkSession
+    stage = scratch_path(spark, "by-rule", keep=True)
+    run_rule(corpus, rule, configs).write.parquet(stage)
+    return RuleConversion(spark, stage, list(configs), routing.select_domains(exclude=exclude_domains))
+
+
 def convert_parsed(
     parsed: DataFrame,
     configs: Sequence[DomainConfig],

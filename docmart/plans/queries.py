@@ -14,13 +14,14 @@ from docmart.functions.names import doc_id
 from docmart.functions.udf import plus_one
 from docmart.operators import report
 from docmart.operators.align import align_to_types, union_all
+from docmart.operators.diagnose import causes, diagnose
 from docmart.operators.extract import extract, lookup_keys, with_counts
 from docmart.operators.lookup import apply_lookups, code_misses, lookup, unique_codemap
 from docmart.operators.parse import parse_documents, quarantine, read_documents
 from docmart.operators.route import filter_domains, route, routes_frame, unrouted
 from docmart.plans import clinical as C
 from docmart.plans.config import select_configs, without_fields
-from docmart.plans.pipeline import build_table, convert, convert_table
+from docmart.plans.pipeline import RuleConversion, build_table, convert, convert_by_rule, convert_table
 from docmart.session import scratch_path
 from docmart.sources import corpus as sources
 from docmart.sources import tables, writers
@@ -189,6 +190,53 @@ def typed_rows(spark: SparkSession, sf: str) -> DataFrame:
     return lines.join(F.broadcast(ranks), F.col("l_returnflag") == F.col("flag")).select("flag", "rank", "n")
 
 
+# ---- rules in Python ---------------------------------------------------------
+
+
+def _by_rule(spark: SparkSession, sf: str) -> RuleConversion:
+    return convert_by_rule(C.documents(spark, sf), C.python_rule, C.RULE_CONFIGS, C.ROUTING)
+
+
+@_query
+def rule_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table from a user's Python function, which raises on some documents."""
+    table = _by_rule(spark, sf).table("measurement")
+    return _wall_clock(table.select("doc_id", "person_id", "visit_id", "seq", "source_code", "value", "measured_at"))
+
+
+@_query
+def rule_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents on which the function raised, with the exception's text up to the place."""
+    refused = _by_rule(spark, sf).quarantine()
+    return refused.select("doc_id", "file_name", F.regexp_replace("message", ": line.*$", "").alias("message"))
+
+
+@_query
+def rule_status(spark: SparkSession, sf: str) -> DataFrame:
+    return report.status_counts(_by_rule(spark, sf).status_lines())
+
+
+@_query
+def guarded_udf(spark: SparkSession, sf: str) -> DataFrame:
+    """A vectorised user function that raises on some values: these alone have no result."""
+    return _table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", C.odd_reciprocal(F.col("l_partkey")).alias("r")).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "r.value", "r.error"
+    )
+
+
+@_query
+def error_causes(spark: SparkSession, sf: str) -> DataFrame:
+    """What a strict parse says about the documents set aside."""
+    return causes(diagnose(quarantine(parse_documents(C.documents(spark, sf), [C.PATIENT]))))
+
+
+@_query
+def error_places(spark: SparkSession, sf: str) -> DataFrame:
+    """Where it says so."""
+    found = diagnose(quarantine(parse_documents(C.documents(spark, sf), [C.PATIENT])))
+    return found.where("message <> 'malformed XML: mismatched tag or bad character'").select("file_name", "cause", "line", (F.col("column") > 1).alias("later"))
+
+
 # ---- codes -------------------------------------------------------------------
 
 
