@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> int:
     parser.add_argument("--only", nargs="*", default=None, help="names of configs to run")
     parser.add_argument("--row-tag", help="element that is a document, in files of many documents")
     parser.add_argument("--id-path", help="with --row-tag: path of the document id, such as id._extension")
+    parser.add_argument("--publish-as", help="name of the run: publish all tables as one version of the output folder")
     args = parser.parse_args(argv)
     if bool(args.row_tag) != bool(args.id_path):
         parser.error("--row-tag and --id-path go together")
@@ -41,6 +42,7 @@ def main(argv: list[str] | None = None) -> int:
         args.only,
         args.row_tag,
         args.id_path,
+        args.publish_as,
     )
     for result in written:
         print(f"{result.name}: {result.error or f'{result.rows} rows'} -> {result.path}")

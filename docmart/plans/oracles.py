@@ -336,6 +336,13 @@ ORACLES: dict[str, str] = {
         SELECT {_MEASUREMENT} FROM records WHERE config IN ('results', 'vitals')""",
     "compact_roundtrip": RECORDS + f"""
         SELECT {_MEASUREMENT} FROM records WHERE config IN ('results', 'vitals')""",
+    "publish_table": RECORDS + f"""
+        SELECT {_MEASUREMENT} FROM records WHERE config IN ('results', 'vitals')""",
+    "publish_history": RECORDS + """
+        , sizes AS (SELECT config, COUNT(*) AS n FROM records GROUP BY config)
+        SELECT CAST(1 AS BIGINT) AS number, 'first' AS run, 'measurement' AS "table", n AS rows FROM sizes WHERE config = 'vitals'
+        UNION ALL SELECT 2, 'second', 'measurement', CAST(SUM(n) AS BIGINT) FROM sizes WHERE config IN ('results', 'vitals')
+        UNION ALL SELECT v.number, v.run, 'drug', n FROM sizes, (VALUES (1, 'first'), (2, 'second')) AS v(number, run) WHERE config = 'medications'""",
     "csv_roundtrip": RECORDS + """
         SELECT doc_id, person_id, visit_id, seq, source_code, concept_id, value AS quantity, unit, measured_at, measured_on
         FROM records WHERE config = 'medications'""",

@@ -17,6 +17,7 @@ from docmart.operators.route import routes_frame, unrouted
 from docmart.plans.config import DomainConfig, Routing, select_configs
 from docmart.session import delete_path, scratch_path
 from docmart.sources.corpus import scan_directory
+from docmart.sources.publish import Manifest, publish, read_published
 from docmart.sources.tables import read_codemap
 from docmart.sources.writers import WriteResult, write_csv_per_document, write_each
 
@@ -116,12 +117,24 @@ class Conversion:
         Rebalancing comes after the narrow part and is sized by AQE: extraction keeps the
         parallelism of the scan, and a small table is not one tiny file per split of it.
         """
-        filled = {r["table"] for r in self.table_counts().collect()}  # one row per declared table at most
+        filled = self._filled()
         for name in self.table_names():
             if name not in filled:
                 delete_path(self.spark, f"{base.rstrip('/')}/{name}.{fmt}")
-        frames = {name: self.table(name).hint("rebalance") for name in self.table_names() if name in filled}
-        return write_each(frames, base, suffix=f".{fmt}", fmt=fmt, max_rows_per_file=rows_per_file)
+        frames = {name: self.table(name).hint("rebalance") for name in filled}
+        return write_each(frames, base, suffix=f".{fmt}", fmt=fmt, max_rows_per_file=rows_per_file, expected=filled)
+
+    def _filled(self) -> dict[str, int]:
+        """Tables with rows, and how many; one entry per declared table at most."""
+        return {r["table"]: r["n"] for r in self.table_counts().collect()}
+
+    def publish(self, base: str, run: str | None = None, rows_per_file: int = 5_000_000) -> Manifest:
+        """Publish every table that has rows and the reports as one version (:mod:`docmart.sources.publish`);
+        declared tables without rows are dropped from it. If one cannot be written, none is published."""
+        frames = {name: self.table(name).hint("rebalance") for name in self._filled()}
+        empty = [name for name in self.table_names() if name not in frames]
+        reports = {"run_status": self.status(), "quarantine": self.quarantine(), "unmapped": self.unmapped()}
+        return publish(frames | reports, base, run, drop=empty, max_rows_per_file=rows_per_file)
 
     def write_csv_per_document(self, base: str) -> None:
         """Records of every config, per document, below ``{base}/{config}``; for small corpora."""
@@ -211,6 +224,7 @@ def convert_directory(
     only: Iterable[str] | str | None = None,
     row_tag: str | None = None,
     id_path: str | None = None,
+    publish_as: str | None = None,
 ) -> tuple[list[WriteResult], DataFrame]:
     """A folder of XML files to a folder of tables; returns what was written and the status.
 
@@ -218,6 +232,9 @@ def convert_directory(
     named by the text at ``id_path``. The results of the tables and of the reports are
     returned. The stage goes when all of them were written; if one was not, it is the only
     copy of what is missing, so it stays, and the status is read from it if need be.
+
+    With ``publish_as``, the name of the run, the tables and reports become one version of ``target``
+    instead of being written over those that are there; the same name again changes nothing.
     """
     codemap = read_codemap(spark, codemap_path)
     chosen = select_configs(configs, only)
@@ -225,6 +242,12 @@ def convert_directory(
         job = convert_parsed(read_documents(spark, source, row_tag, id_path, chosen), chosen, routing, codemap)
     else:
         job = convert(scan_directory(spark, source, require=True), chosen, routing, codemap)
+    if publish_as is not None:
+        made = job.publish(target, publish_as)
+        job.drop_stage()
+        status = read_published(spark, target, "run_status", made.number)
+        done_ = [WriteResult(n, f"{target.rstrip('/')}/{t.folder}", t.rows) for n, t in made.tables.items()]
+        return done_, status.select("*", report.status_line().alias("line"))
     written: list[WriteResult] = []
     done = False
     try:

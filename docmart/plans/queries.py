@@ -24,7 +24,7 @@ from docmart.plans.config import select_configs, without_fields
 from docmart.plans.pipeline import RuleConversion, build_table, convert, convert_by_rule, convert_table
 from docmart.session import scratch_path
 from docmart.sources import corpus as sources
-from docmart.sources import tables, writers
+from docmart.sources import publish, tables, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -595,6 +595,33 @@ def compact_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _wall_clock(tables.read_tables(spark, base, schemas, schemas)["measurement"])
 
 
+def _published(spark: SparkSession, sf: str) -> str:
+    """Two versions: tables, then one of them replaced; a third publication fails on its way."""
+    base = scratch_path(spark, "published")
+    publish.publish({"measurement": _converted(spark, sf, "measurement", [C.VITALS]), "drug": _converted(spark, sf, "drug")}, base, "first")
+    whole = _converted(spark, sf, "measurement")
+    publish.publish({"measurement": whole}, base, "second")
+    broken = whole.where(F.when(F.col("visit_id") % 1000 == 500, F.raise_error(F.lit("no more"))).otherwise(F.lit(True)))
+    try:
+        publish.publish({"drug": whole, "measurement": broken}, base, "third")
+    except publish.PublishError:
+        pass
+    publish.publish({"measurement": whole.limit(0)}, base, "second")  # a rerun changes nothing
+    return base
+
+
+@_query
+def publish_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table read through the manifest, after a replacement, a failed publication and a rerun."""
+    return _wall_clock(publish.read_published(spark, _published(spark, sf), "measurement"))
+
+
+@_query
+def publish_history(spark: SparkSession, sf: str) -> DataFrame:
+    """What every version holds, with rows counted while they were written."""
+    return publish.history(spark, _published(spark, sf))
+
+
 @_query
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "csv")

@@ -52,24 +52,28 @@ def write_each(
     fmt: str = "parquet",
     at_once: int = 4,
     max_rows_per_file: int = 0,
+    expected: Mapping[str, int] | None = None,
 ) -> list[WriteResult]:
     """Write ``{base}/{name}{suffix}`` per frame; a failing one is reported, the rest go on.
 
     Up to ``at_once`` write jobs are submitted together, so that the last tasks of
-    one table do not leave the cluster idle. Parquet rows are counted from the
-    footers of the files written, CSV rows while they are written.
+    one table do not leave the cluster idle. Rows are counted while they are written.
+    With ``expected`` a table of another number of rows is reported as failed.
     """
 
     def write(item: tuple[str, DataFrame]) -> WriteResult:
         name, frame = item
         path = f"{base.rstrip('/')}/{name}{suffix}"
         try:
+            seen = Observation()
+            counted = frame.observe(seen, F.count(F.lit(1)).alias("rows"))
             if fmt == "csv":
-                seen = Observation()
-                write_csv(frame.observe(seen, F.count(F.lit(1)).alias("rows")), path)
-                return WriteResult(name, path, seen.get["rows"])
-            write_table(frame, path, max_rows_per_file=max_rows_per_file)
-            return WriteResult(name, path, frame.sparkSession.read.schema(frame.schema).parquet(path).count())
+                write_csv(counted, path)
+            else:
+                write_table(counted, path, max_rows_per_file=max_rows_per_file)
+            rows = seen.get["rows"]
+            wanted = (expected or {}).get(name, rows)
+            return WriteResult(name, path, rows, None if rows == wanted else f"wrote {rows} of {wanted} rows")
         except Exception as e:  # noqa: BLE001 - any failure of one table must not stop the others
             return WriteResult(name, path, None, f"{type(e).__name__}: {e}")
 

@@ -1,0 +1,145 @@
+"""Publishing by versions: whole or not at all, whatever fails."""
+
+from __future__ import annotations
+
+import os
+import subprocess
+import sys
+import textwrap
+import time
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from docmart.sources import publish as P
+
+ROOT = Path(__file__).resolve().parent.parent
+
+
+def ids(frame):
+    return sorted(r["id"] for r in frame.collect())
+
+
+def test_versions(spark, tmp_path):
+    base = str(tmp_path / "t") + "/"
+    assert P.manifest(spark, base) is None
+    assert P.history(spark, base).count() == 0
+    with pytest.raises(ValueError, match="not published"):
+        P.read_published(spark, base, "a")
+    first = P.publish({"a": spark.range(3), "b": spark.range(2)}, base, "r1")
+    assert (first.number, first.tables["a"].rows, first.tables["b"].rows) == (1, 3, 2)
+    P.publish({"a": spark.range(5)}, base, "r2")
+    assert ids(P.read_published(spark, base, "a")) == list(range(5))
+    assert ids(P.read_published(spark, base, "a", 1)) == list(range(3))
+    assert ids(P.read_published(spark, base, "b")) == [0, 1]
+    P.publish({"c": spark.range(0)}, base, drop=["b"])
+    with pytest.raises(ValueError, match="not published"):
+        P.read_published(spark, base, "b")
+    assert P.read_published(spark, base, "c").dtypes == spark.range(0).dtypes
+    assert {(r["number"], r["table"], r["rows"]) for r in P.history(spark, base).collect()} == {
+        (1, "a", 3), (1, "b", 2), (2, "a", 5), (2, "b", 2), (3, "a", 5), (3, "c", 0)
+    }
+
+
+def test_a_rerun_changes_nothing(spark, tmp_path):
+    base = str(tmp_path)
+    P.publish({"a": spark.range(3)}, base, "r1")
+    P.publish({"a": spark.range(4)}, base, "r2")
+    again = P.publish({"a": spark.range(9)}, base, "r1")
+    assert again.number == 1
+    assert ids(P.read_published(spark, base, "a")) == list(range(4))
+    assert P.numbers(spark, base) == [1, 2]
+
+
+def test_a_failing_table_leaves_all_as_they_were(spark, tmp_path):
+    base = str(tmp_path)
+    P.publish({"a": spark.range(3), "b": spark.range(3)}, base, "r1")
+    bad = spark.range(10).withColumn("id", F.when(F.col("id") == 7, F.raise_error(F.lit("seven"))).otherwise(F.col("id")))
+    with pytest.raises(P.PublishError, match="seven") as e:
+        P.publish({"a": spark.range(8), "b": bad}, base, "r2")
+    assert {r.name: bool(r.error) for r in e.value.results} == {"a": False, "b": True}
+    assert ids(P.read_published(spark, base, "a")) == [0, 1, 2]
+    assert P.numbers(spark, base) == [1]
+    assert len(os.listdir(tmp_path / "_versions")) == 1
+    P.publish({"a": spark.range(8)}, base, "r2")
+    assert ids(P.read_published(spark, base, "a")) == list(range(8))
+
+
+def test_a_killed_publication_leaves_the_table_readable(spark, tmp_path):
+    """The process dies between the write and the commit, as a lost driver would."""
+    base = str(tmp_path / "t")
+    P.publish({"a": spark.range(3)}, base, "r1")
+    code = f"""
+        import os, sys
+        sys.path.insert(0, {str(ROOT)!r})
+        from docmart.session import build_session
+        from docmart.sources import publish as P
+        spark = build_session("dies", "local[1]", spark__ui__enabled="false")
+        P._commit = lambda *a: os._exit(9)
+        P.publish({{"a": spark.range(100)}}, {base!r}, "r2")
+    """
+    done = subprocess.run([sys.executable, "-c", textwrap.dedent(code)], capture_output=True, timeout=120, check=False)
+    assert done.returncode == 9
+    assert ids(P.read_published(spark, base, "a")) == [0, 1, 2]
+    assert len(os.listdir(f"{base}/_versions")) == 2
+    P.publish({"a": spark.range(100)}, base, "r2")
+    assert ids(P.read_published(spark, base, "a")) == list(range(100))
+    # What the dead one left is cleared away once it is old enough to be sure.
+    assert P.vacuum(spark, base, keep=2) == []
+    gone = P.vacuum(spark, base, keep=2, now_s=time.time() + 10**6)
+    assert len(gone) == 1
+    assert ids(P.read_published(spark, base, "a", 1)) == [0, 1, 2]
+    P.vacuum(spark, base, keep=1, now_s=time.time() + 10**6)
+    assert ids(P.read_published(spark, base, "a")) == list(range(100))
+    assert P.numbers(spark, base) == [2] and len(os.listdir(f"{base}/_versions")) == 1
+
+
+def test_two_at_a_time(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    P.publish({"a": spark.range(1), "b": spark.range(1)}, base, "r1")
+    write = P.write_each
+
+    def other_first(frames, *args, **kw):
+        """While the tables are written, another publication comes to its end."""
+        monkeypatch.setattr(P, "write_each", write)
+        P.publish({"b": spark.range(7)}, base)
+        return write(frames, *args, **kw)
+
+    monkeypatch.setattr(P, "write_each", other_first)
+    made = P.publish({"a": spark.range(5)}, base, "r2")
+    assert made.number == 3
+    assert ids(P.read_published(spark, base, "a")) == list(range(5))
+    assert ids(P.read_published(spark, base, "b")) == list(range(7))
+    monkeypatch.setattr(P, "write_each", other_first)
+    with pytest.raises(P.PublishConflict, match="'b'"):
+        P.publish({"b": spark.range(2)}, base, "r3")
+    assert ids(P.read_published(spark, base, "b")) == list(range(7))
+
+
+def test_a_number_is_taken_once(spark, tmp_path):
+    P.publish({"a": spark.range(1)}, str(tmp_path), "r1")
+    assert not P._commit(spark, str(tmp_path), P.Manifest(1, "x", {}))
+    assert P.manifest(spark, str(tmp_path), 1).run == "r1"
+    assert P._commit(spark, str(tmp_path), P.Manifest(2, "x", {}))
+    assert sorted(os.listdir(tmp_path / "_manifests"))[-2:] == ["0000000001.json", "0000000002.json"]
+
+
+def test_a_job_published_as_one_version(spark, sf, tmp_path):
+    from docmart.plans import clinical as C
+    from docmart.plans.pipeline import convert
+    from docmart.sources.writers import write_each
+
+    base = str(tmp_path / "job")
+    job = convert(C.documents(spark, sf), C.CONFIGS, C.ROUTING, C.codemap(spark, sf))
+    made = job.publish(base, "monday")
+    counts = {r["table"]: r["n"] for r in job.table_counts().collect()}
+    assert {n: t.rows for n, t in made.tables.items() if n in counts} == counts
+    assert set(made.tables) == {*counts, "run_status", "quarantine", "unmapped"}
+    assert P.read_published(spark, base, "person").count() == counts["person"]
+    assert job.publish(base, "monday").number == 1
+    short = write_each({"person": job.table("person").limit(3)}, base, expected=counts)
+    assert short[0].error == f"wrote 3 of {counts['person']} rows"
+    bad = job.status(short).where("status = 'ERROR' AND table = 'person'")
+    assert bad.count() == P.read_published(spark, base, "person").select("doc_id").distinct().count()
+    job.drop_stage()
