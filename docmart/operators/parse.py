@@ -157,11 +157,17 @@ def _error(xml: Column, corrupt: Column) -> Column:
         .when(xml.rlike(_ENTITY), F.lit(BAD_ENTITY))
         .otherwise(F.lit(BAD_TAG))
     )
+    # A document that ends with its root's first end tag needs no look at the whole of it; that of a
+    # root without content (an empty match) does.
+    root = F.regexp_extract(xml, rf"{_ROOT}(?![^<>]*/>)", 1)
+    end = F.concat(F.lit("</"), root)
+    at_end = F.length(F.rtrim(xml)) - F.length(end)
+    ends = (root != "") & (F.call_function("locate", end, xml) == at_end) & F.endswith(F.rtrim(xml), F.lit(">"))
     return (
         F.when(xml.isNull(), F.lit(UNREADABLE_DOCUMENT))
         .when(~xml.rlike(r"\S"), F.lit(EMPTY_DOCUMENT))
         .when(corrupt.isNotNull(), cause)
-        .when(xml.rlike(_GOES_ON), F.lit(AFTER_ROOT))
+        .when(~ends & xml.rlike(_GOES_ON), F.lit(AFTER_ROOT))
     )
 
 

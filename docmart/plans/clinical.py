@@ -45,6 +45,7 @@ from docmart.plans.config import (
     from_step,
 )
 from docmart.sources.corpus import spread
+from docmart.sources.files import write_files
 
 ROOT = "ClinicalDocument"
 FAULTS = 8
@@ -319,13 +320,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders(spark, sf_dir).select(name.alias("file_name"), damaged.alias("xml"))
 
 
-def write_batches(spark: SparkSession, sf_dir: str, path: str, per_file: int = 500, tasks: int | None = None) -> None:
-    """The intact documents as XML files of at most ``per_file`` documents each."""
-    columns = [c.alias(name) for name, c in _document_columns().items()]
-    intact = _orders(spark, sf_dir).where(F.col("o_orderkey") % 97 >= FAULTS)
-    rows = intact.coalesce(tasks) if tasks else intact
-    writer = rows.select(*columns).write.format("xml").options(rowTag=ROOT, rootTag=BATCH)
-    writer.option("maxRecordsPerFile", per_file).save(path)
+def write_batches(spark: SparkSession, sf_dir: str, path: str, per_file: int = 500) -> None:
+    """All documents as XML files: the intact ones of ``per_file`` neighbouring keys in one file, each
+    faulty one as a file of its own, so that a fault spoils nothing else."""
+    docs = documents(spark, sf_dir).withColumn("key", F.regexp_replace("file_name", r"\.xml$", "").cast("long"))
+    faulty = docs.where(F.col("key") % 97 < FAULTS).select("file_name", F.col("xml").alias("content"))
+    ordered = F.array_sort(F.collect_list(F.struct("key", "xml")))["xml"]
+    batch = F.concat(F.lit(f"<{BATCH}>"), F.array_join(ordered, "\n"), F.lit(f"</{BATCH}>"))
+    # A batch holds at most ``per_file`` keys, so a group is bounded.
+    batches = docs.where(F.col("key") % 97 >= FAULTS).groupBy(F.floor(F.col("key") / per_file).alias("n")).agg(batch.alias("content"))
+    named = batches.select(F.format_string("batch-%d.xml", "n").alias("file_name"), "content")
+    write_files(faulty.union(named), path)
 
 
 def write_text(spark: SparkSession, sf_dir: str, path: str, per_file: int = 20_000) -> None:

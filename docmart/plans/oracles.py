@@ -179,7 +179,12 @@ ORACLES: dict[str, str] = {
     "packed_scan": """
         SELECT CAST(o_orderkey AS VARCHAR) AS doc_id,
                """ + MESSAGE + " AS error FROM orders",
-    "doc_count": "SELECT CAST(CEIL(COUNT(*) / 500.0) AS BIGINT) AS n_documents FROM orders WHERE o_orderkey % 97 > 7",
+    "doc_count": """
+        SELECT COUNT(DISTINCT CASE WHEN o_orderkey % 97 > 7 THEN o_orderkey // 500 END) + COUNT(CASE WHEN o_orderkey % 97 <= 7 THEN 1 END) AS n_documents
+        FROM orders""",
+    "scan_quarantine": f"""
+        SELECT CAST(o_orderkey AS VARCHAR) AS doc_id, CAST(o_orderkey AS VARCHAR) || '.xml' AS file_name, {MESSAGE} AS message
+        FROM orders WHERE o_orderkey % 97 <= 7""",
     "doc_ids": """
         SELECT file_name, CASE
             WHEN o_orderkey % 6 = 2 THEN file_name
@@ -359,8 +364,11 @@ ORACLES: dict[str, str] = {
           SELECT *, value AS quantity FROM records WHERE config = 'medications')""",
     "output_files": """
         SELECT (SELECT COUNT(DISTINCT o_orderpriority) FROM orders WHERE o_orderkey % 97 > 7 AND o_orderkey % 11 <> 0)
-             + (SELECT CAST(CEIL(COUNT(*) / 1000.0) AS BIGINT) FROM orders WHERE o_orderkey % 97 > 7) AS n_files""",
+             + (SELECT COUNT(DISTINCT o_custkey % 10) FROM orders WHERE o_orderkey % 97 > 7) AS n_files""",
     "convert_job": COUNTS + """
         SELECT tbl AS "table", CAST(SUM(n) AS BIGINT) AS n_rows, COUNT(DISTINCT doc_id) AS n_documents FROM pairs
         WHERE n > 0 AND tbl IS NOT NULL GROUP BY tbl""",
 }
+
+# The same content, whether packed as rows or as files.
+ORACLES["csv_files"] = ORACLES["csv_per_doc"]

@@ -25,6 +25,7 @@ from docmart.plans.pipeline import RuleConversion, build_table, convert, convert
 from docmart.session import scratch_path
 from docmart.sources import corpus as sources
 from docmart.sources import publish, tables, writers
+from docmart.sources.files import write_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,7 +107,8 @@ def config_subset(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def scan_directory(spark: SparkSession, sf: str) -> DataFrame:
-    """A folder of whole XML files, several documents per file, two hops to a record."""
+    """A folder of whole XML files, several documents per file, two hops to a record; faulty
+    documents lie among them."""
     path = scratch_path(spark, "batches")
     C.write_batches(spark, sf, path)
     files = sources.scan_directory(spark, path)
@@ -116,6 +118,15 @@ def scan_directory(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@_query
+def scan_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """The faulty files of such a folder, empty ones too."""
+    path = scratch_path(spark, "batches")
+    C.write_batches(spark, sf, path)
+    refused = quarantine(parse_documents(sources.scan_directory(spark, path), [C.BATCH_VITALS]))
+    return refused.select("doc_id", "file_name", "message")
+
+
 @_query
 def rowtag_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Files of many documents, split inside the files."""
@@ -150,9 +161,9 @@ def packed_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def doc_count(spark: SparkSession, sf: str) -> DataFrame:
-    """The XML files of a folder; the files were written from one task, 500 documents each."""
+    """The XML files of a folder, by their listing."""
     path = scratch_path(spark, "batches")
-    C.write_batches(spark, sf, path, tasks=1)
+    C.write_batches(spark, sf, path)
     return sources.count_files(spark, path)
 
 
@@ -640,6 +651,16 @@ def csv_per_doc(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(packed.schema).options(**writers.CSV_OPTIONS, multiLine="true").csv(path)
 
 
+@_query
+def csv_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The CSV files of all documents as files of their own, written by the tasks and read back."""
+    parsed = parse_documents(C.documents(spark, sf), [C.RESULTS])
+    path = scratch_path(spark, "csv-files")
+    write_files(writers.document_csv(parsed, C.RESULTS, unique_codemap(C.codemap(spark, sf))), path, content="csv")
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("content").cast("string").alias("csv"))
+
+
 @_query
 def document_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """A table with its document column, partitioned by a hash of it for per-document reads."""
@@ -651,11 +672,12 @@ def document_partitions(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def output_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Number of data files of a run: one per table and order priority, and one per hundred people."""
+    """Number of data files of a run: one per order priority, and one per last digit of a person."""
     base = scratch_path(spark, "output")
     visits = _converted(spark, sf, "visit").repartition("priority")
     writers.write_table(visits, f"{base}/visit.parquet", partition_by=["priority"])
-    writers.write_table(_converted(spark, sf, "person").coalesce(1), f"{base}/person.parquet", max_rows_per_file=1000)
+    people = _converted(spark, sf, "person").withColumn("digit", F.col("person_id") % 10).repartition("digit")
+    writers.write_table(people, f"{base}/person.parquet", partition_by=["digit"])
     return writers.count_output_files(spark, base)
 
 

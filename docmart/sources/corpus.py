@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docmart.sources.files import open_folder
+
 CORPUS_SCHEMA = "file_name string, xml string"
+LISTING = "file_name string, length long, hidden boolean"
 
 
 def scan_directory(spark: SparkSession, path: str, require: bool = False) -> DataFrame:
@@ -18,35 +23,55 @@ def scan_directory(spark: SparkSession, path: str, require: bool = False) -> Dat
     in the quarantine: empty ones as ``''``, names with a leading dot or underscore as null.
     ``require`` raises where the folder holds no document.
 
-    Spark keeps the listing of a folder on the driver, and so does this. A corpus of very many
-    documents belongs into :func:`scan_packed`, or into files of many documents
-    (:func:`docmart.operators.parse.read_documents`).
+    A corpus of very many documents belongs into :func:`scan_packed`, or into files of many
+    documents (:func:`docmart.operators.parse.read_documents`).
     """
     files = spark.read.text(path, wholetext=True, pathGlobFilter="*.xml", recursiveFileLookup=False)
     # The metadata column holds the name as in a URI, where '+' stands for itself.
     name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
     corpus = files.select(name.alias("file_name"), F.col("value").alias("xml"))
-    passed_over = _passed_over(spark, path)
-    if passed_over:
-        corpus = corpus.union(spark.createDataFrame(passed_over, CORPUS_SCHEMA))
-    if require and corpus.isEmpty():
+    passed_over = list_documents(spark, path).where("hidden OR length = 0")
+    corpus = corpus.union(passed_over.select("file_name", F.when(~F.col("hidden"), F.lit("")).alias("xml")))
+    if require and list_documents(spark, path).isEmpty():
         raise ValueError(f"no *.xml documents in {path}")
     return corpus
 
 
-def _listing(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
-    """Names and lengths of the files that match, in one call, whatever their number."""
-    glob = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = glob.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    listing = spark.sparkContext._jvm.org.apache.commons.lang3.ArrayUtils.toString(fs.globStatus(glob))
-    found = re.findall(r"path=([^\n]*?); isDirectory=false; length=(\d+);", listing)
-    return [(p.rsplit("/", 1)[-1], int(n)) for p, n in found]
+def list_documents(spark: SparkSession, path: str) -> DataFrame:
+    """``file_name, length, hidden`` of the ``*.xml`` files of a folder; no file is opened.
+
+    Spark's own listing leaves out empty and hidden files (leading dot or underscore). Here a task
+    lists the folder through Arrow's file systems and sends rows, so the driver holds none of it.
+    File systems that only Hadoop knows are listed by the driver.
+    """
+    try:
+        open_folder(path)
+    except (pa.ArrowException, ValueError, NotImplementedError):
+        return spark.createDataFrame(_listed_by_driver(spark, path), LISTING)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                fs, own = open_folder(folder)
+                found = [f for f in fs.get_file_info(pafs.FileSelector(own, allow_not_found=True)) if f.is_file and f.base_name.endswith(".xml")]
+                for i in range(0, len(found), 50_000):
+                    yield _listing((f.base_name, f.size) for f in found[i : i + 50_000])
+
+    return spark.createDataFrame([(path,)], "folder string").mapInArrow(run, LISTING)
+
+
+def _listing(files: Iterable[tuple[str, int]]) -> pa.RecordBatch:
+    rows = [(name, size, name.startswith((".", "_"))) for name, size in files]
+    columns = list(zip(*rows, strict=True)) or [(), (), ()]
+    types = (pa.string(), pa.int64(), pa.bool_())
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["file_name", "length", "hidden"])
 
 
-def _passed_over(spark: SparkSession, path: str) -> list[tuple[str, str | None]]:
-    """The empty and the hidden documents; metadata only."""
-    files = _listing(spark, f"{path.rstrip('/')}/*.xml")
-    return [(name, None if name.startswith((".", "_")) else "") for name, size in files if not size or name.startswith((".", "_"))]
+def _listed_by_driver(spark: SparkSession, path: str) -> list[tuple[str, int, bool]]:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [(f.getPath().getName(), f.getLen()) for f in fs.listStatus(folder) if f.isFile()]
+    return [(name, size, name.startswith((".", "_"))) for name, size in found if name.endswith(".xml")]
 
 
 def scan_packed(spark: SparkSession, path: str) -> DataFrame:
@@ -65,6 +90,6 @@ def count_documents(corpus: DataFrame) -> DataFrame:
 
 
 def count_files(spark: SparkSession, path: str) -> DataFrame:
-    """Number of documents in a folder: those the source reads and those it passes over. No
-    content is parsed."""
-    return count_documents(scan_directory(spark, path))
+    """Number of documents in a folder: those the source reads and those it passes over. No file is
+    opened."""
+    return count_documents(list_documents(spark, path))

@@ -161,6 +161,12 @@ def test_nothing_behind_the_root_is_lost_in_silence(spark):
         "<D></D>x": "content after the root",
         "<D></D><D></D>": "content after the root",
         "<D/><E/>": "content after the root",
+        "<D/><D></D>": "content after the root",
+        "<D></D ><D></D>": "content after the root",
+        "<D a='1' /><D></D>": "content after the root",
+        "<D></D>  ": None,
+        "<D></D >": None,
+        "<D><Dx></Dx></D>": None,
         "<D><b></D>": "malformed XML: mismatched tag or bad character",
         "<D>": "malformed XML: cut off",
     }

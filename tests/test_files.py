@@ -15,7 +15,7 @@ from docmart.operators.extract import extract
 from docmart.operators.parse import parse_documents, quarantine, read_documents
 from docmart.plans.config import DomainConfig, Step, document_id, from_path
 from docmart.session import scratch_path, work_dir
-from docmart.sources import corpus, tables, writers
+from docmart.sources import corpus, files, tables, writers
 
 ITEMS = DomainConfig("items", (document_id(), from_path("a", "_a"), from_path("b", "_b")), (Step("i"),))
 
@@ -195,3 +195,63 @@ def test_work_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir", None)
     assert shared is None or work_dir(spark) == shared.rstrip("/")
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_listing_sees_all_and_opens_none(spark, tmp_path, monkeypatch):
+    names = ["a.xml", "b c+d%20é.xml", "_h.xml", ".xml", "e;f.xml", "line\nbreak.xml"]
+    for n in names:
+        (tmp_path / n).write_text("" if n == "a.xml" else "x" * 7)
+    (tmp_path / "UPPER.XML").write_text("x")
+    (tmp_path / "dir.xml").mkdir()
+    want = {(n, 0 if n == "a.xml" else 7, n[0] in "._") for n in names}
+    assert {tuple(r) for r in corpus.list_documents(spark, str(tmp_path)).collect()} == want
+    assert {tuple(r) for r in corpus.list_documents(spark, f"file://{tmp_path}").collect()} == want
+    assert corpus.count_files(spark, str(tmp_path)).first()[0] == len(names)
+
+    def unknown(path):
+        raise ValueError("a file system that Arrow does not know")
+
+    monkeypatch.setattr(corpus, "open_folder", unknown)
+    assert {tuple(r) for r in corpus.list_documents(spark, str(tmp_path)).collect()} == want
+
+
+def test_a_file_per_row(spark, tmp_path):
+    target = str(tmp_path / "out")
+    rows = [(f"d{i}.xml__r.csv", f"a,é\r\n{i},\r\n") for i in range(300)] + [("empty.csv", ""), ("null.csv", None), ("b c+%20.csv", "x")]
+    frame = spark.createDataFrame(rows, "file_name string, csv string").repartition(7)
+    for _ in range(2):  # a rerun replaces the files
+        files.write_files(frame, target, content="csv")
+        found = {p.name: p.read_bytes() for p in (tmp_path / "out").iterdir() if not p.name.startswith("_")}
+        assert found == {n: (t or "").encode() for n, t in rows}
+        assert files.is_complete(target)
+    files.write_files(frame.limit(0), f"file://{target}", content="csv")
+    assert [p.name for p in (tmp_path / "out").iterdir()] == ["_SUCCESS"]
+
+
+def test_files_as_pandas_writes_them(spark, tmp_path):
+    """A hundred documents, byte for byte."""
+    import pandas as pd
+
+    docs = [(f"d{i}.xml", f'<D><i a="{i}" b="x,&quot;y&quot;"/><i b=" {i}"/></D>') for i in range(100)]
+    parsed = parse_documents(spark.createDataFrame(docs, corpus.CORPUS_SCHEMA), [ITEMS])
+    files.write_files(writers.document_csv(parsed, ITEMS), str(tmp_path / "csv"), content="csv")
+    for i in range(100):
+        frame = pd.DataFrame([(f"d{i}", str(i), 'x,"y"'), (f"d{i}", None, f" {i}")], columns=["doc_id", "a", "b"])
+        assert (tmp_path / "csv" / f"d{i}.xml__items.csv").read_bytes() == frame.to_csv(index=False, lineterminator="\r\n").encode()
+    assert len(list((tmp_path / "csv").iterdir())) == 101
+
+
+@pytest.mark.parametrize("name", ["", "a/b", "..", "_x", None])
+def test_names_that_no_file_can_have(spark, tmp_path, name):
+    frame = spark.createDataFrame([("good", "1"), (name, "2")], "file_name string, content string")
+    with pytest.raises(Exception, match="no name for a file"):
+        files.write_files(frame, str(tmp_path / "out"))
+    assert not files.is_complete(str(tmp_path / "out"))
+    assert list((tmp_path / "out").iterdir()) == []
+
+
+def test_rows_that_share_a_name_are_refused(spark, tmp_path):
+    frame = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3")], "file_name string, content string").repartition(3)
+    with pytest.raises(Exception, match="not unique"):
+        files.write_files(frame, str(tmp_path / "out"))
+    assert not files.is_complete(str(tmp_path / "out"))
