@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from docmart.functions.casts import to_int
 from docmart.operators.extract import lookup_columns, lookup_keys
+from docmart.operators.skew import SHARE, heavy_keys, split_join
 from docmart.plans.config import DomainConfig
 
 
@@ -47,13 +48,30 @@ def lookup(df: DataFrame, codemap: DataFrame, system: str, code: str, out: str)
     return keyed.join(keys, on, "left").drop("__k_system", "__k_code", "__code")
 
 
-def apply_lookups(records: DataFrame, configs: Sequence[DomainConfig], codemap: DataFrame) -> DataFrame:
-    """Resolve every lookup column of extracted records, with the configs' defaults."""
+def lookup_split(df: DataFrame, codemap: DataFrame, system: str, code: str, out: str, share: int = SHARE) -> DataFrame:
+    """The same as :func:`lookup` for a codemap too large to broadcast and codes as hot as you like.
+
+    Codes that hold more than one in ``share`` rows of ``df`` are counted first; their few concepts are
+    broadcast, and those rows are not shuffled. All others are, and none of them is hot. ``df`` is read
+    three times: it should be a stored table. Rows without a code stay where they are too.
+    """
+    keys = codemap.select(F.col("code_system").alias("__system"), F.col("code").alias("__code"), F.col("concept_id").alias(out))
+    coded = df.withColumns({"__system": F.col(system), "__code": F.col(code)})
+    known = coded.where(F.col("__system").isNotNull() & F.col("__code").isNotNull())
+    unknown = coded.where(F.col("__system").isNull() | F.col("__code").isNull())
+    found = split_join(known, keys, ["__system", "__code"], heavy_keys(known, ["__system", "__code"], share))
+    rest = unknown.withColumn(out, F.lit(None).cast(keys.schema[out].dataType))
+    return found.unionByName(rest).drop("__system", "__code")
+
+
+def apply_lookups(records: DataFrame, configs: Sequence[DomainConfig], codemap: DataFrame, split: bool = False) -> DataFrame:
+    """Resolve every lookup column of extracted records, with the configs' defaults; with ``split``
+    hot codes are split off (:func:`lookup_split`)."""
     for out in lookup_columns(configs):
         system, code, default = lookup_keys(out)
         # Other configs of the table may read the same column from a path.
         read = [F.col(out)] if out in records.columns else []
-        found = lookup(records, codemap, system, code, "__found")
+        found = (lookup_split if split else lookup)(records, codemap, system, code, "__found")
         value = F.coalesce("__found", *[to_int(c) for c in (F.col(default), *read)])
         records = found.withColumn(out, value).drop("__found", system, code, default)
     return records

@@ -201,6 +201,13 @@ ORACLES: dict[str, str] = {
         SELECT l_orderkey, l_linenumber, CAST(l_partkey AS VARCHAR) AS code,
                COALESCE(CASE WHEN l_linenumber <> 7 AND p_partkey % 10 <> 0 THEN p_partkey + 1000000 END, 0) AS concept_id
         FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""",
+    "codemap_split": """
+        SELECT l_orderkey, l_linenumber, code, CASE WHEN l_linenumber < 7 AND p_partkey % 10 <> 0 THEN p_partkey + 1000000 END AS concept_id
+        FROM (SELECT *, CASE WHEN l_linenumber < 3 THEN '11' WHEN l_linenumber < 7 THEN CAST(l_partkey AS VARCHAR) END AS code FROM lineitem)
+        LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = code""",
+    "packed_loads": """
+        SELECT o_orderkey, CAST(FLOOR((SUM(size) OVER (ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) - size / 2) / 100000000) AS INTEGER) AS load
+        FROM (SELECT o_orderkey, FLOOR(o_totalprice) AS size FROM orders)""",
     "codemap_misses": RECORDS + """
         SELECT code_system, source_code AS code, COUNT(*) AS n FROM records
         WHERE concept_id = 0 GROUP BY code_system, source_code""",
@@ -345,9 +352,15 @@ ORACLES: dict[str, str] = {
         SELECT {_MEASUREMENT} FROM records WHERE config IN ('results', 'vitals')""",
     "publish_history": RECORDS + """
         , sizes AS (SELECT config, COUNT(*) AS n FROM records GROUP BY config)
-        SELECT CAST(1 AS BIGINT) AS number, 'first' AS run, 'measurement' AS "table", n AS rows FROM sizes WHERE config = 'vitals'
-        UNION ALL SELECT 2, 'second', 'measurement', CAST(SUM(n) AS BIGINT) FROM sizes WHERE config IN ('results', 'vitals')
-        UNION ALL SELECT v.number, v.run, 'drug', n FROM sizes, (VALUES (1, 'first'), (2, 'second')) AS v(number, run) WHERE config = 'medications'""",
+        SELECT CAST(1 AS BIGINT) AS number, 'first' AS run, 'measurement' AS "table", 1 AS parts, n AS rows FROM sizes WHERE config = 'vitals'
+        UNION ALL SELECT 2, 'second', 'measurement', 1, CAST(SUM(n) AS BIGINT) FROM sizes WHERE config IN ('results', 'vitals')
+        UNION ALL SELECT v.number, v.run, 'drug', 1, n FROM sizes, (VALUES (1, 'first'), (2, 'second')) AS v(number, run) WHERE config = 'medications'""",
+    "compact_parts": RECORDS + f"""
+        SELECT {_MEASUREMENT} FROM records WHERE config IN ('results', 'vitals')""",
+    "compact_history": RECORDS + """
+        SELECT CAST(v.number AS BIGINT) AS number, 'measurement' AS "table", v.parts, COUNT(*) AS rows
+        FROM records, (VALUES (1, 1, 0), (2, 2, 1), (3, 3, 2), (4, 2, 2), (5, 3, 3), (6, 4, 4), (7, 2, 4)) AS v(number, parts, pieces)
+        WHERE config IN ('results', 'vitals') AND (visit_id % 1000 > 3 OR visit_id % 1000 < v.pieces) GROUP BY v.number, v.parts""",
     "csv_roundtrip": RECORDS + """
         SELECT doc_id, person_id, visit_id, seq, source_code, concept_id, value AS quantity, unit, measured_at, measured_on
         FROM records WHERE config = 'medications'""",

@@ -32,16 +32,18 @@ def build_table(
     routing: Routing,
     codemap: DataFrame,
     parsed_for: Sequence[DomainConfig] | None = None,
+    split_codes: bool = False,
 ) -> DataFrame:
     """One table from all of its configs: extract, look up, cast, align.
 
-    Narrow but for the codemap join: no shuffle while the codemap is broadcast.
+    Narrow but for the codemap join: no shuffle while the codemap is broadcast. With
+    ``split_codes``, for larger ones, hot codes are counted and split off.
     """
     members = routing.tables(configs).get(table, [])
     if not members:
         raise ValueError(f"no config feeds table {table}")
     records = extract(parsed, members, parsed_for)
-    return align(apply_lookups(records, members, codemap), routing.schema(table))
+    return align(apply_lookups(records, members, codemap, split_codes), routing.schema(table))
 
 
 def convert_table(
@@ -76,8 +78,8 @@ class Conversion:
     def table_names(self) -> list[str]:
         return list(self.routing.tables(self.configs))
 
-    def table(self, name: str) -> DataFrame:
-        return build_table(self.parsed, name, self.configs, self.routing, self.codemap, self.configs)
+    def table(self, name: str, split_codes: bool = False) -> DataFrame:
+        return build_table(self.parsed, name, self.configs, self.routing, self.codemap, self.configs, split_codes)
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: self.table(name) for name in self.table_names()}
@@ -246,8 +248,8 @@ def convert_directory(
         made = job.publish(target, publish_as)
         job.drop_stage()
         status = read_published(spark, target, "run_status", made.number)
-        done_ = [WriteResult(n, f"{target.rstrip('/')}/{t.folder}", t.rows) for n, t in made.tables.items()]
-        return done_, status.select("*", report.status_line().alias("line"))
+        tables = [WriteResult(n, f"{target.rstrip('/')}/{t.parts[-1].folder}", t.rows) for n, t in made.tables.items()]
+        return tables, status.select("*", report.status_line().alias("line"))
     written: list[WriteResult] = []
     done = False
     try:

@@ -16,9 +16,10 @@ from docmart.operators import report
 from docmart.operators.align import align_to_types, union_all
 from docmart.operators.diagnose import causes, diagnose
 from docmart.operators.extract import extract, lookup_keys, with_counts
-from docmart.operators.lookup import apply_lookups, code_misses, lookup, unique_codemap
+from docmart.operators.lookup import apply_lookups, code_misses, lookup, lookup_split, unique_codemap
 from docmart.operators.parse import parse_documents, quarantine, read_documents
 from docmart.operators.route import filter_domains, route, routes_frame, unrouted
+from docmart.operators.running import pack
 from docmart.plans import clinical as C
 from docmart.plans.config import select_configs, without_fields
 from docmart.plans.pipeline import RuleConversion, build_table, convert, convert_by_rule, convert_table
@@ -266,6 +267,26 @@ def codemap_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("l_orderkey", "l_linenumber", "code", F.coalesce("concept_id", F.lit(0)).alias("concept_id"))
 
 
+@_query
+def codemap_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with hot codes split off, as for a codemap that cannot be broadcast."""
+    codes = _table(spark, sf, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.when(F.col("l_linenumber") == 7, F.lit("LOCAL")).otherwise(F.lit("PART")).alias("code_system"),
+        F.when(F.col("l_linenumber") < 3, F.lit("11")).when(F.col("l_linenumber") < 7, F.col("l_partkey").cast("string")).alias("code"),
+    )
+    found = lookup_split(codes, unique_codemap(C.codemap(spark, sf)), "code_system", "code", "concept_id")
+    return found.select("l_orderkey", "l_linenumber", "code", "concept_id")
+
+
+@_query
+def packed_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders cut into loads of equal price, each one task: which order lies in which."""
+    orders = _table(spark, sf, "orders").select("o_orderkey", F.floor("o_totalprice").alias("size"))
+    return pack(orders, F.col("size"), "o_orderkey", 100_000_000).select("o_orderkey", F.spark_partition_id().alias("load"))
+
+
 @_query
 def codemap_misses(spark: SparkSession, sf: str) -> DataFrame:
     chosen = select_configs(C.CONFIGS, ["results", "vitals", "medications"])
@@ -633,6 +654,31 @@ def publish_history(spark: SparkSession, sf: str) -> DataFrame:
     return publish.history(spark, _published(spark, sf))
 
 
+def _compacted(spark: SparkSession, sf: str) -> str:
+    """A table published, two small pieces appended and compacted, two more appended and compacted."""
+    base = scratch_path(spark, "parts")
+    whole = _converted(spark, sf, "measurement")
+    publish.publish({"measurement": whole.where("visit_id % 1000 > 3")}, base, "whole")
+    for piece in range(4):
+        publish.append({"measurement": whole.where(F.col("visit_id") % 1000 == piece)}, base, f"piece {piece}")
+        if piece % 2:
+            size = publish.manifest(spark, base).tables["measurement"].parts[0].size
+            publish.compact_parts(spark, base, "measurement", target=size)
+    return base
+
+
+@_query
+def compact_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """The table after appends and compactions of the small parts only."""
+    return _wall_clock(publish.read_published(spark, _compacted(spark, sf), "measurement"))
+
+
+@_query
+def compact_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts and rows of every version on the way."""
+    return publish.history(spark, _compacted(spark, sf)).select("number", "table", "parts", "rows")
+
+
 @_query
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     base = scratch_path(spark, "csv")

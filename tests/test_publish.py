@@ -143,3 +143,62 @@ def test_a_job_published_as_one_version(spark, sf, tmp_path):
     bad = job.status(short).where("status = 'ERROR' AND table = 'person'")
     assert bad.count() == P.read_published(spark, base, "person").select("doc_id").distinct().count()
     job.drop_stage()
+
+
+def test_append_and_compact(spark, tmp_path):
+    base = str(tmp_path)
+    P.publish({"a": spark.range(0, 100_000, 1, 4)}, base, "big")
+    big = P.manifest(spark, base).tables["a"].parts[0]
+    assert big.rows == 100_000 and big.size > 10_000
+    for i in range(10):
+        P.append({"a": spark.range(100_000 + i, 100_001 + i)}, base, f"piece {i}")
+    P.append({"a": spark.range(5)}, base, "piece 9")  # a rerun adds nothing
+    want = list(range(100_010))
+    assert ids(P.read_published(spark, base, "a")) == want
+    made = P.compact_parts(spark, base, "a", target=big.size)
+    assert [p.rows for p in made.tables["a"].parts] == [100_000, 10]
+    assert made.tables["a"].parts[0] == big  # untouched
+    assert ids(P.read_published(spark, base, "a")) == want
+    assert P.compact_parts(spark, base, "a", target=big.size) is None
+    P.append({"a": spark.range(100_010, 100_012)}, base)
+    again = P.compact_parts(spark, base, "a", target=big.size)
+    assert [p.rows for p in again.tables["a"].parts] == [100_000, 12] and again.tables["a"].parts[0] == big
+    # Earlier versions still read what they read.
+    assert P.read_published(spark, base, "a", 1).count() == 100_000
+    gone = P.vacuum(spark, base, keep=1, now_s=time.time() + 10**6)
+    assert len(gone) == 12
+    assert ids(P.read_published(spark, base, "a")) == list(range(100_012))
+    with pytest.raises(ValueError, match="not published"):
+        P.compact_parts(spark, base, "b")
+
+
+def test_append_of_other_columns_is_refused(spark, tmp_path):
+    base = str(tmp_path)
+    P.append({"a": spark.range(2)}, base)
+    with pytest.raises(P.PublishConflict, match="other columns"):
+        P.append({"a": spark.range(2).toDF("other")}, base)
+    assert ids(P.read_published(spark, base, "a")) == [0, 1]
+
+
+def test_append_while_compacting(spark, tmp_path, monkeypatch):
+    base = str(tmp_path)
+    for i in range(3):
+        P.append({"a": spark.range(i, i + 1)}, base)
+    write = P.write_each
+
+    def meanwhile(change):
+        def run(frames, *args, **kw):
+            monkeypatch.setattr(P, "write_each", write)
+            change()
+            return write(frames, *args, **kw)
+
+        monkeypatch.setattr(P, "write_each", run)
+
+    meanwhile(lambda: P.append({"a": spark.range(3, 4)}, base))
+    made = P.compact_parts(spark, base, "a")
+    assert [p.rows for p in made.tables["a"].parts] == [1, 3]
+    assert ids(P.read_published(spark, base, "a")) == [0, 1, 2, 3]
+    meanwhile(lambda: P.publish({"a": spark.range(50)}, base))
+    with pytest.raises(P.PublishConflict, match="are gone"):
+        P.compact_parts(spark, base, "a")
+    assert ids(P.read_published(spark, base, "a")) == list(range(50))

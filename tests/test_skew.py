@@ -55,3 +55,41 @@ def test_sift_passes_few_others(spark):
     assert got[True] == (10_000, 10_000)
     assert got[False][0] < 0.12 * got[False][1]
     assert sift(spark.range(5).toDF("key"), "key", ids.limit(0)).where("__may").count() == 0
+
+
+def test_lookup_of_a_hot_code(spark):
+    """A third of all records on one code, a tenth without any, and no codemap that may be broadcast."""
+    from docmart.operators.lookup import lookup, lookup_split
+
+    rows = spark.range(30_000).select(
+        F.col("id").alias("record"),
+        F.lit("S").alias("system"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 10 > 0, (F.col("id") % 4000).cast("string")).alias("code"),
+    ).repartition(8, "record")
+    codemap = spark.range(3000).select(F.lit("S").alias("code_system"), F.col("id").cast("string").alias("code"), F.col("id").alias("concept_id"))
+    codemap = codemap.union(spark.createDataFrame([("S", "hot", -1)], "code_system string, code string, concept_id long"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = lookup_split(rows, codemap, "system", "code", "concept")
+        sizes = sorted(n for n in got.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect() if n)
+        assert got.columns == [*rows.columns, "concept"]
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, lookup(rows, codemap, "system", "code", "concept").select(*got.columns).collect()))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    shuffled = [n for n in sizes if n > 500]
+    assert max(sizes) < 5000  # the hot code alone has ten thousand rows
+    assert len(shuffled) >= 8 and "SortMergeJoin" in plan and "BroadcastHashJoin" in plan
+
+
+def test_table_with_split_codes(spark, sf):
+    from docmart.plans import clinical as C
+    from docmart.plans.pipeline import convert
+
+    job = convert(C.documents(spark, sf), C.CONFIGS, C.ROUTING, C.codemap(spark, sf))
+    plain, split = (Counter(map(tuple, job.table("drug", s).collect())) for s in (False, True))
+    assert plain == split and sum(plain.values()) > 1000
+    job.drop_stage()
