@@ -2,8 +2,8 @@
 
 Calls and results meet in a hash join by conversation and identifier. A call's level is one
 more than the largest level of the calls it depends on, so ``(level, seq, call_id)`` is a
-topological order of a conversation. Levels are found for all conversations at once, a level a
-round; no task holds a conversation, so one of any length is no special case. Arguments are
+topological order of a conversation. Levels are found for all conversations at once; no task holds
+a conversation, and a chain of calls takes a logarithmic number of rounds (``levels``). Arguments are
 checked against the tool's schema (a subset of JSON Schema), and each call becomes one line of
 canonical JSON: sorted keys, no white space, no escapes but the necessary ones.
 
@@ -87,28 +87,61 @@ def first_calls(calls: DataFrame) -> DataFrame:
     return rows.select(*KEY, "c.seq", "c.name", "c.arguments", "c.depends_on", "n_calls")
 
 
+def _replaced(old: DataFrame, new: DataFrame, label: str) -> DataFrame:
+    new = stage(new, label)
+    files = old.inputFiles()
+    if files:
+        delete_path(old.sparkSession, files[0].rsplit("/", 1)[0])
+    return new
+
+
+def jumps(single: DataFrame) -> DataFrame:
+    """``(conv_id, call_id, to, dist)`` for calls with one dependency each (``dep``): the first call
+    behind them that is not of the kind, and how many steps away. Steps double every round, so a chain
+    of n calls takes log n rounds. Calls on a cycle, or behind one, have no row."""
+    now = stage(single.select(*KEY, F.col("dep").alias("to"), F.lit(1).alias("dist"), F.lit(False).alias("done")), "jumps")
+    open_ = now.count()
+    for _ in range(open_.bit_length() + 1):
+        if not open_:
+            break
+        further = now.select("conv_id", F.col("call_id").alias("to"), F.col("to").alias("next"), F.col("dist").alias("more"))
+        moved = now.where("not done").join(further, ["conv_id", "to"], "left").select(
+            *KEY, F.coalesce("next", "to").alias("to"), (F.col("dist") + F.coalesce("more", F.lit(0))).alias("dist"), F.col("next").isNull().alias("done")
+        )
+        now = _replaced(now, now.where("done").unionByName(moved), "jumps")
+        open_ = now.where("not done").count()
+    return now
+
+
 def levels(calls: DataFrame) -> DataFrame:
-    """``(conv_id, call_id, level, missing)``; as many rounds as the longest chain has calls."""
+    """``(conv_id, call_id, level, missing)``. Chains of calls with one dependency each are passed by
+    pointer doubling; what takes a round for each step is only calls that join several others."""
     names = calls.select("conv_id", F.col("call_id").alias("dep"), F.lit(True).alias("known"))
     needs = calls.select(*KEY, F.explode("depends_on").alias("dep")).join(names, ["conv_id", "dep"], "left")
     edges = stage(needs, "edges")
     per_call = edges.groupBy(*KEY).agg(F.count("known").alias("n"), F.array_sort(F.collect_list(F.when(F.col("known").isNull(), F.col("dep")))).alias("missing"))
-    start = calls.select(*KEY).join(per_call, KEY, "left")
-    now = stage(start.select(*KEY, F.when(F.coalesce("n", F.lit(0)) == 0, 0).alias("level"), F.coalesce("missing", F.array().cast("array<string>")).alias("missing")), "levels")
+    every = calls.select(*KEY).join(per_call, KEY, "left")
+    every = stage(every.select(*KEY, F.coalesce("n", F.lit(0).cast("long")).alias("n"), F.coalesce("missing", F.array().cast("array<string>")).alias("missing")), "calls")
     known = edges.where("known").select(*KEY, "dep")
+    jump = jumps(known.join(every.where("n = 1").select(*KEY), KEY))
+
+    # Edges of the calls that join several, each to the end of the chain it leads to.
+    ends = jump.select("conv_id", F.col("call_id").alias("dep"), F.col("to").alias("end"), "dist", "done")
+    joining = known.join(every.where("n > 1").select(*KEY), KEY).join(ends, ["conv_id", "dep"], "left")
+    joining = stage(joining.select(*KEY, F.when(F.col("done").isNull(), F.col("dep")).when(F.col("done"), F.col("end")).alias("dep"), (F.coalesce("dist", F.lit(0)) + 1).alias("step")), "joining")
+    now = stage(every.where("n <> 1").select(*KEY, F.when(F.col("n") == 0, 0).alias("level")), "levels")
     open_ = now.where("level is null").count()
     while open_:
-        ready = known.join(now.select("conv_id", F.col("call_id").alias("dep"), F.col("level").alias("before")), ["conv_id", "dep"])
-        ready = ready.groupBy(*KEY).agg((F.max("before") + 1).alias("next"), F.count(F.when(F.col("before").isNull(), 1)).alias("waits")).where("waits = 0")
-        new = now.join(ready.select(*KEY, "next"), KEY, "left").select(*KEY, F.coalesce("level", "next").alias("level"), "missing")
-        new = stage(new, "levels")
-        left = new.where("level is null").count()
-        delete_path(now.sparkSession, now.inputFiles()[0].rsplit("/", 1)[0])
-        now = new
+        ready = joining.join(now.select("conv_id", F.col("call_id").alias("dep"), F.col("level").alias("before")), ["conv_id", "dep"], "left")
+        ready = ready.groupBy(*KEY).agg(F.max(F.col("before") + F.col("step")).alias("next"), F.count(F.when(F.col("before").isNull(), 1)).alias("waits")).where("waits = 0")
+        now = _replaced(now, now.join(ready.select(*KEY, "next"), KEY, "left").select(*KEY, F.coalesce("level", "next").alias("level")), "levels")
+        left = now.where("level is null").count()
         if left == open_:
             break
         open_ = left
-    return now
+    behind = jump.where("done").join(now.select("conv_id", F.col("call_id").alias("to"), "level"), ["conv_id", "to"])
+    both = now.unionByName(behind.select(*KEY, (F.col("level") + F.col("dist")).alias("level")))
+    return every.join(both, KEY, "left").select(*KEY, "level", "missing")
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docmart.llm.common import stage
+from docmart.operators.running import Total, running
 
 POINTS = 64
 ROUNDS = 6  # the interval of the exponent shrinks to 63 ** -6
@@ -118,8 +119,9 @@ def mix(
     dealt = dealt.withColumn("block", F.pmod(_order(seed, F.col("doc_id")), F.col("blocks")))
     last = _order(seed, F.col("whole"), F.col("source"), F.col("block"))  # the blocks' order in the last, partial pass
     blocks = dealt.groupBy("source", "block", "whole", "rest").agg(F.sum("n_tokens").alias("tokens"))
-    before = F.sum("tokens").over(Window.partitionBy("source").orderBy(last, "block")) - F.col("tokens")
-    blocks = blocks.withColumn("before", before).select(
+    # Sources have any number of blocks, so the running total does not gather them.
+    blocks = running(blocks, ["source"], [last, F.col("block")], {"upto": Total("sum", F.col("tokens"))})
+    blocks = blocks.withColumn("before", F.col("upto") - F.col("tokens")).select(
         F.col("source").alias("s"),
         F.col("block").alias("b"),
         (F.col("before") + F.col("tokens") <= F.col("rest")).alias("inside"),

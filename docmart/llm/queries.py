@@ -29,16 +29,15 @@ TOOLS = {
 @_query
 def op1_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every answer of an assistant becomes a call whose arguments hold its whole text; the user's
-    next message is the result. A call depends on the one half as far into the conversation."""
+    next message is the result. A call depends on the one before it."""
     turns = table(spark, sf_dir, "conversations")
-    order = F.floor(F.col("turn") / 2)
     calls = turns.where("role = 'assistant'").select(
         "conv_id",
         F.col("turn").alias("seq"),
         F.concat(F.lit("c"), F.col("turn").cast("string")).alias("call_id"),
         F.element_at(F.array(*map(F.lit, TOOLS)), (F.pmod("turn", F.lit(3)) + 1).cast("int")).alias("name"),
         F.to_json(F.struct("turn", "text")).alias("arguments"),
-        F.when(order > 0, F.array(F.concat(F.lit("c"), (2 * F.floor(order / 2) + F.col("turn") % 2).cast("string")))).alias("depends_on"),
+        F.when(F.col("turn") > 1, F.array(F.concat(F.lit("c"), (F.col("turn") - 2).cast("string")))).alias("depends_on"),
     )
     results = turns.where("role = 'user'").select("conv_id", F.concat(F.lit("c"), (F.col("turn") - 1).cast("string")).alias("call_id"), F.col("text").alias("content"))
     return chat_tools.link(calls, results.where("call_id <> 'c-1'"), TOOLS).withColumn("errors", F.array_join("errors", "; ")).withColumn("missing", F.array_join("missing", ","))
@@ -47,7 +46,7 @@ def op1_chat_tools(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op1_chat_tools"] = """
 WITH RECURSIVE calls AS (
     SELECT conv_id, turn AS seq, 'c' || turn AS call_id, ['search', 'translate', 'summarise'][turn % 3 + 1] AS name, text,
-           CASE WHEN turn // 2 > 0 THEN 2 * (turn // 2 // 2) + turn % 2 END AS dep
+           CASE WHEN turn > 1 THEN turn - 2 END AS dep
     FROM conversations WHERE role = 'assistant'),
 results AS (SELECT conv_id, 'c' || (turn - 1) AS call_id, text AS content FROM conversations WHERE role = 'user' AND turn > 0),
 known AS (SELECT c.*, EXISTS (SELECT 1 FROM calls d WHERE d.conv_id = c.conv_id AND d.seq = c.dep) AS has FROM calls c),

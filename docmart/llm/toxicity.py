@@ -7,10 +7,11 @@ is no more suspect than a short one; the document is toxic unless every sentence
 the text explains). Weights and the leak are fitted on the documents' labels; afterwards the
 sentences' own ``p`` locate the offence.
 
-The model is fitted on ``MAX_FIT`` labelled documents, chosen by a hash of their id (a documented
-bound, and with it the only one). Features are words and stems (their first four or five
-letters): the ``MAX_WORDS`` whose share of toxic documents exceeds that of harmless ones most. The fit
-runs in one task on the features' numbers. The model's size is bounded by ``MAX_WORDS``.
+Two parameters bound the fit, and nothing else is bounded: ``MAX_FIT``, the labelled documents it
+sees, chosen by a hash of their id; and ``MAX_WORDS``, the features the model has. Features are words
+and stems (their first four or five letters); those whose share of toxic documents exceeds that of
+harmless ones most are taken. The fit runs in one task on the features' numbers. Scores read every
+word of every text.
 
 Cases: a null or empty text has no sentence and scores the leak. A null ``doc_id`` is held
 out. Of several labels of a document the largest counts; null labels are no labels. Without

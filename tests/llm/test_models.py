@@ -301,6 +301,45 @@ def test_tool_calls(spark):
         assert r.json == chat_tools.canonical(json.loads(r.json))
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_levels_of_any_graph(spark, seed):
+    """Chains, joins, cycles and what is behind them, unknown calls; levels by plain recursion."""
+    rng = random.Random(seed)
+    needs = {}
+    for conv in range(6):
+        for i in range(40):
+            if rng.random() < 0.7:
+                deps = [f"k{i - 1}"] if i else []
+            else:
+                deps = [f"k{rng.randrange(45)}" for _ in range(rng.randrange(4))] if conv < 3 else [f"k{rng.randrange(i)}" for _ in range(rng.randrange(4)) if i]
+            needs[conv, f"k{i}"] = set(deps)
+    want = {}
+    while True:
+        new = {}
+        for (conv, call), deps in needs.items():
+            inner = [d for d in deps if (conv, d) in needs]
+            if (conv, call) not in want and all((conv, d) in want for d in inner):
+                new[conv, call] = max((want[conv, d] + 1 for d in inner), default=0)
+        if not new:
+            break
+        want |= new
+    calls = spark.createDataFrame([(c, k, sorted(d)) for (c, k), d in needs.items()], "conv_id long, call_id string, depends_on array<string>")
+    got = {(r["conv_id"], r["call_id"]): r for r in chat_tools.levels(calls).collect()}
+    assert {k: r["level"] for k, r in got.items()} == {k: want.get(k) for k in needs}
+    assert {k: r["missing"] for k, r in got.items()} == {k: sorted(d for d in v if (k[0], d) not in needs) for k, v in needs.items()}
+    assert 20 < len(want) < len(needs)
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    seen = []
+    staged = chat_tools.stage
+    monkeypatch.setattr(chat_tools, "stage", lambda df, label: seen.append(label) or staged(df, label))
+    calls = spark.range(3000).selectExpr("1L AS conv_id", "concat('k', id) AS call_id", "IF(id > 0, array(concat('k', id - 1)), array()) AS depends_on")
+    got = {int(r["call_id"][1:]): r["level"] for r in chat_tools.levels(calls).collect()}
+    assert got == {i: i for i in range(3000)}
+    assert seen.count("jumps") <= 15 and seen.count("levels") == 1
+
+
 def test_no_tool_calls(spark):
     empty = spark.createDataFrame([], CALLS)
     assert chat_tools.link(empty, spark.createDataFrame([], "conv_id long, call_id string, content string"), {}).count() == 0
