@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docmart.llm.common import mix64, rows_of, stage
+from docmart.llm.common import mix64, stage
 from docmart.operators.sift import sift
 
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so that powers have inverses
@@ -135,6 +135,23 @@ def _chunks(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
         yield held
 
 
+def with_places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """``(doc_id, data, place, count)`` of rows ``(doc_id, data, array of (place, count))``, the last two as
+    arrays; a null array is empty. Values are taken one by one and never as a list of all."""
+    for batch in batches:
+        lists = batch.column(2)
+        cuts = lists.offsets.to_numpy().tolist()
+        place, count = (lists.values.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(2))
+        for doc_id, data, a, b in zip(batch.column(0), batch.column(1), cuts[:-1], cuts[1:], strict=True):
+            yield doc_id.as_py(), data.as_py(), place[a:b], count[a:b]
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for doc_id, data in zip(batch.column(0), batch.column(1), strict=True):
+            yield doc_id.as_py(), data.as_py()
+
+
 def _starts(*keys: np.ndarray) -> np.ndarray:
     """Where a new combination of sorted keys begins."""
     new = np.zeros(len(keys[0]), bool)
@@ -248,7 +265,7 @@ def _anchor_messages(docs: DataFrame, tokens: Tokens, length: int, gram: int, wi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         waiting = turn = 0
-        for rows in _chunks(rows_of(batches, "doc_id", "data")):
+        for rows in _chunks(_cells(batches)):
             ids = np.array([r[0] for r in rows], np.int64)
             found = anchors(*tokens([r[1] for r in rows]), length, gram)
             if len(found.doc):
@@ -299,12 +316,11 @@ def _stretch_messages(docs: DataFrame, tokens: Tokens, length: int, within: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         waiting = turn = 0
-        for rows in _chunks(rows_of(batches, "doc_id", "data", "edges")):
+        for rows in _chunks(with_places(batches)):
             ids = np.array([r[0] for r in rows], np.int64)
             values, bounds = tokens([r[1] for r in rows])
             of_row = np.repeat(np.arange(len(rows)), [len(r[2]) for r in rows])
-            first = np.array([e["place"] for r in rows for e in r[2]], np.int64)
-            count = np.array([e["count"] for r in rows for e in r[2]], np.int64)
+            first, count = (np.concatenate([r[i] for r in rows]) for i in (2, 3))
             within_run = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             place = np.repeat(first, count) + within_run
             owner = np.repeat(of_row, count)

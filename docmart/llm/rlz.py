@@ -23,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from xxhash import xxh3_64_intdigest
 
-from docmart.llm.common import flush, merge_runs, rows_of, texts
-from docmart.llm.repeats import find_repeats
+from docmart.llm.common import flush, merge_runs, texts
+from docmart.llm.repeats import find_repeats, with_places
 from docmart.operators.sift import sifted_join
 
 
@@ -36,10 +36,9 @@ def words(docs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return values, bounds
 
 
-def spans_of(found: list[dict], length: int) -> tuple[np.ndarray, np.ndarray]:
+def spans_of(place: np.ndarray, count: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Runs of starts as disjoint spans of tokens."""
-    place = np.array([f["place"] for f in found], np.int64)
-    end = place + np.array([f["count"] for f in found], np.int64) + length - 1
+    end = place + count + length - 1
     order = np.argsort(place, kind="stable")
     return merge_runs(place[order], end[order])
 
@@ -55,11 +54,11 @@ def duplicate_spans(docs: DataFrame, window: int = 50, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         size = 0
-        for doc_id, data, own in rows_of(batches, "doc_id", "data", "found"):
+        for doc_id, data, place, count in with_places(batches):
             parts = data.split()
             n, spans = len(parts), []
-            if own:
-                first, last = (x.tolist() for x in spans_of(own, window))
+            if len(place):
+                first, last = (x.tolist() for x in spans_of(place, count, window))
                 spans = [{"start": a, "end": b} for a, b in zip(first, last, strict=True)]
                 parts = [w for a, b in zip([0, *last], [*first, n], strict=True) for w in parts[a:b]]
             kept = b" ".join(parts)

@@ -28,8 +28,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from docmart.llm.common import flush, mix64, rows_of, texts
-from docmart.llm.repeats import find_repeats
+from docmart.llm.common import flush, mix64, texts
+from docmart.llm.repeats import find_repeats, with_places
 from docmart.llm.rlz import spans_of
 from docmart.operators.sift import sifted_join
 
@@ -53,8 +53,8 @@ def duplicate_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
         size = 0
-        for doc_id, data, own in rows_of(batches, "doc_id", "data", "found"):
-            first, last = (x.tolist() for x in spans_of(own or [], length))
+        for doc_id, data, place, count in with_places(batches):
+            first, last = (x.tolist() for x in spans_of(place, count, length))
             kept = b"".join(data[a:b] for a, b in zip([0, *last], [*first, len(data)], strict=True))
             out.append((doc_id, len(data), [{"start": a, "end": b} for a, b in zip(first, last, strict=True)], kept))
             size += len(kept)
