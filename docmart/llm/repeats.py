@@ -116,7 +116,7 @@ def anchors(values: np.ndarray, bounds: np.ndarray, length: int, gram: int) -> A
 Tokens = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]  # random values and bounds
 
 CHUNK_BYTES = 1 << 18
-BUCKET_BYTES = 1 << 23  # of the stored table
+BUCKET_BYTES = 1 << 21  # of the stored table: what a bucket holds is settled in memory
 MOST_BUCKETS = 1 << 16
 HOLD_ROWS = 1 << 18  # rows that a task settles together
 MULTI, SINGLE, MARK = 0, 1, 2
