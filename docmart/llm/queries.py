@@ -88,7 +88,7 @@ FROM (SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS gro
 @_query
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").where("quality = 1")
-    return lm_score.score(table(spark, sf_dir, "documents"), good)
+    return lm_score.score(table(spark, sf_dir, "documents"), good).select("doc_id", "score", "n_words")
 
 
 def _cut(spans: str) -> Column:

@@ -1,11 +1,10 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
-
-The reference of a document is all documents with smaller ids. It is indexed in blocks: the
-words around every anchor's first occurrence (``repeats.py``). A document is parsed against
-that index anchor by anchor: where the words around an anchor equal an indexed block the
-factor goes on, and it ends where they do not. Only factors of ``window`` words and more count.
-At a factor's ends, where a further window may continue into another block, every single window
-is looked up as well, so the spans are those of all windows, whatever the parse chose.
+"""Substring dedup: windows of words that earlier documents hold.
+
+This is not a relative Lempel-Ziv parse: there are no factors of greatest length and no reference
+positions. All stretches that could repeat are found by anchors and joined by hashes
+(``repeats.py``): where the words around an anchor equal those around an earlier one, all
+windows there are repeated; where they differ, every single window is looked up. The README says
+why. Equality is that of two independent 64-bit hashes.
 
 Words are the runs between 0x20 and 0x09-0x0D, unchanged.
 

@@ -1,18 +1,17 @@
-"""Suffix-array dedup by distributed prefix doubling.
+"""Substring dedup over bytes: strings of ``length`` bytes that start earlier as well.
 
-Suffixes need to be told apart to a depth of ``length`` bytes only, and only equality is asked
-for, so a rank may be any name that equal prefixes share. Ranks of a depth come from pairs of
-ranks of half that depth, at offset zero and at that offset. Within a text they follow from
-rolling fingerprints. Where positions of the whole corpus have to be compared, Spark deals the
-(rank pair, position) rows by rank; each share is sorted, and a position is reranked to the
-first of its class:
+Of distributed prefix doubling only the last steps are left: suffixes have to be told apart to a depth
+of ``length`` bytes, only equality is asked for, and sorting rank pairs of every byte position is beyond
+any budget (the README has the measured figure). So positions are first thinned by anchors
+(``repeats.py``):
 
-* at depth ``gram``, for one position out of every stretch (``repeats.py``): unique ones drop
-  out, and with them all suffixes whose first ``length`` bytes hold them;
-* past ``length``, for the bytes around those positions: classes that agree so far are settled;
-* at ``length``, as pairs of half that depth, for every suffix that is left.
+* at depth ``gram``, one position out of every stretch: unique ones drop out, and with them all
+  suffixes whose first ``length`` bytes hold them;
+* past ``length``, the bytes around those positions: classes that agree so far are settled;
+* at ``length``, for every suffix that is left, a pair of names of half that depth.
 
-A suffix whose rank at ``length`` is not its own position is repeated; the bytes it covers go.
+Names are fingerprints of 64 bits, not dense ranks; buckets of them are dealt by Spark and sorted in
+the tasks. A suffix whose name at ``length`` is there earlier is repeated; the bytes it covers go.
 
 Cases: a null text is empty. Texts shorter than ``length`` lose nothing. Rows without an id lose
 nothing and are no reference. Rows that repeat an id and text are one document: each gives its
