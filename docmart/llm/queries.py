@@ -88,7 +88,24 @@ FROM (SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS gro
 @_query
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = table(spark, sf_dir, "labels").where("quality = 1")
-    return lm_score.score(table(spark, sf_dir, "documents"), good).select("doc_id", "score", "n_words")
+    scored = lm_score.score(table(spark, sf_dir, "documents"), good)
+    return scored.select("doc_id", (F.round("score", 6) + 0.0).alias("score"), "n_words")
+
+
+ORACLES["op4_lm_scoring"] = """
+WITH words AS (SELECT doc_id, w, len(w) AS n, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good FROM (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents)),
+tokens AS (SELECT doc_id, good, CASE WHEN i = 1 THEN ' start' ELSE w[i - 1] END AS a, w[i] AS b FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM words)),
+seconds AS (SELECT b, count(*) AS c0, count(*) FILTER (good) AS c1 FROM tokens GROUP BY b),
+firsts AS (SELECT a, count(*) AS c0, count(*) FILTER (good) AS c1 FROM tokens GROUP BY a),
+pairs AS (SELECT a, b, count(*) AS c0, count(*) FILTER (good) AS c1 FROM tokens GROUP BY a, b),
+sizes AS (SELECT count(*) + 2 AS v, sum(c0) AS n0, sum(c1) AS n1 FROM seconds),
+low AS (SELECT b, (c0 + 1) / (n0 + v) AS p0, (c1 + 1) / (n1 + v) AS p1 FROM seconds, sizes),
+loss AS (SELECT a, b, ln(0.7::DOUBLE * p.c0 / f.c0 + 0.3::DOUBLE * p0) - ln(CASE WHEN f.c1 > 0 THEN 0.7::DOUBLE * p.c1 / f.c1 + 0.3::DOUBLE * p1 ELSE p1 END) AS x
+         FROM pairs p JOIN firsts f USING (a) JOIN low USING (b)),
+means AS (SELECT doc_id, sum(x) / count(*) AS score FROM tokens JOIN loss USING (a, b) GROUP BY doc_id)
+SELECT w.doc_id, round(coalesce(m.score, 0), 6) + 0.0::DOUBLE AS score, w.n AS n_words FROM words w LEFT JOIN means m ON w.doc_id = m.doc_id
+"""
 
 
 def _cut(spans: str) -> Column:

@@ -12,7 +12,7 @@ from docmart.llm import queries as llm
 QUERIES = {name: q for name, q in entry.queries().items() if name in llm.QUERIES or name == "pipeline"}
 SQL = entry.oracle_sql()
 # Tested against brute force instead.
-WITHOUT_SQL = {"op2_simhash", "op4_lm_scoring", "op6_language_id", "op8_mixing", "op10_toxicity", "op11_bpe", "op12_importance", "op13_prefix_trie", "pipeline"}
+WITHOUT_SQL = {"op2_simhash", "op6_language_id", "op8_mixing", "op10_toxicity", "op11_bpe", "op12_importance", "op13_prefix_trie", "pipeline"}
 
 
 def test_registry():
