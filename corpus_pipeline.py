@@ -33,7 +33,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a phrase of ``benchmark`` go."""
-    return docs.where(~fm_index.hit_column(F.col("text"), fm_index.phrase_blocks(table(spark, sf_dir, "benchmark"))))
+    return fm_index.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

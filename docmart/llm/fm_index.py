@@ -8,8 +8,9 @@ occurrences are located by walking back to the next sampled suffix position; the
 of a document are merged.
 
 Phrases are all windows of ``window`` words of the test items; a shorter item is one phrase.
-The test set is dealt into blocks of at most about ``BLOCK_BYTES`` bytes, which bounds what is
-sent to the tasks at a time; every shard is searched for every block.
+The test set is dealt into blocks of about ``BLOCK_BYTES`` bytes. Blocks are taken one after
+the other: the driver holds one, sends it, and lets it go when every shard has been searched for it and
+the hits are written. Most test sets are one block.
 
 Cases: a null or empty text has no words: a document is never hit, an item gives no phrase. An
 item without id marks words but is not listed. Repeated items count once by id. Repeated rows
@@ -18,16 +19,20 @@ give a row each. Empty tables give no rows or no hits.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docmart.llm.common import ALNUM, flush, merge_runs, rows_of, texts
+from docmart.llm.common import ALNUM, flush, merge_runs, rows_of, stage, texts
+from docmart.operators.sift import sifted_join
 
 SHARD_WORDS = 1 << 20
 BLOCK_BYTES = 32 << 20
@@ -165,43 +170,51 @@ def occurrences(docs: list[bytes], phrases: Phrases) -> tuple[np.ndarray, np.nda
     return np.concatenate(owner)[at], np.concatenate(place)[at], np.repeat(hit, count)
 
 
-def shard_rows(ids: list, docs: list[bytes], blocks: list) -> list[tuple]:
-    found = []
-    for block in blocks:
-        d, start, phrase = occurrences(docs, block.value)
-        if len(d):
-            found.append((d, start, start + block.value.lengths[phrase], phrase, block.value.items))
+def shard_rows(ids: list, docs: list[bytes], phrases: Phrases) -> list[tuple]:
+    d, start, phrase = occurrences(docs, phrases)
     spans: dict[int, list] = {}
     items: dict[int, set] = {}
-    if found:
-        d, start, end = (np.concatenate([f[i] for f in found]) for i in range(3))
+    if len(d):
         order = np.lexsort((start, d))
-        d, start, end = d[order], start[order], end[order]
+        d, start, phrase = d[order], start[order], phrase[order]
+        end = start + phrases.lengths[phrase]
         cuts = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1], [True])))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            first, last = merge_runs(start[a:b], end[a:b])
-            spans[int(d[a])] = [{"start": s, "end": e} for s, e in zip(first.tolist(), last.tolist(), strict=True)]
-        for d, _, _, phrase, names in found:
-            for doc, p in np.unique(np.stack((d, phrase), axis=1), axis=0).tolist():
-                items.setdefault(doc, set()).update(names[p])
-    return [(i, len(t.translate(ALNUM).split()), spans.get(n, []), sorted(items.get(n, ()))) for n, (i, t) in enumerate(zip(ids, docs, strict=True))]
+            spans[int(d[a])] = _runs(start[a:b], end[a:b])
+            items[int(d[a])] = {name for p in np.unique(phrase[a:b]).tolist() for name in phrases.items[p]}
+    return [(i, _n_words(t), spans.get(n, []), sorted(items.get(n, ()))) for n, (i, t) in enumerate(zip(ids, docs, strict=True))]
 
 
-def phrase_blocks(benchmark: DataFrame, window: int = 10, item_col: str = "item_id", item_text_col: str = "text") -> list:
-    """The test set's phrases as broadcast variables of bounded size."""
+def _n_words(data: bytes) -> int:
+    return len(data.translate(ALNUM).split())
+
+
+def _runs(start: np.ndarray, end: np.ndarray) -> list[dict]:
+    """Spans, sorted by start, as maximal disjoint ones."""
+    first, last = merge_runs(start, end)
+    return [{"start": s, "end": e} for s, e in zip(first.tolist(), last.tolist(), strict=True)]
+
+
+def phrase_blocks(benchmark: DataFrame, window: int = 10, item_col: str = "item_id", item_text_col: str = "text") -> tuple[int, Iterator[Broadcast]]:
+    """The number of blocks of the test set, and the blocks as broadcast variables of bounded size.
+    Each is made when it is asked for and released when the next one is."""
     tests = texts(benchmark, item_col, item_text_col)
     size = tests.agg(F.sum(F.length("data"))).first()[0] or 0
     n_blocks = size // BLOCK_BYTES + 1
-    blocks = []
-    for b in range(n_blocks):
-        own = tests.where(F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)) == b).collect()
-        blocks.append(benchmark.sparkSession.sparkContext.broadcast(Phrases.of([(r.doc_id, bytes(r.data)) for r in own], window)))
-    return blocks
+
+    def make() -> Iterator[Broadcast]:
+        for b in range(n_blocks):
+            # By text as well: items without an id are spread like others.
+            own = tests.where(F.pmod(F.xxhash64("doc_id", "data"), F.lit(n_blocks)) == b).collect()
+            sent = benchmark.sparkSession.sparkContext.broadcast(Phrases.of([(r.doc_id, bytes(r.data)) for r in own], window))
+            yield sent
+            sent.unpersist()
+
+    return n_blocks, make()
 
 
-def hit_column(text: Column, blocks: list) -> Column:
-    """Whether each row's text has a phrase, for filters that need no identifier. An Arrow batch is
-    cut into shards by size."""
+def hit_column(text: Column, block: Broadcast) -> Column:
+    """Whether each row's text has a phrase of the block. An Arrow batch is cut into shards by size."""
 
     @F.pandas_udf("boolean")
     def run(batch: pd.Series) -> pd.Series:
@@ -212,32 +225,75 @@ def hit_column(text: Column, blocks: list) -> Column:
             shard.append(text.encode("utf-8", "replace"))
             size += len(shard[-1])
             if size >= SHARD_WORDS * 6:
-                hit += [bool(spans) for _, _, spans, _ in shard_rows(shard, shard, blocks)]
+                hit += [bool(spans) for _, _, spans, _ in shard_rows(shard, shard, block.value)]
                 shard, size = [], 0
-        hit += [bool(spans) for _, _, spans, _ in shard_rows(shard, shard, blocks)]
+        hit += [bool(spans) for _, _, spans, _ in shard_rows(shard, shard, block.value)]
         return pd.Series(hit, dtype=bool)
 
     return run(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_words, spans, items)``: disjoint half-open spans of words to remove, and the
-    ids of the items that have a phrase there."""
-    blocks = phrase_blocks(benchmark, window, item_col, item_text_col)
-    span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", span), ("items", pa.list_(pa.int64()))])
+def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without a phrase of the test set. Between two blocks what is left is written."""
+    n_blocks, blocks = phrase_blocks(benchmark, window, item_col, item_text_col)
+    for number in range(1, n_blocks + 1):
+        docs = docs.where(~hit_column(F.col(text_col), next(blocks)))
+        if number < n_blocks:
+            docs = stage(docs, f"clean-{number}")
+    return docs
+
+
+_SPANS = "array<struct<start:long,end:long>>"
+_SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _search(rows: DataFrame, block: Broadcast) -> DataFrame:
+    """``(key, n_words, spans, items)`` of rows ``(key, data)``."""
+    kind = rows.schema["key"].dataType
+    schema = pa.schema([("key", pa.int64() if kind == T.LongType() else pa.string()), ("n_words", pa.int64()), ("spans", _SPAN), ("items", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids: list = []
+        keys: list = []
         held: list[bytes] = []
         size = 0
-        for doc_id, data in rows_of(batches, "doc_id", "data"):
-            ids.append(doc_id)
+        for key, data in rows_of(batches, "key", "data"):
+            keys.append(key)
             held.append(data)
             size += len(data)
             if size >= SHARD_WORDS * 6:
-                yield flush(schema, shard_rows(ids, held, blocks))
-                ids, held, size = [], [], 0
-        yield flush(schema, shard_rows(ids, held, blocks))
+                yield flush(schema, shard_rows(keys, held, block.value))
+                keys, held, size = [], [], 0
+        yield flush(schema, shard_rows(keys, held, block.value))
+
+    return rows.mapInArrow(run, f"key {kind.simpleString()}, n_words long, spans {_SPANS}, items array<long>")
+
+
+def _united(rows: DataFrame) -> DataFrame:
+    """``(doc_id, n_words, spans, items)`` of rows ``(doc_id, data, spans, items)`` whose spans and
+    items are those of several blocks, or null."""
+    schema = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", _SPAN), ("items", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for doc_id, data, spans, items in rows_of([batch], "doc_id", "data", "spans", "items"):
+                both = np.array(sorted((s["start"], s["end"]) for s in spans or ()), np.int64).reshape(-1, 2)
+                out.append((doc_id, _n_words(data), _runs(both[:, 0], both[:, 1]), sorted(set(items or ()))))
+            yield flush(schema, out)
 
-    return texts(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_words long, spans array<struct<start:long,end:long>>, items array<long>")
+    return rows.mapInArrow(run, f"doc_id long, n_words long, spans {_SPANS}, items array<long>")
+
+
+def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``(doc_id, n_words, spans, items)``: disjoint half-open spans of words to remove, and the
+    ids of the items that have a phrase there."""
+    rows = texts(docs, id_col, text_col)
+    n_blocks, blocks = phrase_blocks(benchmark, window, item_col, item_text_col)
+    if n_blocks == 1:
+        return _search(rows.withColumnRenamed("doc_id", "key"), next(blocks)).withColumnRenamed("key", "doc_id")
+    # Hits of a block are few; rows of one id and text have the same ones.
+    named = rows.withColumn("key", F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"), F.lit(b":"), "data"), 256))
+    hits = [stage(_search(named.select("key", "data"), b).where("size(spans) > 0").distinct(), "hits") for b in blocks]
+    every = functools.reduce(DataFrame.unionByName, hits)
+    found = every.groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    return _united(sifted_join(named, stage(found, "united"), "key").select("doc_id", "data", "spans", "items"))

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -58,6 +59,21 @@ def test_occurrences(spark, docs, corpus, monkeypatch, window, block):
     assert Counter((r[0], r[1], tuple(map(tuple, r[2])), tuple(r[3])) for r in found) == want
 
 
+@pytest.mark.parametrize("block", [32 << 20, 60])
+def test_clean(spark, docs, corpus, none, monkeypatch, block):
+    monkeypatch.setattr(fm_index, "BLOCK_BYTES", block)
+    long = corpus[85][1].split(" ")
+    items = [(7, " ".join(long[100:125])), (8, "éa"), (None, corpus[5][1]), (None, corpus[6][1]), (10, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = Counter((i, t) for i, t, *_ in corpus if not brute_hits(t, items, 10)[1])
+    left = fm_index.clean(docs, bench)
+    assert left.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in left.collect()) == want
+    assert len(want) < len(corpus) - 4
+    assert fm_index.clean(none, bench).count() == 0
+    assert fm_index.clean(docs, bench.limit(0)).count() == len(corpus)
+
+
 def test_no_documents_or_no_items(spark, docs, none):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert fm_index.find(none, bench).count() == 0
@@ -246,6 +262,50 @@ def test_toxicity_held_out_and_located(spark):
     assert all(0 <= r.score <= 1 for r in found.values())
 
 
+def test_noisy_or_against_brute_force(spark):
+    docs, labels, rows = toxic_set(spark, 200)
+    model = toxicity.train(docs, labels)
+    assert model.weights and 0 < model.leak < 1
+    found = {r.doc_id: r for r in toxicity.score(docs, model, threshold=0.0).collect()}
+    for i, text, *_ in rows:
+        calm, own = 1 - model.leak, []
+        for k, part in enumerate(s for s in re.split(r"[.!?\n]", text) if s.strip()):
+            words = set(re.findall(r"[a-z]+", part.lower()))
+            hits = [model.weights[w] for w in words | {w[:4] + "-" for w in words} | {w[:5] + "-" for w in words} if w in model.weights]
+            if hits:
+                own.append((k, 1 / (1 + math.exp(-(toxicity.BIAS + sum(hits))))))
+                calm *= 1 - own[-1][1]
+        assert math.isclose(found[i].score, 1 - calm, abs_tol=1e-9)
+        assert [k for k, _ in own] == [s.sentence for s in found[i].offending]
+        assert np.allclose([p for _, p in own], [s.score for s in found[i].offending], atol=1e-9)
+
+
+def test_fit_raises_the_likelihood_of_the_labels():
+    rng = np.random.default_rng(4)
+    bags = [[rng.choice(6, rng.integers(1, 4), replace=False).tolist() for _ in range(rng.integers(0, 5))] for _ in range(150)]
+    # Some labels are wrong, so that the likelihood has a maximum.
+    label = [int(any(0 in s or {1, 2} <= set(s) for s in b)) ^ int(rng.random() < 0.1) for b in bags]
+
+    def likelihood(theta):
+        total = 0.0
+        for b, y in zip(bags, label, strict=True):
+            calm = 1 - 1 / (1 + math.exp(-theta[-1]))
+            for s in b:
+                calm *= 1 - 1 / (1 + math.exp(-(toxicity.BIAS + sum(theta[w] for w in s))))
+            total += math.log(max(1e-12, 1 - calm if y else calm))
+        return total
+
+    start = np.full(6, 3.0)
+    theta = toxicity.fit(pd.DataFrame({"toxic": label, "words": bags}), start)
+    best = likelihood(theta)
+    assert best > likelihood(np.append(start, -3.0)) + 20
+    for k in range(7):
+        for step in (-1.0, 1.0):
+            near = theta.copy()
+            near[k] += step
+            assert likelihood(near) < best + 0.5
+
+
 def test_toxicity_without_labels(spark, docs, none):
     labels = spark.createDataFrame([(1, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     assert toxicity.train(docs, labels) is None
