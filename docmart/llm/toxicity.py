@@ -7,11 +7,10 @@ is no more suspect than a short one; the document is toxic unless every sentence
 the text explains). Weights and the leak are fitted on the documents' labels; afterwards the
 sentences' own ``p`` locate the offence.
 
-Two parameters bound the fit, and nothing else is bounded: ``MAX_FIT``, the labelled documents it
-sees, chosen by a hash of their id; and ``MAX_WORDS``, the features the model has. Features are words
-and stems (their first four or five letters); those whose share of toxic documents exceeds that of
-harmless ones most are taken. The fit runs in one task on the features' numbers. Scores read every
-word of every text.
+One parameter bounds the fit, and nothing else is bounded: ``MAX_FIT``, the labelled documents it
+sees, chosen by a hash of their id. Features are words and stems (their first four or five
+letters); all whose share of toxic documents exceeds that of harmless ones clearly are taken. The fit
+runs in one task on the features' numbers. Scores read every word of every text.
 
 Cases: a null or empty text has no sentence and scores the leak. A null ``doc_id`` is held
 out. Of several labels of a document the largest counts; null labels are no labels. Without
@@ -34,7 +33,6 @@ from pyspark.sql import functions as F
 
 from docmart.llm.common import flush, held_out, rows_of, stage, texts
 
-MAX_WORDS = 2048
 MAX_FIT = 20_000
 MIN_DOCS = 3  # a feature occurs in so many labelled documents at least
 MIN_ERRORS = 3.0  # standard errors between its shares of toxic and of harmless documents
@@ -77,11 +75,11 @@ def word_counts(labelled: DataFrame) -> DataFrame:
 
 
 def features(counts: DataFrame, n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Log-odds of the features that speak for toxicity most, in standard errors."""
+    """Log-odds of the features that speak for toxicity by ``MIN_ERRORS`` standard errors or more."""
     a, b = (F.col("toxic") + 0.5) / (n_toxic + 1), (F.col("clean") + 0.5) / (n_clean + 1)
     error = F.sqrt(a * (1 - a) / (n_toxic + 1) + b * (1 - b) / (n_clean + 1))
     ranked = counts.where(F.col("toxic") + F.col("clean") >= MIN_DOCS).select("word", F.log(a / b).alias("odds"), ((a - b) / error).alias("z")).where(F.col("z") >= MIN_ERRORS)
-    return {r.word: r.odds for r in ranked.orderBy(F.desc("z"), "word").limit(MAX_WORDS).collect()}
+    return {r.word: r.odds for r in ranked.orderBy(F.desc("z"), "word").collect()}
 
 
 def bag_rows(labelled: DataFrame, index: dict[str, int]) -> DataFrame:
