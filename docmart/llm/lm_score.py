@@ -36,8 +36,7 @@ from docmart.llm.repeats import _pack, _unpack
 MIX = 0.7
 UNKNOWN, START = b" unknown", b" start"  # no word has a space
 BLOCK = 1 << 21
-BUCKET = 1 << 22  # bytes of text for each bucket
-LEAST_BITS = 8
+BUCKET = 1 << 21  # bytes of text for each bucket
 PACKED = "block long, n_bytes long, ids array<long>, sizes array<long>, targets array<boolean>, data binary"
 SUMS = ("everywhere", "target", "last_everywhere", "last_target")
 SENT = "bucket long, block long, keys binary, everywhere binary, target binary, last_everywhere binary, last_target binary"
@@ -215,7 +214,7 @@ def score(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_col:
         keep = docs.sparkSession.sparkContext.broadcast(frozenset(bytes(r["word"]) for r in top))
     blocks = _stage_alone(packed(rows), "lm")
     n_bytes = blocks.agg(F.sum("n_bytes")).first()[0] or 0
-    bits = max(LEAST_BITS, (n_bytes // BUCKET).bit_length())
+    bits = max(1, (n_bytes // BUCKET).bit_length())
     summed = _stage_alone(_summed(_sent(blocks, keep, bits)), "lm-sums")
     n_words, *n = (x or 0 for x in summed.agg(F.sum("n_words"), F.sum("n_everywhere"), F.sum("n_target")).first())
     size = vocabulary if vocabulary is not None else n_words + 2
