@@ -170,18 +170,25 @@ def occurrences(docs: list[bytes], phrases: Phrases) -> tuple[np.ndarray, np.nda
     return np.concatenate(owner)[at], np.concatenate(place)[at], np.repeat(hit, count)
 
 
-def shard_rows(ids: list, docs: list[bytes], phrases: Phrases) -> list[tuple]:
-    d, start, phrase = occurrences(docs, phrases)
+def shard_rows(ids: list, docs: list[bytes], blocks: list) -> list[tuple]:
+    """What a shard has of the phrases of some blocks, whose ``value`` they are."""
+    found = []
+    for block in blocks:
+        d, start, phrase = occurrences(docs, block.value)
+        if len(d):
+            found.append((d, start, start + block.value.lengths[phrase], phrase, block.value.items))
     spans: dict[int, list] = {}
     items: dict[int, set] = {}
-    if len(d):
+    if found:
+        d, start, end = (np.concatenate([f[i] for f in found]) for i in range(3))
         order = np.lexsort((start, d))
-        d, start, phrase = d[order], start[order], phrase[order]
-        end = start + phrases.lengths[phrase]
+        d, start, end = d[order], start[order], end[order]
         cuts = np.flatnonzero(np.concatenate(([True], d[1:] != d[:-1], [True])))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             spans[int(d[a])] = _runs(start[a:b], end[a:b])
-            items[int(d[a])] = {name for p in np.unique(phrase[a:b]).tolist() for name in phrases.items[p]}
+        for d, _, _, phrase, names in found:
+            for doc, p in np.unique(np.stack((d, phrase), axis=1), axis=0).tolist():
+                items.setdefault(doc, set()).update(names[p])
     return [(i, _n_words(t), spans.get(n, []), sorted(items.get(n, ()))) for n, (i, t) in enumerate(zip(ids, docs, strict=True))]
 
 
@@ -225,9 +232,9 @@ def hit_column(text: Column, block: Broadcast) -> Column:
             shard.append(text.encode("utf-8", "replace"))
             size += len(shard[-1])
             if size >= SHARD_WORDS * 6:
-                hit += [bool(spans) for _, _, spans, _ in shard_rows(shard, shard, block.value)]
+                hit += [bool(spans) for _, _, spans, _ in shard_rows(shard, shard, [block])]
                 shard, size = [], 0
-        hit += [bool(spans) for _, _, spans, _ in shard_rows(shard, shard, block.value)]
+        hit += [bool(spans) for _, _, spans, _ in shard_rows(shard, shard, [block])]
         return pd.Series(hit, dtype=bool)
 
     return run(F.coalesce(text.cast("string"), F.lit("")))
@@ -261,9 +268,9 @@ def _search(rows: DataFrame, block: Broadcast) -> DataFrame:
             held.append(data)
             size += len(data)
             if size >= SHARD_WORDS * 6:
-                yield flush(schema, shard_rows(keys, held, block.value))
+                yield flush(schema, shard_rows(keys, held, [block]))
                 keys, held, size = [], [], 0
-        yield flush(schema, shard_rows(keys, held, block.value))
+        yield flush(schema, shard_rows(keys, held, [block]))
 
     return rows.mapInArrow(run, f"key {kind.simpleString()}, n_words long, spans {_SPANS}, items array<long>")
 
