@@ -31,9 +31,10 @@ def vectorised(return_type: str) -> Callable[[Callable[[pd.Series], pd.Series]],
 def isolated(return_type: str) -> Callable[[Callable[[pd.Series], pd.Series]], Callable[..., Column]]:
     """Decorator: a ``Series -> Series`` function as a Column function that gives ``struct<value, error>``.
 
-    A batch runs at once. Only if it raises is it run value by value, so that a value which cannot be
-    computed is null, with the exception's text, and no other is touched. A result that does not
-    fit ``return_type``, or of another length, counts as raised.
+    A batch runs at once. Only if it raises is it halved, and each half that raises halved again, down
+    to single values, so that a value which cannot be computed is null, with the exception's text
+    from its own call, and no other is touched. A result that does not fit ``return_type``, or of
+    another length, counts as raised.
     """
 
     def wrap(fn: Callable[[pd.Series], pd.Series]) -> Callable[..., Column]:
@@ -47,17 +48,21 @@ def isolated(return_type: str) -> Callable[[Callable[[pd.Series], pd.Series]], C
             known = to_arrow_type(T.StructType.fromDDL(f"value {return_type}")[0].dataType)
 
             def series_to_frame(values: pd.Series) -> pd.DataFrame:
-                try:
-                    return pd.DataFrame({"value": pd.Series(checked(values, known), dtype=object), "error": None})
-                except Exception:  # noqa: BLE001 - some value of the batch: found out one by one
-                    pass
-                out: list[tuple] = []
-                for i in range(len(values)):
+                value: list = [None] * len(values)
+                error: list = [None] * len(values)
+                todo = [(0, len(values))] if len(values) else []
+                while todo:
+                    lo, hi = todo.pop()
                     try:
-                        out.append((checked(values.iloc[i : i + 1], known)[0], None))
-                    except Exception as e:  # noqa: BLE001 - one value's error is its own
-                        out.append((None, f"{type(e).__name__}: {e}"))
-                return pd.DataFrame({"value": pd.Series([v for v, _ in out], dtype=object), "error": [e for _, e in out]})
+                        value[lo:hi] = checked(values.iloc[lo:hi], known)
+                        continue
+                    except Exception as e:  # noqa: BLE001 - some value of the part: found out by halves
+                        if hi - lo == 1:
+                            error[lo] = f"{type(e).__name__}: {e}"
+                            continue
+                    mid = (lo + hi) // 2
+                    todo += [(mid, hi), (lo, mid)]
+                return pd.DataFrame({"value": pd.Series(value, dtype=object), "error": pd.Series(error, dtype=object)})
 
             return F.pandas_udf(series_to_frame, f"value {return_type}, error string")(c)
 

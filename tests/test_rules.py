@@ -120,6 +120,23 @@ def test_isolated_values(spark):
     assert spark.range(0).select(shaky(F.col("id")).alias("r")).count() == 0
 
 
+def test_isolated_halves_a_batch_that_raises(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @isolated("long")
+    def reciprocal(values):
+        calls.add(1)
+        if (values % 1000 == 7).any():
+            raise ZeroDivisionError(f"key {values[values % 1000 == 7].iloc[0]}")
+        return values * 2
+
+    got = spark.range(4000).coalesce(1).select("id", reciprocal(F.col("id")).alias("r")).select("id", "r.*").collect()
+    assert {r["id"]: r["value"] for r in got} == {i: None if i % 1000 == 7 else 2 * i for i in range(4000)}
+    assert {r["id"]: r["error"] for r in got if r["error"]} == {i: f"ZeroDivisionError: key {i}" for i in (7, 1007, 2007, 3007)}
+    # Four raising values among 4000: tens of calls, not one per value.
+    assert calls.value < 200
+
+
 def test_causes(spark):
     texts = ["<a>", "<a", "", None, "<a/><b/>", "<a>&x;</a>", "<a>\n<b></a>", "x", "<a/>"]
     rows = [(f"{i}", f"{i}", "m", t) for i, t in enumerate(texts)]
