@@ -633,7 +633,8 @@ def _published(spark: SparkSession, sf: str) -> str:
     """Two versions: tables, then one of them replaced; a third publication fails on its way."""
     base = scratch_path(spark, "published")
     publish.publish({"measurement": _converted(spark, sf, "measurement", [C.VITALS]), "drug": _converted(spark, sf, "drug")}, base, "first")
-    whole = _converted(spark, sf, "measurement")
+    # Parsed once and stored: a frame used four times would parse every document four times.
+    whole = _converted(spark, sf, "measurement").checkpoint()
     publish.publish({"measurement": whole}, base, "second")
     broken = whole.where(F.when(F.col("visit_id") % 1000 == 500, F.raise_error(F.lit("no more"))).otherwise(F.lit(True)))
     try:
@@ -659,7 +660,8 @@ def publish_history(spark: SparkSession, sf: str) -> DataFrame:
 def _compacted(spark: SparkSession, sf: str) -> str:
     """A table published, two small pieces appended and compacted, two more appended and compacted."""
     base = scratch_path(spark, "parts")
-    whole = _converted(spark, sf, "measurement")
+    # Parsed once and stored: the whole and each piece would parse every document again.
+    whole = _converted(spark, sf, "measurement").checkpoint()
     publish.publish({"measurement": whole.where("visit_id % 1000 > 3")}, base, "whole")
     for piece in range(4):
         publish.append({"measurement": whole.where(F.col("visit_id") % 1000 == piece)}, base, f"piece {piece}")

@@ -65,3 +65,26 @@ FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "
 def test_plan(spark, sf, name):
     plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert not [node for node in FORBIDDEN if node in plan]
+
+
+@pytest.mark.parametrize("name", ["compact_parts", "publish_table"])
+def test_documents_parsed_once(spark, sf, monkeypatch, name):
+    from pyspark.sql import functions as F
+
+    from docmart.plans import clinical as C
+    from docmart.plans import queries as Q
+
+    read = spark.sparkContext.accumulator(0)
+    made = C.documents
+
+    @F.udf("boolean")
+    def counted(name):
+        read.add(1)
+        return True
+
+    monkeypatch.setattr(Q.C, "documents", lambda s, d: made(s, d).where(counted("file_name")))
+    n = made(spark, sf).count()
+    QUERIES[name](spark, sf).count()
+    # compact_parts: one whole table and four pieces; publish_table: two tables of the first version and
+    # the whole. Each is read once, not once for every frame made of it.
+    assert read.value <= 3 * n, (read.value, n)
