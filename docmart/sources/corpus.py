@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -18,20 +19,27 @@ LISTING = "file_name string, length long, hidden boolean"
 def scan_directory(spark: SparkSession, path: str, require: bool = False) -> DataFrame:
     """One document per ``*.xml`` file of a folder: not recursive, suffix case-sensitive.
 
-    Small files are packed into splits by the file source, so there is no task per document.
-    Files that source passes over in silence come back without content, so that they end up
+    The folder is listed by a task (:func:`list_documents`), the names are dealt to tasks by
+    :func:`spread`, and each task reads its files: neither the names nor the contents pass
+    through the driver, and a task holds a bounded share of the contents at a time. Files that
+    the file source would pass over in silence come back without content, so that they end up
     in the quarantine: empty ones as ``''``, names with a leading dot or underscore as null.
+    Bytes become text as the text source makes them. On file systems that only Hadoop knows,
+    the text source reads the folder.
     ``require`` raises where the folder holds no document.
 
     A corpus of very many documents belongs into :func:`scan_packed`, or into files of many
     documents (:func:`docmart.operators.parse.read_documents`).
     """
-    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.xml", recursiveFileLookup=False)
-    # The metadata column holds the name as in a URI, where '+' stands for itself.
-    name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
-    corpus = files.select(name.alias("file_name"), F.col("value").alias("xml"))
-    passed_over = list_documents(spark, path).where("hidden OR length = 0")
-    corpus = corpus.union(passed_over.select("file_name", F.when(~F.col("hidden"), F.lit("")).alias("xml")))
+    if _listed_in_tasks(path):
+        corpus = _read_listed(spread(list_documents(spark, path), "file_name"), path)
+    else:
+        files = spark.read.text(path, wholetext=True, pathGlobFilter="*.xml", recursiveFileLookup=False)
+        # The metadata column holds the name as in a URI, where '+' stands for itself.
+        name = F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B")))
+        corpus = files.select(name.alias("file_name"), F.col("value").alias("xml"))
+        passed_over = list_documents(spark, path).where("hidden OR length = 0")
+        corpus = corpus.union(passed_over.select("file_name", F.when(~F.col("hidden"), F.lit("")).alias("xml")))
     if require and list_documents(spark, path).isEmpty():
         raise ValueError(f"no *.xml documents in {path}")
     return corpus
@@ -44,9 +52,7 @@ def list_documents(spark: SparkSession, path: str) -> DataFrame:
     lists the folder through Arrow's file systems and sends rows, so the driver holds none of it.
     File systems that only Hadoop knows are listed by the driver.
     """
-    try:
-        open_folder(path)
-    except (pa.ArrowException, ValueError, NotImplementedError):
+    if not _listed_in_tasks(path):
         return spark.createDataFrame(_listed_by_driver(spark, path), LISTING)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,6 +66,42 @@ def list_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([(path,)], "folder string").mapInArrow(run, LISTING)
 
 
+def _listed_in_tasks(path: str) -> bool:
+    try:
+        open_folder(path)
+    except (pa.ArrowException, ValueError, NotImplementedError):
+        return False
+    return True
+
+
+def _read_listed(listing: DataFrame, path: str, chunk_bytes: int = 64 << 20) -> DataFrame:
+    """``file_name, xml`` of listed files, read by the tasks that hold their rows; hidden ones
+    without content. A task sends what it has read in chunks of about ``chunk_bytes``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = open_folder(path)
+        names: list[str] = []
+        contents: list[bytes | None] = []
+        held = 0
+        for batch in batches:
+            for name, hidden in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                data = None
+                if not hidden:
+                    with fs.open_input_stream(posixpath.join(folder, name)) as f:
+                        data = f.read()
+                names.append(name)
+                contents.append(data)
+                held += len(data or b"")
+                if held >= chunk_bytes:
+                    yield pa.record_batch([pa.array(names, pa.string()), pa.array(contents, pa.binary())], names=["file_name", "content"])
+                    names, contents, held = [], [], 0
+        if names:
+            yield pa.record_batch([pa.array(names, pa.string()), pa.array(contents, pa.binary())], names=["file_name", "content"])
+
+    read = listing.select("file_name", "hidden").mapInArrow(run, "file_name string, content binary")
+    return read.select("file_name", F.col("content").cast("string").alias("xml"))
+
+
 def _listing(files: Iterable[tuple[str, int]]) -> pa.RecordBatch:
     rows = [(name, size, name.startswith((".", "_"))) for name, size in files]
     columns = list(zip(*rows, strict=True)) or [(), (), ()]

@@ -42,6 +42,23 @@ def test_directory_scan(spark, tmp_path):
     }
 
 
+def test_directory_scan_lists_and_reads_in_tasks(spark, tmp_path):
+    """The driver indexes none of the folder's files; tasks read them, every one once."""
+    for k in range(40):
+        (tmp_path / f"d{k}.xml").write_bytes(f"<D>{k}</D>".encode() if k % 7 else b"")
+    (tmp_path / "_skip.xml").write_text("<D/>")
+    (tmp_path / "bad.xml").write_bytes(b"<D>\xff</D>")
+    scan = corpus.scan_directory(spark, str(tmp_path))
+    assert scan.inputFiles() == []
+    rows = scan.collect()
+    assert len(rows) == 42
+    found = {r["file_name"]: r["xml"] for r in rows}
+    assert found == {f"d{k}.xml": f"<D>{k}</D>" if k % 7 else "" for k in range(40)} | {
+        "_skip.xml": None,
+        "bad.xml": spark.createDataFrame([(bytearray(b"<D>\xff</D>"),)], "b binary").selectExpr("cast(b as string)").first()[0],
+    }
+
+
 def test_no_documents(spark, tmp_path):
     (tmp_path / "notes.txt").write_text("x")
     assert corpus.scan_directory(spark, str(tmp_path)).count() == 0
