@@ -384,6 +384,9 @@ def python_rule(file_name: str, xml: str) -> dict[str, list[dict]]:
 @isolated("long")
 def odd_reciprocal(keys: pd.Series) -> pd.Series:
     """A thousand by the last digit of a key; raises where that is zero."""
-    if (keys % 10 == 0).any():
-        raise ZeroDivisionError(f"key {keys[keys % 10 == 0].iloc[0]}")
-    return 1000 // (keys % 10)
+    plain = keys.to_numpy()  # a call may hold a single key, for which pandas takes long
+    last = plain % 10
+    zero = last == 0
+    if zero.any():
+        raise ZeroDivisionError(f"key {plain[zero.argmax()]}")
+    return pd.Series(1000 // last)

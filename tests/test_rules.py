@@ -137,6 +137,48 @@ def test_isolated_halves_a_batch_that_raises(spark):
     assert calls.value < 200
 
 
+def test_isolated_where_many_values_raise(spark):
+    """One value in ten raises, at odd places: few calls besides those of the raising values."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @isolated("long")
+    def shaky(values):
+        calls.add(1)
+        bad = values[values * 7919 % 1009 < 101]
+        if len(bad):
+            raise ValueError(f"key {bad.iloc[0]}")
+        return values * 2
+
+    got = spark.range(4000).coalesce(1).select("id", shaky(F.col("id")).alias("r")).select("id", "r.*").collect()
+    raising = {i for i in range(4000) if i * 7919 % 1009 < 101}
+    assert {r["id"]: r["value"] for r in got} == {i: None if i in raising else 2 * i for i in range(4000)}
+    assert {r["id"]: r["error"] for r in got if r["error"]} == {i: f"ValueError: key {i}" for i in raising}
+    # Halves of halves took 0.7 calls a value.
+    assert len(raising) <= calls.value < 0.6 * 4000
+
+
+def test_isolated_where_only_the_size_raises(spark):
+    @isolated("double")
+    def short(values):
+        if len(values) > 5:
+            raise ValueError("too long")
+        return values / 2
+
+    got = spark.range(100).coalesce(1).select("id", short(F.when(F.col("id") % 9 > 0, F.col("id"))).alias("r")).select("id", "r.*").collect()
+    assert {r["id"]: (r["value"], r["error"]) for r in got} == {i: (i / 2 if i % 9 else None, None) for i in range(100)}
+
+
+def test_odd_reciprocal(spark):
+    from docmart.plans.clinical import odd_reciprocal
+
+    frame = spark.createDataFrame([(k,) for k in (20, 7, -3, 0, 11, 1_200_000, -10)], "k long").coalesce(1)
+    got = {r["k"]: (r["value"], r["error"]) for r in frame.select("k", odd_reciprocal(F.col("k")).alias("r")).select("k", "r.*").collect()}
+    raised = {k: (None, f"ZeroDivisionError: key {k}") for k in (20, 0, 1_200_000, -10)}
+    assert got == raised | {7: (142, None), -3: (1000 // 7, None), 11: (1000, None)}
+    nulls = spark.createDataFrame([(k,) for k in (7, None, 11)], "k long").coalesce(1).select("k", odd_reciprocal(F.col("k")).alias("r")).select("k", "r.*")
+    assert {tuple(r) for r in nulls.collect()} == {(7, 142, None), (None, None, None), (11, 1000, None)}
+
+
 def test_causes(spark):
     texts = ["<a>", "<a", "", None, "<a/><b/>", "<a>&x;</a>", "<a>\n<b></a>", "x", "<a/>"]
     rows = [(f"{i}", f"{i}", "m", t) for i, t in enumerate(texts)]
