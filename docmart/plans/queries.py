@@ -706,9 +706,9 @@ def csv_files(spark: SparkSession, sf: str) -> DataFrame:
     """The CSV files of all documents as files of their own, written by the tasks and read back."""
     parsed = parse_documents(C.documents(spark, sf), [C.RESULTS])
     path = scratch_path(spark, "csv-files")
-    write_files(writers.document_csv(parsed, C.RESULTS, unique_codemap(C.codemap(spark, sf))), path, content="csv")
-    files = spark.read.format("binaryFile").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("content").cast("string").alias("csv"))
+    packed = writers.document_csv(parsed, C.RESULTS, unique_codemap(C.codemap(spark, sf)))
+    write_files(packed, path, content="csv", folders=256)
+    return sources.scan_files(spark, path).select("file_name", F.col("content").cast("string").alias("csv"))
 
 
 @_query

@@ -10,7 +10,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docmart.sources.files import open_folder
+from docmart.sources.files import folders_of, open_folder, visible, within
 
 CORPUS_SCHEMA = "file_name string, xml string"
 LISTING = "file_name string, length long, hidden boolean"
@@ -32,7 +32,8 @@ def scan_directory(spark: SparkSession, path: str, require: bool = False) -> Dat
     documents (:func:`docmart.operators.parse.read_documents`).
     """
     if _listed_in_tasks(path):
-        corpus = _read_listed(spread(list_documents(spark, path), "file_name"), path)
+        read = _read_listed(spread(list_documents(spark, path), "file_name"), path)
+        corpus = read.select("file_name", F.col("content").cast("string").alias("xml"))
     else:
         files = spark.read.text(path, wholetext=True, pathGlobFilter="*.xml", recursiveFileLookup=False)
         # The metadata column holds the name as in a URI, where '+' stands for itself.
@@ -66,6 +67,25 @@ def list_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([(path,)], "folder string").mapInArrow(run, LISTING)
 
 
+def scan_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file_name, content`` of the files that :func:`docmart.sources.files.write_files` left, empty ones too.
+
+    Tasks list the folders, a folder at a time, the names are dealt to tasks by :func:`spread`, and
+    each task reads its files: the driver reads the marker only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = open_folder(path.rstrip("/"))
+        for batch in batches:
+            for own in batch.column(0).to_pylist():
+                names = visible(fs, within(folder, own))
+                for i in range(0, len(names), 50_000):
+                    yield _listing((posixpath.join(own, n), 0) for n in names[i : i + 50_000])
+
+    listing = spark.createDataFrame([(own,) for own in folders_of(path)], "folder string").mapInArrow(run, LISTING)
+    read = _read_listed(spread(listing, "file_name"), path)
+    return read.select(F.element_at(F.split("file_name", "/"), -1).alias("file_name"), "content")
+
+
 def _listed_in_tasks(path: str) -> bool:
     try:
         open_folder(path)
@@ -75,7 +95,7 @@ def _listed_in_tasks(path: str) -> bool:
 
 
 def _read_listed(listing: DataFrame, path: str, chunk_bytes: int = 64 << 20) -> DataFrame:
-    """``file_name, xml`` of listed files, read by the tasks that hold their rows; hidden ones
+    """``file_name, content`` of listed files, read by the tasks that hold their rows; hidden ones
     without content. A task sends what it has read in chunks of about ``chunk_bytes``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,8 +118,7 @@ def _read_listed(listing: DataFrame, path: str, chunk_bytes: int = 64 << 20) ->
         if names:
             yield pa.record_batch([pa.array(names, pa.string()), pa.array(contents, pa.binary())], names=["file_name", "content"])
 
-    read = listing.select("file_name", "hidden").mapInArrow(run, "file_name string, content binary")
-    return read.select("file_name", F.col("content").cast("string").alias("xml"))
+    return listing.select("file_name", "hidden").mapInArrow(run, "file_name string, content binary")
 
 
 def _listing(files: Iterable[tuple[str, int]]) -> pa.RecordBatch:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import posixpath
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,6 +33,15 @@ def checked_name(name: str | None) -> str:
     return name
 
 
+def subfolders(number: int) -> list[str]:
+    """Names of the folders that files are dealt to; of none, the folder itself."""
+    return [f"{i:04x}" for i in range(number)] or [""]
+
+
+def within(folder: str, own: str) -> str:
+    return posixpath.join(folder, own) if own else folder
+
+
 @dataclass
 class Written(WriterCommitMessage):
     files: int
@@ -41,17 +51,19 @@ class Written(WriterCommitMessage):
 class FileWriter(DataSourceArrowWriter):
     """Files have the names of their rows, so an attempt that is repeated, or runs twice at a time,
     writes the same files again, each replaced at once. What is complete has a marker, written when
-    all tasks have ended: number of files and bytes. Rows that share a name are found out then."""
+    all tasks have ended: number of files, bytes and folders. Rows that share a name are found out then."""
 
-    def __init__(self, path: str, overwrite: bool):
-        self.path, self.job = path.rstrip("/"), uuid.uuid4().hex
+    def __init__(self, path: str, overwrite: bool, folders: int = 0):
+        self.path, self.job, self.folders = path.rstrip("/"), uuid.uuid4().hex, subfolders(folders)
         fs, folder = open_folder(self.path)
-        there = [f for f in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)) if f.is_file]
+        found = fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True))
+        there = [f for f in found if f.is_file or f.base_name in self.folders]
         if there and not overwrite:
             raise ValueError(f"{path} is not empty")
         if overwrite and there:
             fs.delete_dir_contents(folder)
-        fs.create_dir(folder, recursive=True)
+        for own in self.folders:
+            fs.create_dir(within(folder, own), recursive=True)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         fs, folder = open_folder(self.path)
@@ -59,9 +71,11 @@ class FileWriter(DataSourceArrowWriter):
         whole = fs.type_name in ("local", "hdfs")  # elsewhere an object appears when it is closed
         for batch in iterator:
             for cell, content in zip(batch.column(0), batch.column(1), strict=True):
-                final = posixpath.join(folder, checked_name(cell.as_py()))
+                name = checked_name(cell.as_py())
+                own = within(folder, self.folders[zlib.crc32(name.encode()) % len(self.folders)])
+                final = posixpath.join(own, name)
                 data = content.as_buffer()
-                target = posixpath.join(folder, f".{self.job}-{uuid.uuid4().hex}") if whole else final
+                target = posixpath.join(own, f".{self.job}-{uuid.uuid4().hex}") if whole else final
                 with fs.open_output_stream(target) as out:
                     if data is not None:
                         out.write(data)
@@ -74,17 +88,26 @@ class FileWriter(DataSourceArrowWriter):
     def commit(self, messages: list[Written | None]) -> None:
         fs, folder = open_folder(self.path)
         wanted = sum(m.files for m in messages if m)
-        found = sum(1 for f in fs.get_file_info(pafs.FileSelector(folder)) if not f.base_name.startswith((".", "_")))
+        # One folder after the other: at no time is more than one listing held.
+        found = sum(len(visible(fs, within(folder, own))) for own in self.folders)
         if found != wanted:
             raise RuntimeError(f"{wanted} rows made {found} files in {self.path}: names are not unique")
         with fs.open_output_stream(posixpath.join(folder, DONE)) as out:
-            out.write(json.dumps({"files": wanted, "bytes": sum(m.size for m in messages if m)}).encode())
+            size = sum(m.size for m in messages if m)
+            out.write(json.dumps({"files": wanted, "bytes": size, "folders": sum(map(bool, self.folders))}).encode())
 
     def abort(self, messages: list[Written | None]) -> None:
         fs, folder = open_folder(self.path)
         for f in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)):
             if f.is_file:
                 fs.delete_file(f.path)
+            elif f.base_name in self.folders:
+                fs.delete_dir(f.path)
+
+
+def visible(fs: pafs.FileSystem, folder: str) -> list[str]:
+    found = fs.get_file_info(pafs.FileSelector(folder))
+    return [f.base_name for f in found if f.is_file and not f.base_name.startswith((".", "_"))]
 
 
 class DocumentFiles(DataSource):
@@ -96,18 +119,29 @@ class DocumentFiles(DataSource):
         return "file_name string, content binary"
 
     def writer(self, schema: StructType, overwrite: bool) -> FileWriter:
-        return FileWriter(self.options["path"], overwrite)
+        return FileWriter(self.options["path"], overwrite, int(self.options.get("folders", 0)))
 
 
-def write_files(df: DataFrame, path: str, name: str = "file_name", content: str = "content") -> None:
+def write_files(df: DataFrame, path: str, name: str = "file_name", content: str = "content", folders: int = 0) -> None:
     """A file for each row, named by one column, with the text or bytes of another; null is an empty
     file. The folder's earlier files go. Names must be unique and not hidden. The folder is one that
-    tasks reach through Arrow's file systems: local, HDFS or an object store."""
+    tasks reach through Arrow's file systems: local, HDFS or an object store. For millions of files,
+    ``folders`` deals them to as many folders below it by a hash of the name, so that nobody has to
+    hold the names of all; :func:`docmart.sources.corpus.scan_files` reads either form."""
     df.sparkSession.dataSource.register(DocumentFiles)
     rows = df.select(F.col(name).alias("file_name"), F.col(content).cast("binary").alias("content"))
-    rows.write.format(FORMAT).mode("overwrite").save(path)
+    rows.write.format(FORMAT).mode("overwrite").option("folders", folders).save(path)
 
 
 def is_complete(path: str) -> bool:
     fs, folder = open_folder(path.rstrip("/"))
     return fs.get_file_info(posixpath.join(folder, DONE)).is_file
+
+
+def folders_of(path: str) -> list[str]:
+    """The folders of a complete folder of files, by its marker."""
+    fs, folder = open_folder(path.rstrip("/"))
+    if not is_complete(path):
+        raise ValueError(f"{path} is not complete")
+    with fs.open_input_stream(posixpath.join(folder, DONE)) as marker:
+        return subfolders(json.loads(marker.read()).get("folders", 0))

@@ -272,3 +272,72 @@ def test_rows_that_share_a_name_are_refused(spark, tmp_path):
     with pytest.raises(Exception, match="not unique"):
         files.write_files(frame, str(tmp_path / "out"))
     assert not files.is_complete(str(tmp_path / "out"))
+
+
+def test_files_dealt_to_folders(spark, tmp_path, monkeypatch):
+    """Millions of files: no listing holds all of their names, neither when they are written nor when they are read."""
+    import pyarrow.fs as pafs
+
+    target = str(tmp_path / "out")
+    rows = [(f"d{i}.xml__r.csv", f"a,é\r\n{i},\r\n") for i in range(3000)] + [("empty.csv", ""), ("b c+%20.csv", "x"), ("0001", "y")]
+    frame = spark.createDataFrame(rows, "file_name string, csv string").repartition(7)
+    for _ in range(2):  # a rerun replaces the files
+        files.write_files(frame, target, content="csv", folders=16)
+        found = {p.name: p.read_bytes() for p in (tmp_path / "out").glob("*/*")}
+        assert found == {n: t.encode() for n, t in rows}
+        assert files.is_complete(target) and len(list((tmp_path / "out").iterdir())) == 17
+    assert max(len(list(p.iterdir())) for p in (tmp_path / "out").iterdir() if p.is_dir()) < 400
+
+    read = corpus.scan_files(spark, target)
+    assert sorted((r["file_name"], bytes(r["content"]).decode()) for r in read.collect()) == sorted(rows)
+
+    # The writer's end, which runs beside the driver, lists one folder at a time; so does its begin.
+    sizes = []
+    listed = pafs.LocalFileSystem.get_file_info
+
+    class Counted:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def get_file_info(self, what):
+            got = listed(self.fs, what)
+            sizes.append(len(got) if isinstance(got, list) else 1)
+            return got
+
+    opened = files.open_folder
+    monkeypatch.setattr(files, "open_folder", lambda p: (Counted(opened(p)[0]), opened(p)[1]))
+    writer = files.FileWriter(str(tmp_path / "direct"), overwrite=True, folders=16)
+    import pyarrow as pa
+
+    batch = pa.record_batch([pa.array([n for n, _ in rows]), pa.array([t.encode() for _, t in rows])], names=["file_name", "content"])
+    writer.commit([writer.write(iter([batch])), None])
+    files.FileWriter(str(tmp_path / "direct"), overwrite=True, folders=16).abort([])
+    assert max(sizes) < 400 and list((tmp_path / "direct").iterdir()) == []
+
+
+def test_files_in_one_folder_are_read_too(spark, tmp_path):
+    rows = [(f"d{i}.csv", f"{i}") for i in range(50)] + [("null.csv", None), ("é +%41;.csv", "x")]
+    files.write_files(spark.createDataFrame(rows, "file_name string, content string").repartition(3), str(tmp_path / "out"))
+    (tmp_path / "out" / "_hidden").write_text("x")
+    read = corpus.scan_files(spark, f"file://{tmp_path}/out")
+    assert sorted((r["file_name"], bytes(r["content"]).decode()) for r in read.collect()) == sorted((n, t or "") for n, t in rows)
+    (tmp_path / "out" / "_SUCCESS").unlink()
+    with pytest.raises(ValueError, match="not complete"):
+        corpus.scan_files(spark, str(tmp_path / "out"))
+
+
+def test_rows_that_share_a_name_are_refused_in_folders_too(spark, tmp_path):
+    frame = spark.createDataFrame([("a", "1"), ("a", "2"), ("b", "3")], "file_name string, content string").repartition(3)
+    with pytest.raises(Exception, match="not unique"):
+        files.write_files(frame, str(tmp_path / "out"), folders=4)
+    assert not files.is_complete(str(tmp_path / "out")) and list((tmp_path / "out").iterdir()) == []
+
+
+def test_csv_files_lists_no_folder_in_the_driver(spark, sf):
+    from docmart.plans.queries import QUERIES
+
+    plan = QUERIES["csv_files"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "binaryFile" not in plan and "FileScan" not in plan
