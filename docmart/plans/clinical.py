@@ -296,10 +296,11 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(orders, "o_orderkey").withColumn("day", F.date_trunc("day", "o_orderdate"))
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The corpus ``file_name, xml``, broken and empty documents included."""
+def documents(spark: SparkSession, sf_dir: str, faults: int = FAULTS) -> DataFrame:
+    """The corpus ``file_name, xml``, broken and empty documents included; of the kinds of faults
+    the first ``faults`` only, the documents of the others being intact."""
     xml = _document_text()
-    fault = F.col("o_orderkey") % 97
+    fault = F.when(F.col("o_orderkey") % 97 < faults, F.col("o_orderkey") % 97)
     end = f"</{ROOT}>"
 
     def before_end(more: str) -> Column:

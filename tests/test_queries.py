@@ -88,3 +88,25 @@ def test_documents_parsed_once(spark, sf, monkeypatch, name):
     # compact_parts: one whole table and four pieces; publish_table: two tables of the first version and
     # the whole. Each is read once, not once for every frame made of it.
     assert read.value <= 3 * n, (read.value, n)
+
+
+def test_combine_domains_covers_all_but_cut_off_and_empty_documents(spark, tmp_path):
+    con = duckdb.connect()
+    con.execute(
+        "COPY (SELECT k AS o_orderkey, k % 50 AS o_custkey, 'O' AS o_orderstatus, 1.5 AS o_totalprice,"
+        f" TIMESTAMP '1996-01-02' + to_days(CAST(k AS INTEGER)) AS o_orderdate, '1-URGENT' AS o_orderpriority FROM range(200) AS t(k)) TO '{tmp_path}/orders.parquet'"
+    )
+    con.execute(f"COPY (SELECT k AS p_partkey FROM range(100) AS t(k)) TO '{tmp_path}/part.parquet'")
+    rows = QUERIES["combine_domains"](spark, str(tmp_path)).collect()
+    want = {
+        (domain, k, seq)
+        for k in range(200)
+        if k % 97 > 1
+        for domain, numbers in (("Measurement", (k % 4, k % 50 % 3)), ("Drug", ((k + k % 50) % 3,)))
+        for n in numbers
+        for seq in range(1, n + 1)
+    }
+    assert {(r["domain"], int(r["doc_id"]), r["seq"]) for r in rows} == want
+    assert len(rows) == sum(k % 4 + k % 50 % 3 + (k + k % 50) % 3 for k in range(200) if k % 97 > 1)
+    verdict, n = check_oracle.compare(spark, check_oracle.connect(str(tmp_path)), QUERIES["combine_domains"], SQL["combine_domains"], str(tmp_path))
+    assert (verdict, n) == ("ok", len(rows))
